@@ -15,6 +15,27 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def tokenizer(name: str) -> str:
+    """The place of a tokenizers file; the vocabulary itself is no part of this library."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from modlake.llm.packing import pack
+
+    pieces = pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from modlake.llm.token_store import read_tokens, write_tokens
+
+    manifest = write_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    return read_tokens(spark, manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from modlake.llm.line_dedup import drop_repeated_lines
 
@@ -36,6 +57,8 @@ FROM marked GROUP BY r, doc_id
 
 QUERIES = {
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_packing": op3_packing,
+    "op4_token_store": op4_token_store,
     "op10_line_dedup": op10_line_dedup,
 }
 
