@@ -8,6 +8,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from modlake.llm.lm_scoring import score
+
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from modlake.llm.simhash_dedup import hex_fingerprint, near_components
 
@@ -36,6 +42,18 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from modlake.llm.fingerprints import compare_with_edits, near_groups
+    from modlake.llm.simhash_dedup import hex_fingerprint
+
+    compared = compare_with_edits(table(spark, sf_dir, "documents"))
+    grouped = compared.join(near_groups(compared.select("doc_id", "fp")), "fp")
+    return grouped.select(
+        "doc_id", "n_chars", "edited_sha256", hex_fingerprint(F.col("fp")).alias("fingerprint"),
+        hex_fingerprint(F.col("edited_fp")).alias("edited_fingerprint"), "near_edited", "near_next", "class_id",
+    )
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from modlake.llm.line_dedup import drop_repeated_lines
 
@@ -56,9 +74,11 @@ FROM marked GROUP BY r, doc_id
 """
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_packing": op3_packing,
     "op4_token_store": op4_token_store,
+    "op9_fingerprints": op9_fingerprints,
     "op10_line_dedup": op10_line_dedup,
 }
 
