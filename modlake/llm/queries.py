@@ -42,6 +42,22 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from modlake.llm.topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+OP6_SQL = """
+WITH v AS (SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT for x in embedding] AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e::DOUBLE[], c.e::DOUBLE[])::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from modlake.llm.fingerprints import compare_with_edits, near_groups
     from modlake.llm.simhash_dedup import hex_fingerprint
@@ -78,8 +94,9 @@ QUERIES = {
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_packing": op3_packing,
     "op4_token_store": op4_token_store,
+    "op6_top_k": op6_top_k,
     "op9_fingerprints": op9_fingerprints,
     "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLES = {"op10_line_dedup": OP10_SQL}
+ORACLES = {"op6_top_k": OP6_SQL, "op10_line_dedup": OP10_SQL}
