@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from modlake.llm.mixing import sql as mixing_sql
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -42,6 +44,51 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from modlake.llm.preference import format_preferences, paired_with_next
+
+    out = format_preferences(paired_with_next(table(spark, sf_dir, "conversations")))
+    trained = lambda mask: F.aggregate(F.filter(mask, lambda m: m["trained"]), F.lit(0).cast("long"), lambda n, m: n + m["length"])
+    return out.select(
+        F.col("pair_id").alias("conv_id"), F.col("n_prompt_turns").cast("long").alias("n_prompt_turns"),
+        *[F.sha2(c, 256).alias(f"{c}_sha256") for c in ("prompt", "chosen", "rejected")],
+        trained("chosen_mask").alias("chosen_trained"), trained("rejected_mask").alias("rejected_trained"),
+    )
+
+
+#: Conversation ids and turns of the given table are unique and not null; the operator does not need that.
+OP5_SQL = """
+WITH last AS (SELECT conv_id, max(turn) AS last_turn, arg_max(coalesce(text, ''), turn) AS answer FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
+ends AS (SELECT min(conv_id) AS lo, max(conv_id) AS hi FROM conversations),
+pairs AS (SELECT a.conv_id, a.last_turn, a.answer, b.answer AS other FROM last a CROSS JOIN ends
+    JOIN last b ON b.conv_id = CASE WHEN a.conv_id = hi THEN lo ELSE a.conv_id + 1 END),
+turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS c, CASE WHEN turn = last_turn AND role = 'assistant' THEN other ELSE coalesce(text, '') END AS r,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations JOIN pairs USING (conv_id)),
+cut AS (SELECT conv_id, coalesce(min(k) FILTER (WHERE c <> r) - 1, count(*)) AS n FROM turns GROUP BY conv_id),
+shown AS (SELECT t.*, n, '<|' || role || '|>' || chr(10) || c || '<|end|>' || chr(10) AS cs, '<|' || role || '|>' || chr(10) || r || '<|end|>' || chr(10) AS rs FROM turns t JOIN cut USING (conv_id))
+SELECT conv_id, any_value(n)::BIGINT AS n_prompt_turns,
+    sha256(coalesce(string_agg(cs, '' ORDER BY k) FILTER (WHERE k <= n), '')) AS prompt_sha256,
+    sha256(coalesce(string_agg(cs, '' ORDER BY k) FILTER (WHERE k > n), '')) AS chosen_sha256,
+    sha256(coalesce(string_agg(rs, '' ORDER BY k) FILTER (WHERE k > n), '')) AS rejected_sha256,
+    coalesce(sum(length(c) + 8) FILTER (WHERE k > n AND role = 'assistant'), 0)::BIGINT AS chosen_trained,
+    coalesce(sum(length(r) + 8) FILTER (WHERE k > n AND role = 'assistant'), 0)::BIGINT AS rejected_trained
+FROM shown GROUP BY conv_id
+"""
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from modlake.llm.quality import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from modlake.llm.mixing import mix
+
+    out = mix(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 6).alias("probability"), F.round("weight", 6).alias("weight"))
+
+
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from modlake.llm.topk import top_k
 
@@ -94,9 +141,12 @@ QUERIES = {
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_packing": op3_packing,
     "op4_token_store": op4_token_store,
+    "op5_preference_format": op5_preference_format,
     "op6_top_k": op6_top_k,
+    "op7_quality": op7_quality,
+    "op8_mixing": op8_mixing,
     "op9_fingerprints": op9_fingerprints,
     "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLES = {"op6_top_k": OP6_SQL, "op10_line_dedup": OP10_SQL}
+ORACLES = {"op5_preference_format": OP5_SQL, "op8_mixing": mixing_sql(), "op6_top_k": OP6_SQL, "op10_line_dedup": OP10_SQL}
