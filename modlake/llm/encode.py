@@ -3,7 +3,7 @@
 A text is cut only where no token can span the cut, so the ids are those of the whole text:
 at white space for tokenizers that drop it, and before a single space, or around a single line
 feed, between other characters for byte-level ones, which attach the space to the word that
-follows. A text with any other white space, or with the string of a special token, is encoded whole.
+follows; and between a letter or digit and the marks at the end of a segment. A text with any other white space, or with the string of a special token, is encoded whole.
 """
 
 import json
@@ -14,8 +14,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct segments that a worker remembers before it starts afresh (about 150 bytes each).
-REMEMBERED = 700_000
+REMEMBERED = 1_200_000
 #: Stands for a line feed between segments; texts that hold it themselves are encoded whole.
+#: Marks that are cut off the end of a word, so that a word is encoded once whatever follows it.
+MARKS = ".,!?;:*$%&#|"
 LINE_MARK = "\ue000"
 
 _encoders: dict[str, "SegmentEncoder"] = {}
@@ -38,6 +40,7 @@ class SegmentEncoder:
         self.special = [t["content"] for t in config["added_tokens"]]
         self.size = self.tok.get_vocab_size(with_added_tokens=True)
         self.drops_space = r"\s+" in json.dumps(config["normalizer"], ensure_ascii=False).replace("\\\\", "\\")
+        self.lowers = "Lowercase" in json.dumps(config["normalizer"])
         self._forget()
 
     def _forget(self) -> None:
@@ -50,7 +53,7 @@ class SegmentEncoder:
         if len(self.known) + len(segments) > REMEMBERED:
             self._forget()
         known = self.known
-        new = [s for s in segments if s not in known]
+        new = list(dict.fromkeys(s for s in segments if s not in known))
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             ids = [e.ids for e in self.tok.encode_batch_fast(part, add_special_tokens=False)]
@@ -66,40 +69,63 @@ class SegmentEncoder:
             known.update(zip(part, range(n, n + len(part))))
         return np.fromiter(map(known.__getitem__, segments), np.int64, len(segments))
 
+    def _pieces(self, segments: pa.Array) -> np.ndarray:
+        """For each segment the numbers of its stem and of the marks after it, either of which may be empty."""
+        stems = pc.utf8_rtrim(segments, MARKS)
+        cut = pc.match_substring_regex(stems, r"[\p{L}\p{N}]$")
+        tails = pc.extract_regex(segments, f"(?P<t>[{MARKS}]+)$").field(0)
+        tails = pc.fill_null(pc.if_else(cut, tails, pa.scalar(None, tails.type)), "").dictionary_encode()
+        stems = pc.if_else(cut, stems, segments).to_pylist()
+        numbers = self._segment_numbers(stems + tails.dictionary.to_pylist())
+        return np.stack([numbers[: len(stems)], numbers[len(stems) :][tails.indices.to_numpy()] if len(stems) else numbers], axis=1)
+
+    def _expand(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of known segments in a row, and where each begins, and the end."""
+        lengths = self.lengths[numbers]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        return self.flat[np.repeat(self.starts[numbers] - ends[:-1], lengths) + np.arange(ends[-1])], ends
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): the ids of text k are ids[offsets[k]:offsets[k + 1]]. A null is empty."""
-        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        texts = own_texts(texts)
         odd = np.zeros(len(texts), bool)
         for s in self.special + ([] if self.drops_space else [LINE_MARK]):
             odd |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
         if self.drops_space:
-            lists = pc.ascii_split_whitespace(texts)
+            lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if self.lowers else texts)
         else:
             lists = pc.split_pattern(pc.replace_substring(texts, "\n", f" {LINE_MARK} "), " ")
         offsets = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.flatten().dictionary_encode()
         codes, segments = coded.indices.to_numpy().astype(np.int64), coded.dictionary
-        names = segments.to_pylist()
         starts, counts = offsets[:-1] - offsets[0], np.diff(offsets)
         if self.drops_space:
-            numbers = self._segment_numbers(names)[codes]
+            keys = codes
         else:
             blank = pc.match_substring_regex(segments, r"^$|^[\s\p{Z}\x0b\x1c-\x1f\x{85}]|[\s\p{Z}\x0b\x1c-\x1f\x{85}]$").to_numpy(zero_copy_only=False)
             doc = np.repeat(np.arange(len(counts)), counts)
             odd[doc[blank[codes]]] = True
-            mark = codes == (names.index(LINE_MARK) if LINE_MARK in names else -1)
+            at = pc.index(segments, LINE_MARK).as_py()
+            mark = codes == at
             first = np.zeros(len(codes), bool)
             first[starts[counts > 0]] = True
             first[1:] |= mark[:-1]
             keys = codes * 2 + (first | mark)
             keys[odd[doc]] = keys[0] if len(keys) else 0  # whole texts come below
-            pairs, inverse = np.unique(keys, return_inverse=True)
-            said = [("\n" if names[k >> 1] == LINE_MARK else names[k >> 1]) if k & 1 else " " + names[k >> 1] for k in pairs.tolist()]
-            numbers = self._segment_numbers(said)[inverse]
-        lengths = self.lengths[numbers]
+            # the pieces that occur, with the space before them where there is one
+            present = np.flatnonzero(np.bincount(keys, minlength=2 * len(segments)))
+            spaced = pc.if_else(pa.array(present & 1 == 1), "", " ").cast(pa.large_string())
+            words = pc.replace_with_mask(segments, pc.equal(segments, LINE_MARK), pa.scalar("\n", pa.large_string())) if at >= 0 else segments
+            segments = pc.binary_join_element_wise(spaced, words.take(pa.array(present >> 1)), pa.scalar("", pa.large_string()))
+            place = np.zeros(2 * len(coded.dictionary), np.int64)
+            place[present] = np.arange(len(present))
+            keys = place[keys]
+        pieces = self._pieces(segments)
+        flat, ends = self._expand(pieces.ravel())
+        starts_of, lengths_of = ends[:-1:2], self.lengths[pieces].sum(axis=1)
+        lengths = lengths_of[keys]
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        places = np.repeat(self.starts[numbers] - ends[:-1], lengths) + np.arange(ends[-1])
-        ids = self.flat[places]
+        ids = flat[np.repeat(starts_of[keys] - ends[:-1], lengths) + np.arange(ends[-1])]
         out = np.concatenate([ends[starts], ends[-1:]]) if len(starts) else np.zeros(1, np.int64)
         if odd.any():
             parts = [ids[a:b] for a, b in zip(out[:-1], out[1:])]
@@ -110,6 +136,16 @@ class SegmentEncoder:
         return ids, out
 
 
+def own_texts(texts: pa.Array) -> pa.Array:
+    """Texts as large strings without nulls, in buffers of their own.
+
+    A cast of a slice keeps the slice's offset, which some Arrow kernels for large strings then misread.
+    """
+    if texts.offset:
+        texts = texts.take(pa.array(np.arange(len(texts))))
+    return pc.fill_null(texts, "").cast(pa.large_string())
+
+
 def _grown(array: np.ndarray, size: int) -> np.ndarray:
     if size <= len(array):
         return array

@@ -142,7 +142,7 @@ def pack(
         type_of: list[pa.DataType] = []
         for batch in batches:
             type_of[:] = [batch.column("doc_id").type]
-            for part in text_slices(batch, size=1 << 20):
+            for part in text_slices(batch):
                 ids, offsets = with_end(*enc.encode(part.column("text")), end_id)
                 at = np.concatenate([at, offsets[:-1] + len(wait)])
                 before = np.concatenate([before, np.zeros(len(offsets) - 1, np.int64)])

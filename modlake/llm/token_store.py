@@ -129,7 +129,7 @@ def write_tokens(
             return row
 
         for batch in batches:
-            for x in text_slices(batch, size=1 << 20):
+            for x in text_slices(batch):
                 ids, offsets = with_end(*enc.encode(x.column("text")), end_id)
                 keys = x.column("doc_id").fill_null(NULL_ID).to_numpy()
                 held.append((keys, np.diff(offsets), ids))

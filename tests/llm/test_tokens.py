@@ -30,6 +30,10 @@ def test_segments_give_the_ids_of_whole_texts(path, monkeypatch):
         assert len(offsets) == len(texts) + 1
         for k, t in enumerate(texts):
             assert ids[offsets[k] : offsets[k + 1]].tolist() == tok.encode(t or "", add_special_tokens=False).ids, repr(t)
+    many = pa.array(TEXTS * 30, pa.string()).slice(31, 200)
+    ids, offsets = enc.encode(many)
+    for k, t in enumerate(many.to_pylist()):
+        assert ids[offsets[k] : offsets[k + 1]].tolist() == tok.encode(t or "", add_special_tokens=False).ids, repr(t)
     monkeypatch.setattr("modlake.llm.encode.REMEMBERED", 3)  # forgetting changes nothing
     ids, offsets = enc.encode(pa.array(["p q r s t", "p q"]))
     assert ids[offsets[1] :].tolist() == tok.encode("p q", add_special_tokens=False).ids
