@@ -28,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from modlake.llm.encode import own_texts
 from modlake.llm.hamming import block_masks, near_classes
 from modlake.llm.store import parts_for, stored, text_size
 
@@ -45,7 +46,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def word_arrays(texts: pa.Array, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hashes, bytes, counts): hash and length of every word of the texts in a row, and words of each text."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "").cast(pa.large_string())))
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(own_texts(texts)))
     offsets = lists.offsets.to_numpy().astype(np.int64)
     coded = lists.flatten().dictionary_encode()
     words = coded.dictionary.cast(pa.large_binary()).to_pylist()

@@ -29,6 +29,9 @@ def test_fingerprints_against_brute_force():
     long = [" ".join(f"w{j % 70001}" for j in range(140_000)), "b c"]
     assert fingerprints(pa.array(long)).tolist() == [slow(t) for t in long]
     assert len(fingerprints(pa.array([], pa.string()))) == 0
+    many = TEXTS * 40
+    for at in (1, 7, 300):
+        assert fingerprints(pa.array(many, pa.string()).slice(at, 200)).tolist() == [slow(t) for t in many[at : at + 200]]
 
 
 @pytest.mark.parametrize("part_bytes", [1 << 20, 900])
