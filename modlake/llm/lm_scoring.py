@@ -38,7 +38,7 @@ END = np.uint64(xxhash.xxh64_intdigest(b"", SEED))
 BUCKETS = 24
 PER_OCTAVE = 4
 #: Entries of a hash range that one task adds up.
-RANGE = 1 << 21
+RANGE = 1 << 20
 
 
 def split_of(doc_id: Column) -> Column:
@@ -219,7 +219,7 @@ def learn_weights(events: np.ndarray, counts: np.ndarray, uniform: float, order:
 SCORES = "doc_id {}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def score(docs: DataFrame, order: int = 2, block_bytes: int = 12 << 20, add: float = 0.1, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def score(docs: DataFrame, order: int = 2, block_bytes: int = 6 << 20, add: float = 0.1, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row for each row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     base_score is the log10 probability by unigram counts with `add` added, score that of the model.
