@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modlake.operators.dedup import dedup_deliveries
+from modlake.plans import audits
 from modlake.plans.lake import bridged
 from modlake.plans.metrics import QUESTIONS, ask, metrics_query
-from modlake.plans.oracle import SQL
 from modlake.plans.oracle import ORACLES as _RELATION_ORACLES
 
 
@@ -86,8 +86,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{name: _question(name) for name in QUESTIONS},
     "metric_rates": _metrics(("queue_name",), ("automation_rate", "clearance_rate", "violation_rate", "decisions_per_moderator", "automated_closure_rate", "escalation_rate")),
     "metric_multi_fact": _metrics(("queue_name",), ("total_decisions", "total_job_actions", "total_jobs", "total_enforcement_actions", "open_jobs")),
+    **audits.QUERIES,
     "metric_policy_through_decision": _metrics(("queue_name", "decision_staffing_model"), ("policy_applications", "allocated_decisions")),
 }
 
-ORACLES: dict[str, str] = {name: sql for name, sql in _RELATION_ORACLES.items() if name in QUERIES}
-assert set(SQL) <= set(QUERIES)
+ORACLES: dict[str, str] = {**_RELATION_ORACLES, **audits.ORACLES}
