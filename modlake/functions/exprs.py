@@ -28,7 +28,7 @@ def utc_offset_seconds(text: Column) -> Column:
 
 def local_date(text: Column) -> Column:
     """The date on the sender's own calendar."""
-    return F.when(text.rlike(TIME_SHAPE), F.to_date(F.substring(text, 1, 10)))
+    return F.when(text.rlike(TIME_SHAPE), F.substring(text, 1, 10).try_cast("date"))
 
 
 def elements(doc: Column) -> Column:
