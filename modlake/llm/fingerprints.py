@@ -62,12 +62,31 @@ def word_arrays(texts: pa.Array, seed: int = 0) -> tuple[np.ndarray, np.ndarray,
     return hashes[codes], sizes[codes], counts
 
 
+def voted(terms: np.ndarray, weights: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Fingerprints of texts whose terms stand in a row: bits where the weighted votes are in favour. Weights are uint8."""
+    out = np.zeros(len(counts), np.uint64)
+    holding = np.flatnonzero(counts)
+    bounds = np.concatenate([[0], np.cumsum(counts[holding])])
+    votes = np.zeros((len(holding), 64), np.int64)
+    total = np.zeros(len(holding), np.int64)
+    step = 1 << 16
+    for a in range(0, len(terms), step):
+        b = min(a + step, len(terms))
+        bits = np.unpackbits(terms[a:b].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little") * weights[a:b, None]
+        first, last = np.searchsorted(bounds, a, "right") - 1, np.searchsorted(bounds, b, "left")
+        cuts = np.maximum(bounds[first:last], a) - a
+        votes[first:last] += np.add.reduceat(bits, cuts, axis=0, dtype=np.uint32)
+        total[first:last] += np.add.reduceat(weights[a:b], cuts, dtype=np.uint32)
+    ones = np.packbits(2 * votes > total[:, None], axis=1, bitorder="little")
+    out[holding] = ones.view("<u8").ravel()
+    return out
+
+
 def fingerprints(texts: pa.Array) -> np.ndarray:
     """Unsigned 64-bit fingerprints of texts."""
     hashes, sizes, counts = word_arrays(texts)
-    out = np.zeros(len(counts), np.uint64)
     if not len(hashes):
-        return out
+        return np.zeros(len(counts), np.uint64)
     weights = np.minimum(sizes, HEAVIEST).astype(np.uint8)
     ends = np.cumsum(counts)
     starts = ends - counts
@@ -81,22 +100,7 @@ def fingerprints(texts: pa.Array) -> np.ndarray:
     second = np.where(alone[at], np.uint64(0), hashes[after])
     terms = mixed(hashes[at] * MIX + second)
     heavy = weights[at] + np.where(alone[at], 0, weights[after]).astype(np.uint8)
-    n_terms = np.where(counts > 1, counts - 1, counts)
-    holding = np.flatnonzero(n_terms)
-    bounds = np.concatenate([[0], np.cumsum(n_terms[holding])])
-    votes = np.zeros((len(holding), 64), np.int64)
-    total = np.zeros(len(holding), np.int64)
-    step = 1 << 16
-    for a in range(0, len(terms), step):
-        b = min(a + step, len(terms))
-        bits = np.unpackbits(terms[a:b].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little") * heavy[a:b, None]
-        first, last = np.searchsorted(bounds, a, "right") - 1, np.searchsorted(bounds, b, "left")
-        cuts = np.maximum(bounds[first:last], a) - a
-        votes[first:last] += np.add.reduceat(bits, cuts, axis=0, dtype=np.uint32)
-        total[first:last] += np.add.reduceat(heavy[a:b], cuts, dtype=np.uint32)
-    ones = np.packbits(2 * votes > total[:, None], axis=1, bitorder="little")
-    out[holding] = ones.view("<u8").ravel()
-    return out
+    return voted(terms, heavy, np.where(counts > 1, counts - 1, counts))
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -5,6 +5,13 @@ shingle, repeats included; a bit is 1 if set in over half of the hashes. Fingerp
 fewer differing bits are linked, candidates coming from covering masks (hamming.covering_masks), so
 every such pair meets in some table; documents are grouped by connected component.
 
+Fingerprints of 4-word shingles at 4 bits find texts that agree almost everywhere: of pairs with a Jaccard
+similarity of 0.8 or more on five-word shingles they link one in twenty-five. drop_near_copies(), which
+is to find those, therefore votes with the distinct words of a text, weighted by length, and links at 6
+bits (127 tables): on the given tables nine in ten such pairs are within, and no two unrelated texts of
+20,000 sampled pairs of one language come nearer than 16 bits. A text of fewer than SHORT words is only linked
+with texts of the same words in the same order.
+
 Scale: texts are read once and never shuffled. After that only distinct fingerprints move, 16 bytes
 for each of the 2^(radius+1) - 1 tables.
 
@@ -22,10 +29,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from modlake.llm.fingerprints import voted, word_arrays
 from modlake.llm.hamming import covering_masks, near_classes, slices
 from modlake.llm.store import stored
 
 SEED = 42
+#: Texts of fewer words have no near copies at a similarity of 0.8 but those that differ at the ends.
+SHORT = 24
 
 
 def fingerprint(text: bytes, width: int) -> int:
@@ -58,14 +68,43 @@ def simhash(docs: DataFrame, width: int = 4, text: str = "text", doc_id: str = "
     return rows.mapInArrow(marks, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
 
 
+def word_fingerprints(texts: pa.Array) -> np.ndarray:
+    """Unsigned fingerprints by the distinct words of each text, or by the whole of a short text."""
+    hashes, sizes, counts = word_arrays(texts, SEED)
+    doc = np.repeat(np.arange(len(counts)), counts)
+    order = np.lexsort((hashes, doc))
+    h, d, n = hashes[order], doc[order], sizes[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
+    new &= counts[d] >= SHORT
+    # function words are short in most languages and say little
+    weights = np.clip(n[new] - 3, 1, 9).astype(np.uint8)
+    out = voted(h[new], weights, np.bincount(d[new], minlength=len(counts)))
+    for k in np.flatnonzero((counts > 0) & (counts < SHORT)):
+        out[k] = xxhash.xxh64_intdigest(hashes[counts[:k].sum() :][: counts[k]].tobytes(), SEED)
+    return out
+
+
+def simhash_words(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, fp) of each row by word_fingerprints."""
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 256):
+            yield pa.record_batch([b.column(0), pa.array(word_fingerprints(b.column(1)).view(np.int64))], names=["doc_id", "fp"])
+
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInArrow(marks, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
+
+
 def near_components(docs: DataFrame, width: int = 4, radius: int = 4, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, fp, component_id) of each row."""
-    marked = stored(simhash(docs, width, text, doc_id), "simhash")
+    """(doc_id, fp, component_id) of each row, by shingles of `width` words; by distinct words if that is 0."""
+    marks = simhash(docs, width, text, doc_id) if width else simhash_words(docs, text, doc_id)
+    marked = stored(marks, "simhash")
     classes = near_classes(marked, covering_masks(radius), radius)
     return marked.join(classes, "fp").select("doc_id", "fp", F.col("class_id").alias("component_id"))
 
 
-def drop_near_copies(docs: DataFrame, width: int = 4, radius: int = 4, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def drop_near_copies(docs: DataFrame, width: int = 0, radius: int = 6, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """docs without the rows whose component has a smaller doc_id; of rows with one doc_id one stays.
 
     Rows with a null doc_id cannot be told apart by id: of equal rows one stays, others are kept.
