@@ -1,6 +1,6 @@
 """Audits of table layout and of query cost, as jobs over files and logs."""
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -42,9 +42,9 @@ def pruning_report(profile: DataFrame, low=None, high=None) -> DataFrame:
     """Files that a range predicate leaves to read, of all."""
     kept = F.lit(True)
     if low is not None:
-        kept = kept & (F.col("high") >= F.lit(low))
+        kept = kept & (F.col("high") >= (low if isinstance(low, Column) else F.lit(low)))
     if high is not None:
-        kept = kept & (F.col("low") <= F.lit(high))
+        kept = kept & (F.col("low") <= (high if isinstance(high, Column) else F.lit(high)))
     return profile.agg(F.count_if(kept).alias("files_kept"), F.count(F.lit(1)).alias("files"), F.sum(F.when(kept, F.col("n_rows")).otherwise(0)).alias("rows_kept"))
 
 

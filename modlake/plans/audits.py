@@ -136,6 +136,28 @@ def mask_bag(spark, sf_dir):
     )
 
 
+def masked_reviewers(spark, sf_dir):
+    shown = privacy.apply_masking(bridged(spark, sf_dir)["dim_reviewer"], "dim_reviewer")
+    return shown.select("reviewer_key", "reviewer_email", "reviewer_name", "staffing_model")
+
+
+def withheld_payloads(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", F.try_parse_json("props").alias("payload"))
+    shown = privacy.apply_masking(e, "landed")
+    return shown.select("event_id", F.try_variant_get("payload", "$._redacted", "string").alias("note"), F.try_variant_get("payload", "$.k", "string").alias("k"))
+
+
+def touched_dates(spark, sf_dir):
+    """The dates that an upsert of the incremental slice reads and writes again."""
+    piece = incremental.incremental_slice(*_split(spark, sf_dir))
+    return piece.select(F.to_date("event_ts").alias("event_date")).distinct()
+
+
+def layout_pruning(spark, sf_dir):
+    profile = layout.layout_profile(spark, f"{sf_dir}/orders.parquet", "o_orderdate")
+    return layout.pruning_report(profile, low=F.expr("TIMESTAMP_NTZ '1997-01-01 00:00:00'"))
+
+
 def layout_profile(spark, sf_dir):
     return layout.layout_profile(spark, f"{sf_dir}/lineitem.parquet", "l_orderkey")
 
@@ -201,7 +223,7 @@ QUERIES = {
     for f in (
         a01_unique, a02_unique_combination, a03_not_null, a04_accepted_values, a05_relationships, a06_accepted_range, a07_closures_without_decisions, a08_allocation_agrees,
         a09_decisions_before_creation, a10_plausible_times, a11_no_future_times, a12_actions_reconcile, a13_no_orphan_decisions, a14_freshness, a15_continuous_metrics, a16_stalled,
-        a17_score_gate, mask_text, mask_bag, layout_profile, merge_probe, incremental_slice, late_rows, incremental_upsert, query_cost_rollup, pruned_weeks, stream_dedup,
+        a17_score_gate, mask_text, mask_bag, masked_reviewers, withheld_payloads, touched_dates, layout_pruning, layout_profile, merge_probe, incremental_slice, late_rows, incremental_upsert, query_cost_rollup, pruned_weeks, stream_dedup,
     )
 }
 
@@ -236,6 +258,12 @@ ORACLES = {
         SELECT c_custkey, CASE WHEN m IS NULL THEN NULL WHEN contains(m, '@') THEN '***@' || split_part(m, '@', -1) ELSE '***' END AS email, CASE WHEN m IS NOT NULL THEN '*** REDACTED ***' END AS name, sha256(m) AS identifier,
         '*** ' || length(m) || ' CHARS REDACTED ***' AS free_text, CASE WHEN m IS NOT NULL THEN '*** REDACTED ***' END AS something_else FROM s""",
     "mask_bag": "SELECT event_id, sha256('e' || event_id) AS id, NULL::VARCHAR AS secret, (user_id % 9)::BIGINT AS media_count, 'attributes withheld' AS note FROM events",
+    "masked_reviewers": FLAT + "SELECT reviewer_key, '***@' || split_part(mail, '@', -1) AS reviewer_email, '*** REDACTED ***' AS reviewer_name, staffing AS staffing_model FROM dr",
+    "withheld_payloads": "SELECT event_id, 'payload withheld' AS note, NULL::VARCHAR AS k FROM events WHERE props IS NOT NULL",
+    "touched_dates": _TARGET + " SELECT DISTINCT event_ts::DATE AS event_date FROM e, w WHERE event_ts >= since",
+    "layout_pruning": "SELECT CASE WHEN max(o_orderdate) >= TIMESTAMP '1997-01-01' THEN 1 ELSE 0 END::BIGINT AS files_kept, 1::BIGINT AS files, CASE WHEN max(o_orderdate) >= TIMESTAMP '1997-01-01' THEN count(*) ELSE 0 END::BIGINT AS rows_kept FROM orders",
+    "layout_profile": "SELECT 'lineitem.parquet' AS file, min(l_orderkey) AS low, max(l_orderkey) AS high, count(*)::BIGINT AS n_rows, 0::BIGINT AS overlaps FROM lineitem",
+    "merge_probe": _TARGET + " SELECT count(*)::BIGINT AS n_rows FROM e, w WHERE event_ts >= since",
     "incremental_slice": _TARGET + " SELECT event_id, event_ts FROM e, w WHERE event_ts >= since",
     "late_rows": _TARGET + " SELECT event_id, event_ts FROM e, w WHERE event_ts < since AND event_id NOT IN (SELECT event_id FROM t)",
     "incremental_upsert": _TARGET + """ SELECT event_id, event_ts, round(value + 1, 6) AS value, 'new' AS note FROM e, w WHERE event_ts >= since
