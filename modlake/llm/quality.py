@@ -23,7 +23,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modlake.llm.store import stored
+from modlake.llm.store import parts_for, stored
 
 THRESHOLD = 0.7
 
@@ -122,7 +122,7 @@ def fit(training: DataFrame, trees: int = 24, depth: int = 3, lasso: float = 0.0
     rules = list(dict.fromkeys(r for t in forest.trees for r in rules_of(t.toDebugString, NAMES)))
     marks = vectors.select("label", F.array(*[r.column(F.col).cast("double") for r in rules]).alias("marks"))
     marked = marks.select("label", array_to_vector("marks").alias("features"))
-    lr = LogisticRegression(elasticNetParam=1.0, regParam=lasso, maxIter=60, standardization=False).fit(marked)
+    lr = LogisticRegression(elasticNetParam=1.0, regParam=lasso, maxIter=25, tol=1e-4, standardization=False).fit(marked)
     chosen = [(r, float(w)) for r, w in zip(rules, lr.coefficients.toArray()) if w != 0]
     return RuleModel(tuple(r for r, _ in chosen), tuple(w for _, w in chosen), float(lr.intercept))
 
@@ -131,8 +131,10 @@ def labelled(stats: DataFrame, labels: DataFrame) -> DataFrame:
     """stats (doc_id, statistics) with `label`, for the rows that may be learned from."""
     known = labels.where(F.col("quality").isin(0, 1)).select(F.col("doc_id").alias("__id"), F.col("quality").cast("double").alias("label"))
     rows = stats.where(~in_fold(F.col("doc_id"), 4, 2)).join(known, F.col("doc_id") == F.col("__id")).select("doc_id", "label", *NAMES)
-    # in a fixed order, so that the forest's samples are the same each time
-    return rows.repartition(8, "doc_id").sortWithinPartitions("doc_id", *NAMES)
+    rows = stored(rows, "labelled")
+    # in as many parts as the rows need, in a fixed order, so that the forest's samples are the same each time
+    parts = parts_for(rows.count(), 50_000)
+    return rows.repartition(parts, "doc_id").coalesce(parts).sortWithinPartitions("doc_id", *NAMES)
 
 
 def measured(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
