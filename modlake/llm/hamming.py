@@ -122,7 +122,8 @@ def near_classes(marked: DataFrame, masks: list[int], radius: int, doc_id: str =
     linked = stored(near_links(fps.select("fp"), masks, radius), "classes")
     smallest = linked.join(fps, linked["node"] == fps["fp"]).groupBy("root").agg(F.min("first").alias("smallest"))
     named = linked.join(smallest, "root").select("node", "smallest")
-    return fps.join(named, fps["fp"] == named["node"], "left").select("fp", F.coalesce("smallest", "first").alias("class_id"))
+    # a table of its own, so that a join of documents with it can split a fingerprint that very many share
+    return stored(fps.join(named, fps["fp"] == named["node"], "left").select("fp", F.coalesce("smallest", "first").alias("class_id")), "named")
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
