@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct segments that a worker remembers before it starts afresh (about 150 bytes each).
-REMEMBERED = 1_200_000
+REMEMBERED = 800_000
 #: Stands for a line feed between segments; texts that hold it themselves are encoded whole.
 #: Marks that are cut off the end of a word, so that a word is encoded once whatever follows it.
 MARKS = ".,!?;:*$%&#|"
@@ -53,7 +53,8 @@ class SegmentEncoder:
         if len(self.known) + len(segments) > REMEMBERED:
             self._forget()
         known = self.known
-        new = list(dict.fromkeys(s for s in segments if s not in known))
+        places = [*map(known.get, segments)]
+        new = list(dict.fromkeys(s for s, place in zip(segments, places) if place is None))
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             ids = [e.ids for e in self.tok.encode_batch_fast(part, add_special_tokens=False)]
@@ -67,7 +68,7 @@ class SegmentEncoder:
             self.lengths[n : n + len(part)] = lengths
             self.used += len(flat)
             known.update(zip(part, range(n, n + len(part))))
-        return np.fromiter(map(known.__getitem__, segments), np.int64, len(segments))
+        return np.array([known[s] if place is None else place for s, place in zip(segments, places)] if new else places, np.int64)
 
     def _pieces(self, segments: pa.Array) -> np.ndarray:
         """For each segment the numbers of its stem and of the marks after it, either of which may be empty."""
