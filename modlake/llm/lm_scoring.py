@@ -19,9 +19,6 @@ string for the split; repeated rows count and score each by itself; without trai
 is unknown and orders above 0 have weight 0; an empty table gives no rows; other columns are not read.
 """
 
-import zlib
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -85,7 +82,7 @@ def _text_rows(docs: DataFrame, text: str, doc_id: str, block_bytes: int) -> tup
     return rows.select("doc_id", "text", (F.col("kind") == HELD_OUT).alias("held"), block.cast("long").alias("block")), first, size
 
 
-ASKED = "range long, block long, first long, keys binary, counts binary"
+ASKED = "range long, block long, keys binary, counts binary"
 ANSWERED = "block long, range long, kept binary, all binary, n_kept long, n_all long, v_kept long, v_all long"
 
 
@@ -102,25 +99,20 @@ def ask(order: int, ranges: int):
     """What a block sends: for each order and hash range, its distinct n-grams and their counts."""
     shift = np.uint64(64 - (ranges.bit_length() - 1))
 
-    def ask_block(key: tuple, group: pa.Table) -> Iterator[pa.RecordBatch]:
-        block = key[0].as_py()
+    def ask_block(key: tuple, group: pa.Table) -> pa.Table:
         grams = Grams(group.column("text").combine_chunks(), order)
+        rows: dict[str, list] = {"range": [], "block": [], "keys": [], "counts": []}
         for k, (keys, _, counts) in enumerate(grams.keys):
             of = (keys >> shift).astype(np.int64) if ranges > 1 else np.zeros(len(keys), np.int64)
             found, begin = np.unique(of, return_index=True)
-            edges = [*begin.tolist(), len(keys)]
-            cut = list(zip(edges, edges[1:]))
-            for at in range(0, len(cut), 64):
-                part = cut[at : at + 64]
-                yield pa.record_batch(
-                    [
-                        pa.array(found[at : at + 64] + k * ranges), pa.array([block] * len(part)), pa.array([a for a, _ in part]),
-                        pa.array([_planes(keys[a:b]) for a, b in part], pa.binary()), pa.array([counts[a:b].astype("<u4").tobytes() for a, b in part], pa.binary()),
-                    ],
-                    names=["range", "block", "first", "keys", "counts"],
-                )
+            for r, a, b in zip(found.tolist(), begin.tolist(), [*begin[1:].tolist(), len(keys)]):
+                rows["range"].append(r + k * ranges)
+                rows["block"].append(key[0].as_py())
+                rows["keys"].append(_planes(keys[a:b]))
+                rows["counts"].append(counts[a:b].astype("<u4").tobytes())
+        return pa.table({n: pa.array(v, pa.int64() if n in ("range", "block") else pa.binary()) for n, v in rows.items()})
 
-    return lambda key, group: pa.Table.from_batches(list(ask_block(key, group)), schema=pa.schema([("range", pa.int64()), ("block", pa.int64()), ("first", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]))
+    return ask_block
 
 
 def answer(ranges: int, first: dict[int, int]):
@@ -270,7 +262,3 @@ def score(docs: DataFrame, order: int = 2, block_bytes: int = 6 << 20, add: floa
     scored = rows.groupBy("block").cogroup(replies.select("block", "range", "all").groupBy("block")).applyInArrow(scores, SCORES.format(kind))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n_all)).cast("long").alias("train_tokens"), "base_score", "score")
 
-
-def crc_mod(doc_id, by: int) -> int:
-    """The split of a row, as the SQL side sees it."""
-    return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % by

@@ -26,6 +26,45 @@ def test_stages_keep_columns_and_take_effect(spark):
     assert pieces.where("length > 4096 OR octet_length(ids) <> 4 * length").count() == 0
 
 
+def test_each_stage_against_brute_force(spark):
+    """Every stage on the input that it really gets, against a plain version of what it is to do."""
+    import hashlib
+
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from modlake.llm import mixing, quality
+    from modlake.llm.store import stored
+    from tests.llm.test_dedup import brute_classes, brute_lines, slow_word_fingerprint
+
+    inputs = [spark.read.parquet(f"{DATA}/documents.parquet")]
+    for _, stage in corpus_pipeline.STAGES:
+        inputs.append(stored(stage(spark, inputs[-1], DATA), "test"))
+    texts = [{r.doc_id: r.text for r in df.select("doc_id", "text").collect()} for df in inputs[:5]]
+
+    scored = quality.classify(inputs[0], spark.read.parquet(f"{DATA}/labels.parquet"))
+    assert set(texts[1]) == {r.doc_id for r in scored.where("predicted = 1").collect()}
+
+    assert texts[2] == {d: t for d, _, _, t in brute_lines(sorted(texts[1].items()))}
+
+    ids = sorted(texts[2])
+    fps = [slow_word_fingerprint(texts[2][d]) for d in ids]
+    assert sorted(texts[3]) == [ids[k] for k in sorted(set(brute_classes([f - 2**64 if f >> 63 else f for f in fps], 6)))]
+
+    kept = {r.doc_id: r.probability for r in mixing.mix(inputs[3]).collect()}
+    number = lambda d: int(hashlib.md5(f"8:{d}".encode()).hexdigest()[:8], 16) / 2**32
+    assert sorted(kept) == sorted(texts[4]) and all(number(d) < p for d, p in kept.items())
+
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    got: dict[int, list] = {}
+    for r in inputs[5].collect():
+        got.setdefault(r.doc_id, []).append((r.start, bytes(r.ids)))
+    want = {d: np.array([*tok.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes() for d, t in texts[4].items()}
+    assert {d: b"".join(x for _, x in sorted(p)) for d, p in got.items()} == want
+
+
 def test_queries_of_the_entry_point():
     import __spark_entry__ as entry
 
