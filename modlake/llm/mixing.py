@@ -9,16 +9,20 @@ hash of its id, as a number from 0 to 1, is below its cell's probability, so the
 each time and on every cluster.
 
 A target is a dictionary of weights by value, or a power: the observed share to that power.
-Values without a weight get none of that target's mass and leave. Raking and calibration run on the
-table of cells, which Spark aggregates; its size is that of the mixture's description, not of the
-corpus. Documents are read and filtered by a join with the cells, never gathered by cell.
+Values without a weight get none of that target's mass and leave. Raking and calibration run in one
+task on the table of cells, which Spark aggregates; its size is that of the mixture's description, not of
+the corpus. Documents are read and filtered by a join with the cells, never gathered by cell.
 
 Edge cases: null values of a dimension are the value '' ; a null or empty text has no tokens; documents
 without tokens stay if their cell does, a cell without any tokens stays whole; repeated rows stay or leave together; a null doc_id
 hashes as the empty string; an empty table gives no rows; further columns, of any name, pass through.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modlake.llm.store import stored
@@ -39,55 +43,65 @@ def form_of(text: Column, tokens: Column) -> Column:
     )
 
 
-def with_targets(cells: DataFrame, targets: dict[str, dict | float]) -> DataFrame:
-    """cells with a column t_<dim> for each dimension: the share of all tokens that its value is to have."""
-    for dim, target in targets.items():
-        own = cells.groupBy(F.col(dim).alias("__v")).agg(F.sum("tokens").alias("__n"))
-        if isinstance(target, dict):
-            weight = F.coalesce(F.create_map(*[F.lit(x) for kv in target.items() for x in kv])[F.col("__v")].cast("double"), F.lit(0.0))
-        else:
-            weight = F.when(F.col("__n") > 0, F.pow("__n", F.lit(float(target)))).otherwise(0.0)
-        weighed = own.select("__v", weight.alias("__w"))
-        total = weighed.agg(F.sum("__w").alias("__all"))
-        share = weighed.crossJoin(F.broadcast(total)).select("__v", F.when(F.col("__all") > 0, F.col("__w") / F.col("__all")).otherwise(0.0).alias(f"t_{dim}"))
-        cells = cells.join(share, F.col(dim) == F.col("__v")).drop("__v")
-    return cells
-
-
-def rake(cells: DataFrame, dims: tuple[str, ...], rounds: int = ROUNDS) -> DataFrame:
-    """cells with `raked`: tokens scaled, dimension after dimension, to the shares t_<dim>."""
-    now = cells.withColumn("raked", F.col("tokens"))
+def target_shares(values: np.ndarray, tokens: np.ndarray, target: dict | float) -> np.ndarray:
+    """For each cell, the share of all tokens that its value of a dimension is to have."""
+    names, of = np.unique(values, return_inverse=True)
+    own = np.bincount(of, tokens, len(names))
+    if isinstance(target, dict):
+        weight = np.array([float(target.get(n, 0.0)) for n in names])
+    else:
+        weight = np.where(own > 0, own, 1.0) ** float(target) * (own > 0)
+    return (weight / weight.sum() if weight.sum() > 0 else weight)[of]
+
+
+def rake(tokens: np.ndarray, dims: list[np.ndarray], shares: list[np.ndarray], rounds: int = ROUNDS) -> np.ndarray:
+    """Tokens of the cells scaled, dimension after dimension, to the shares."""
+    raked = tokens.astype(np.float64)
+    of = [np.unique(d, return_inverse=True)[1] for d in dims]
     for _ in range(rounds):
-        for dim in dims:
-            held = F.sum("raked").over(Window.partitionBy(dim))
-            now = now.withColumn("raked", F.when(held > 0, F.col("raked") * F.col(f"t_{dim}") / held).otherwise(0.0))
-    return now
+        for place, share in zip(of, shares):
+            held = np.bincount(place, raked)[place]
+            raked = np.where(held > 0, raked * share / np.where(held > 0, held, 1.0), 0.0)
+    return raked
 
 
-def calibrate(cells: DataFrame, fraction: float) -> DataFrame:
-    """cells with `probability` and `weight`: stay with the one, count with the other.
+def calibrate(tokens: np.ndarray, raked: np.ndarray, fraction: float) -> tuple[np.ndarray, np.ndarray]:
+    """(probability, weight) of each cell: documents stay with the one and count with the other.
 
     The largest ratios are capped at 1 in turn, until the scale for the others caps no more of them.
     """
-    ratio = F.when(F.col("tokens") > 0, F.col("raked") / F.col("tokens")).otherwise(0.0)
-    by = Window.orderBy(F.desc("ratio"), *DIMS)  # the table of cells: one task for its running sums
-    upto = by.rowsBetween(Window.unboundedPreceding, -1)
-    after = by.rowsBetween(0, Window.unboundedFollowing)
-    every = Window.partitionBy()
-    sums = cells.withColumn("ratio", ratio).select(
-        *DIMS, "tokens", "ratio",
-        (fraction * F.sum("tokens").over(every) - F.coalesce(F.sum("tokens").over(upto), F.lit(0.0))).alias("left"),
-        F.sum(F.col("tokens") * F.col("ratio")).over(after).alias("mass"),
-    )
-    scale = F.when(F.col("mass") > 0, F.col("left") / F.col("mass"))
-    scaled = sums.withColumn("own", scale).withColumn("fits", F.col("own") * F.col("ratio") <= 1)
-    first = scaled.withColumn("scale", F.max(F.when(F.col("fits") & (F.col("own") > 0), F.col("own"))).over(every))
-    wanted = F.coalesce(F.col("scale"), F.lit(1e300)) * F.col("ratio")
-    return first.select(
-        *DIMS,
-        F.when(F.col("tokens") > 0, F.least(wanted, F.lit(1.0))).otherwise(1.0).alias("probability"),
-        F.when(F.col("scale").isNull() | (F.col("tokens") <= 0), 1.0).otherwise(F.greatest(wanted, F.lit(1.0))).alias("weight"),
-    )
+    ratio = np.divide(raked, tokens, out=np.zeros(len(tokens)), where=tokens > 0)
+    order = np.argsort(-ratio, kind="stable")
+    t, r = tokens[order], ratio[order]
+    rest = fraction * t.sum() - (np.cumsum(t) - t)
+    mass = np.cumsum((t * r)[::-1])[::-1]
+    own = np.divide(rest, mass, out=np.zeros(len(t)), where=mass > 0)
+    fits = (own > 0) & (own * r <= 1)
+    scale = own[fits].max() if fits.any() else None
+    wanted = (1e300 if scale is None else scale) * ratio
+    whole = tokens <= 0
+    return np.where(whole, 1.0, np.minimum(wanted, 1.0)), np.where(whole | (scale is None), 1.0, np.maximum(wanted, 1.0))
+
+
+PLAN = "__p_source string, __p_lang string, __p_topic string, __p double, __w double"
+
+
+def planned(cells: DataFrame, targets: dict[str, dict | float], fraction: float, rounds: int) -> DataFrame:
+    """The probability and weight of each cell (PLAN), worked out in one task from the table of cells."""
+
+    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            rows = pa.Table.from_batches(held)
+            tokens = rows.column("tokens").to_numpy()
+            values = {d: np.array(rows.column(d).to_pylist(), object) for d in DIMS}
+            shares = [target_shares(values[d], tokens, t) for d, t in targets.items()]
+            probability, weight = calibrate(tokens, rake(tokens, [values[d] for d in targets], shares, rounds), fraction)
+            columns = [*(rows.column(d).combine_chunks() for d in DIMS), pa.array(probability), pa.array(weight)]
+            yield pa.record_batch(columns, names=[c.split()[0] for c in PLAN.split(", ")])
+
+    # in a fixed order, so that sums come out the same each time
+    return cells.coalesce(1).sortWithinPartitions(*DIMS).mapInArrow(plan, PLAN)
 
 
 def number_of(doc_id: Column, seed: int) -> Column:
@@ -106,9 +120,8 @@ def mix(
     rows = docs.withColumn("__n", tokens).withColumn("__source", F.coalesce(F.col(source), F.lit(""))).withColumn("__lang", F.coalesce(F.col(lang), F.lit("")))
     rows = rows.withColumn("__topic", F.coalesce(topic if topic is not None else form_of(F.col(text), F.col("__n")), F.lit("")))
     keys = [F.col(f"__{d}").alias(d) for d in DIMS]
-    cells = stored(rows.groupBy(*keys).agg(F.sum("__n").cast("double").alias("tokens")), "cells")
-    planned = calibrate(rake(with_targets(cells, targets), tuple(targets), rounds), fraction)
-    plan = stored(planned.select(*[F.col(d).alias(f"__p_{d}") for d in DIMS], F.col("probability").alias("__p"), F.col("weight").alias("__w")), "plan")
+    cells = rows.groupBy(*keys).agg(F.sum("__n").cast("double").alias("tokens"))
+    plan = stored(planned(cells, targets, fraction, rounds), "plan")
     # a row of some 60 bytes for each cell; beyond the bound the join is by shuffle
     few = plan.count() <= 100_000
     joined = rows.join(F.broadcast(plan) if few else plan, [F.col(f"__{d}") == F.col(f"__p_{d}") for d in DIMS])

@@ -98,18 +98,17 @@ def test_raking_reaches_the_marginals_and_the_sample_the_budget(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
-def test_calibration_against_a_search_for_the_scale(spark):
+def test_calibration_against_a_search_for_the_scale():
     rng = np.random.default_rng(2)
     for fraction in (0.1, 0.6, 0.95):
         tokens, raked = rng.integers(1, 100, 12).astype(float), rng.random(12) * 50
-        cells = spark.createDataFrame([(str(k), "", "", float(t), float(r)) for k, (t, r) in enumerate(zip(tokens, raked))], "source string, lang string, topic string, tokens double, raked double")
-        got = {r.source: r.probability for r in mixing.calibrate(cells, fraction).collect()}
+        probability, weight = mixing.calibrate(tokens, raked, fraction)
         lo, hi = 0.0, 1e9
         for _ in range(200):
             mid = (lo + hi) / 2
             lo, hi = (mid, hi) if (tokens * np.minimum(1, mid * raked / tokens)).sum() < fraction * tokens.sum() else (lo, mid)
         want = np.minimum(1, hi * raked / tokens)
-        assert np.allclose([got[str(k)] for k in range(12)], want, atol=1e-6)
+        assert np.allclose(probability, want, atol=1e-6) and np.allclose(weight, np.maximum(1, hi * raked / tokens), atol=1e-6)
 
 
 def turns(rows):
