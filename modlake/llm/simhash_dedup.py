@@ -5,15 +5,13 @@ shingle, repeats included; a bit is 1 if set in over half of the hashes. Fingerp
 fewer differing bits are linked, candidates coming from covering masks (hamming.covering_masks), so
 every such pair meets in some table; documents are grouped by connected component.
 
-Fingerprints of 4-word shingles at 4 bits find texts that agree almost everywhere: of pairs with a Jaccard
-similarity of 0.8 or more on five-word shingles they link one in twenty-five. drop_near_copies(), which
-is to find those, therefore votes with the distinct words of a text, weighted by length, and links at 6
-bits (127 tables): on the given tables nine in ten such pairs are within, and no two unrelated texts of
-20,000 sampled pairs of one language come nearer than 16 bits. A text of fewer than SHORT words is only linked
-with texts of the same words in the same order.
+drop_near_copies() is to find all pairs with a Jaccard similarity of 0.8 or more on five-word shingles. Its
+first candidates are fingerprints of the distinct words of a text, weighted by length, at 6 bits (127 tables).
+One in ten such pairs is farther apart; the exact prefix-filter join of `similar` finds those.
 
-Scale: texts are read once and never shuffled. After that only distinct fingerprints move, 16 bytes
-for each of the 2^(radius+1) - 1 tables.
+Scale: near_components() reads texts once and never shuffles them; after that only distinct fingerprints
+move, 16 bytes for each of the 2^(radius+1) - 1 tables. drop_near_copies() also moves the prefix, a fifth of
+the shingles of each text, and the shingle sets of the candidates.
 
 Edge cases: a null, empty or blank text has fingerprint zero and is linked like any other; fewer words
 than a shingle make one shingle; repeated rows have one fingerprint each and share a component.
@@ -30,7 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modlake.llm.fingerprints import voted, word_arrays
-from modlake.llm.hamming import covering_masks, near_classes, slices
+from modlake.llm.hamming import components, covering_masks, near_classes, signed, slices
+from modlake.llm.similar import frequent, lists, nodes_of, prefixes, shingle_sets, similar_components
 from modlake.llm.store import stored
 
 SEED = 42
@@ -68,9 +67,9 @@ def simhash(docs: DataFrame, width: int = 4, text: str = "text", doc_id: str = "
     return rows.mapInArrow(marks, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
 
 
-def word_fingerprints(texts: pa.Array) -> np.ndarray:
+def word_fingerprints(texts: pa.Array, words: tuple | None = None) -> np.ndarray:
     """Unsigned fingerprints by the distinct words of each text, or by the whole of a short text."""
-    hashes, sizes, counts = word_arrays(texts, SEED)
+    hashes, sizes, counts = words or word_arrays(texts, SEED)
     doc = np.repeat(np.arange(len(counts)), counts)
     order = np.lexsort((hashes, doc))
     h, d, n = hashes[order], doc[order], sizes[order]
@@ -104,13 +103,52 @@ def near_components(docs: DataFrame, width: int = 4, radius: int = 4, text: str
     return marked.join(classes, "fp").select("doc_id", "fp", F.col("class_id").alias("component_id"))
 
 
+def marked_rows(rows: DataFrame, width: int) -> DataFrame:
+    """(doc_id, row, node, n, fp, keys) of rows (doc_id, text, row): set of shingles, its size, fingerprint, prefix."""
+    hot, ranks = frequent(rows)
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 256):
+            words = word_arrays(b.column(1), SEED)
+            found, sizes = shingle_sets(words[0], words[2])
+            if width:
+                lowered = pc.ascii_lower(pc.fill_null(b.column(1), "")).cast(pa.binary())
+                fps = np.array([fingerprint(t, width) for t in lowered.to_pylist()], np.uint64)
+            else:
+                fps = word_fingerprints(b.column(1), words)
+            columns = [b.column(0), b.column(2), pa.array(nodes_of(found, sizes)), pa.array(sizes), pa.array(fps.view(np.int64)), lists(*prefixes(found, sizes, hot, ranks))]
+            yield pa.record_batch(columns, names=["doc_id", "row", "node", "n", "fp", "keys"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return stored(rows.select("doc_id", "text", "row").mapInArrow(marks, f"doc_id {kind}, row long, node long, n long, fp long, keys array<long>"), "simhash")
+
+
+def likely_pairs(nodes: DataFrame, masks: list[int], radius: int) -> DataFrame:
+    """(a, b) of nodes (node, fp): each beside the smallest fingerprint of its buckets, if within the radius."""
+    fps = stored(nodes.groupBy("fp").agg(F.min("node").alias("rep")), "fps")
+    table = F.explode(F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(signed(m)))) for i, m in enumerate(masks)]))
+    keys = fps.select("fp", table.alias("k"))
+    shared = keys.groupBy("k").agg(F.min("fp").alias("hub"), F.max("fp").alias("top")).where("hub < top").select("k", "hub")
+    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= radius
+    pairs = keys.join(stored(shared, "shared"), "k").where((F.col("fp") != F.col("hub")) & near).select("fp", "hub").distinct()
+    pairs = pairs.join(fps.toDF("fp", "a"), "fp").join(fps.toDF("hub", "b"), "hub").select("a", "b")
+    return stored(pairs.union(nodes.join(fps, "fp").where("node <> rep").select("rep", "node")), "likely")
+
+
 def drop_near_copies(docs: DataFrame, width: int = 0, radius: int = 6, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """docs without the rows whose component has a smaller doc_id; of rows with one doc_id one stays.
 
     Rows with a null doc_id cannot be told apart by id: of equal rows one stays, others are kept.
     """
-    found = near_components(docs.where(F.col(doc_id).isNotNull()), width, radius, text, doc_id)
-    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
+    named = docs.where(F.col(doc_id).isNotNull())
+    rows = named.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(doc_id, text).alias("row"))
+    marked = marked_rows(rows, width)
+    nodes = stored(marked.groupBy("node").agg(F.min("row").alias("row"), F.min("n").alias("n"), F.min("fp").alias("fp"), F.min("doc_id").alias("first")), "nodes")
+    likely = likely_pairs(nodes, covering_masks(radius), radius)
+    exact = similar_components(marked, nodes, rows, likely)
+    roots = components(exact.toDF("a", "b").union(likely))
+    grouped = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    stay = stored(grouped.groupBy("root").agg(F.min("first").alias("__keep")).select("__keep").distinct(), "stay")
     kept = docs.join(stay, F.col(doc_id) == F.col("__keep"), "left_semi").dropDuplicates([doc_id])
     return kept.unionByName(docs.where(F.col(doc_id).isNull()).dropDuplicates())
 
