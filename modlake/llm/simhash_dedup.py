@@ -7,7 +7,8 @@ every such pair meets in some table; documents are grouped by connected componen
 
 drop_near_copies() is to find all pairs with a Jaccard similarity of 0.8 or more on five-word shingles. Its
 first candidates are fingerprints of the distinct words of a text, weighted by length, at 6 bits (127 tables).
-One in ten such pairs is farther apart; the exact prefix-filter join of `similar` finds those.
+One in ten such pairs is farther apart; the exact prefix-filter join of `similar` finds those. Every link,
+of whichever search, is verified by the shingles themselves before components are formed.
 
 Scale: near_components() reads texts once and never shuffles them; after that only distinct fingerprints
 move, 16 bytes for each of the 2^(radius+1) - 1 tables. drop_near_copies() also moves the prefix, a fifth of
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modlake.llm.fingerprints import voted, word_arrays
-from modlake.llm.hamming import components, covering_masks, near_classes, signed, slices
+from modlake.llm.hamming import covering_masks, near_classes, signed, slices
 from modlake.llm.similar import frequent, lists, nodes_of, prefixes, shingle_sets, similar_components
 from modlake.llm.store import stored
 
@@ -145,8 +146,7 @@ def drop_near_copies(docs: DataFrame, width: int = 0, radius: int = 6, text: str
     marked = marked_rows(rows, width)
     nodes = stored(marked.groupBy("node").agg(F.min("row").alias("row"), F.min("n").alias("n"), F.min("fp").alias("fp"), F.min("doc_id").alias("first")), "nodes")
     likely = likely_pairs(nodes, covering_masks(radius), radius)
-    exact = similar_components(marked, nodes, rows, likely)
-    roots = components(exact.toDF("a", "b").union(likely))
+    roots = similar_components(marked, nodes, rows, likely)
     grouped = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     stay = stored(grouped.groupBy("root").agg(F.min("first").alias("__keep")).select("__keep").distinct(), "stay")
     kept = docs.join(stay, F.col(doc_id) == F.col("__keep"), "left_semi").dropDuplicates([doc_id])
