@@ -12,9 +12,11 @@ id is a pair of its own; an empty table gives no rows; other columns are not rea
 row of the result, so its turns meet in one task; nothing larger does.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from modlake.llm.store import parts_for, stored, text_size
+
 
 def rendered(turn: Column) -> Column:
     return F.concat(F.lit("<|"), turn["role"], F.lit("|>\n"), turn["text"], F.lit("<|end|>\n"))
@@ -69,6 +71,33 @@ def paired_with_next(conversations: DataFrame) -> DataFrame:
     before = F.when(F.col("conv_id") == F.lit(ends["lo"]), F.lit(ends["hi"])).otherwise(F.col("conv_id") - 1)
     given = last.select(before.alias("of"), F.col("a.text").alias("other"))
     pairs = last.select("conv_id", F.col("a.turn").alias("last_turn"), F.col("a.text").alias("last_text")).join(given, F.col("conv_id") == F.col("of")).drop("of")
+    return _sides(rows, pairs)
+
+
+def paired_with_next_answered(conversations: DataFrame, part_bytes: int = 16 << 20) -> DataFrame:
+    """Pairs out of plain conversations as paired_with_next() makes, of every conversation that has an answer.
+
+    The next conversation is the next one with an answer in the order of ids, whatever lies between; after
+    the last comes the first, so one alone is paired with itself. Only conversations without any answer
+    make no pair. Answers are sorted by ranges of ids; the edges of the ranges are joined afterwards.
+    """
+    rows = conversations.where("conv_id IS NOT NULL").select("conv_id", "turn", "role", "text")
+    answers = rows.where("role = 'assistant'").groupBy("conv_id").agg(F.max(F.struct("turn", F.coalesce("text", F.lit("")).alias("text"))).alias("a"))
+    last = answers.select("conv_id", F.col("a.turn").alias("last_turn"), F.col("a.text").alias("last_text"))
+    n_parts = parts_for(text_size(last, "last_text")[1], part_bytes)
+    ranged = stored(last.repartitionByRange(n_parts, "conv_id").withColumn("part", F.spark_partition_id()), "answers")
+    within = ranged.withColumn("other", F.lead("last_text").over(Window.partitionBy("part").orderBy("conv_id")))
+    firsts = ranged.groupBy("part").agg(F.min_by("last_text", "conv_id").alias("first_text"))
+    # one number a partition; the partition after the last is the first
+    after = firsts.select("part", F.lead("part").over(Window.orderBy("part")).alias("then"))
+    after = after.crossJoin(F.broadcast(firsts.agg(F.min("part").alias("lowest")))).select("part", F.coalesce("then", "lowest").alias("then"))
+    edges = after.join(firsts.withColumnRenamed("part", "then"), "then").select("part", "first_text")
+    pairs = within.join(edges, "part").select("conv_id", "last_turn", "last_text", F.coalesce("other", "first_text").alias("other"))
+    return _sides(rows, pairs)
+
+
+def _sides(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Both sides of pairs (conv_id, last_turn, last_text, other) out of the turns of rows."""
     both = rows.join(pairs.withColumnRenamed("conv_id", "of"), F.col("conv_id") == F.col("of"))
     replaced = (F.col("role") == "assistant") & F.col("turn").eqNullSafe(F.col("last_turn")) & (F.coalesce("text", F.lit("")) == F.col("last_text"))
     sides = F.explode(

@@ -45,9 +45,9 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from modlake.llm.preference import format_preferences, paired_with_next
+    from modlake.llm.preference import format_preferences, paired_with_next_answered
 
-    out = format_preferences(paired_with_next(table(spark, sf_dir, "conversations")))
+    out = format_preferences(paired_with_next_answered(table(spark, sf_dir, "conversations")))
     trained = lambda mask: F.aggregate(F.filter(mask, lambda m: m["trained"]), F.lit(0).cast("long"), lambda n, m: n + m["length"])
     return out.select(
         F.col("pair_id").alias("conv_id"), F.col("n_prompt_turns").cast("long").alias("n_prompt_turns"),

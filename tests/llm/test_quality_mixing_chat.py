@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from modlake.llm import mixing, quality
-from modlake.llm.preference import format_preferences, paired_with_next
+from modlake.llm.preference import format_preferences, paired_with_next, paired_with_next_answered
 
 GOOD = ["The plain words of this text make sentences, and they end. So it goes on for a while.", "Another text of ordinary words is here. It has commas, too."]
 BAD = ["BUY!! NOW!! CHEAP!! OFFER!! LAST!! CALL!!", "alpha*** beta&&& gamma%%% delta### eps*** zeta$$$ eta&&&", "one | two | three | four | five | six | seven | eight"]
@@ -140,3 +140,14 @@ def test_pairs_from_plain_conversations(spark):
     got = sorted(tuple(r) for r in paired_with_next(df).collect() if r.role == "assistant")
     assert got == [(0, "chosen", 1, "assistant", "a0"), (0, "rejected", 1, "assistant", ""), (4, "chosen", 0, "assistant", "a4"), (4, "rejected", 0, "assistant", "a0")]
     assert paired_with_next(df.limit(0)).count() == 0
+
+
+def test_every_answered_conversation_makes_a_pair(spark):
+    rows = [(3, 0, "user", "only")] + [(k * k * 7 + 5, t, "assistant" if t else "user", f"{t}-{k}") for k in range(40) for t in range(2)] + [(None, 0, "assistant", "n"), (10**9, 0, "user", "only")]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    want = {k * k * 7 + 5: f"1-{(k + 1) % 40}" for k in range(40)}
+    for part_bytes in (1, 30, 1 << 20):
+        got = [r for r in paired_with_next_answered(df, part_bytes).collect() if r.role == "assistant" and r.side == "rejected"]
+        assert len(got) == 40 and {r.pair_id: r.text for r in got} == want
+    assert [r.text for r in paired_with_next_answered(df.where("conv_id = 5")).where("role = 'assistant'").collect()] == ["1-0", "1-0"]
+    assert paired_with_next_answered(df.limit(0)).count() == 0
