@@ -105,7 +105,7 @@ def near_components(docs: DataFrame, width: int = 4, radius: int = 4, text: str
 
 
 def marked_rows(rows: DataFrame, width: int) -> DataFrame:
-    """(doc_id, row, node, n, fp, keys) of rows (doc_id, text, row): set of shingles, its size, fingerprint, prefix."""
+    """(doc_id, row, node, n, fp, keys, last) of rows (doc_id, text, row): set of shingles, its size, fingerprint, prefix and rank of its end."""
     hot, ranks = frequent(rows)
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,11 +117,12 @@ def marked_rows(rows: DataFrame, width: int) -> DataFrame:
                 fps = np.array([fingerprint(t, width) for t in lowered.to_pylist()], np.uint64)
             else:
                 fps = word_fingerprints(b.column(1), words)
-            columns = [b.column(0), b.column(2), pa.array(nodes_of(found, sizes)), pa.array(sizes), pa.array(fps.view(np.int64)), lists(*prefixes(found, sizes, hot, ranks))]
-            yield pa.record_batch(columns, names=["doc_id", "row", "node", "n", "fp", "keys"])
+            keys, taken, last = prefixes(found, sizes, hot, ranks)
+            columns = [b.column(0), b.column(2), pa.array(nodes_of(found, sizes)), pa.array(sizes), pa.array(fps.view(np.int64)), lists(keys, taken), pa.array(last)]
+            yield pa.record_batch(columns, names=["doc_id", "row", "node", "n", "fp", "keys", "last"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return stored(rows.select("doc_id", "text", "row").mapInArrow(marks, f"doc_id {kind}, row long, node long, n long, fp long, keys array<long>"), "simhash")
+    return stored(rows.select("doc_id", "text", "row").mapInArrow(marks, f"doc_id {kind}, row long, node long, n long, fp long, keys array<long>, last long"), "simhash")
 
 
 def likely_pairs(nodes: DataFrame, masks: list[int], radius: int) -> DataFrame:
