@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modlake.llm.store import stored
+from modlake.llm.store import dropped, parts_for, stored
 
 #: Fingerprints of one bucket that a task compares at once; larger buckets are cut into tiles of this size.
 TILE = 2048
@@ -37,30 +37,39 @@ def signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of edges (a, b: long): root is the smallest node it can reach.
 
-    Alternating large-star and small-star rounds; each is two aggregates and two joins by key, and is
-    written to the shared folder. A hub with very many neighbours is only ever aggregated to a
-    minimum and joined back, so no task gathers a neighbourhood.
+    Alternating large-star and small-star rounds until one changes nothing; each is two aggregates and
+    two joins by key, and is written to the shared folder in place of the one before. A hub with very
+    many neighbours is only ever aggregated to a minimum and joined back, so no task gathers a
+    neighbourhood. A round replaces neighbours by smaller ones or ends the loop, so the loop ends.
     """
     now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    state = lambda df: tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-    before = state(now)
-    for _ in range(max_rounds if before[0] else 0):
+    state = lambda df: tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.sum(F.xxhash64(F.lit(2), "a", "b").cast("decimal(38,0)"))).first())
+    before, after = None, state(now)
+    while after[0] and after != before:
         both = now.union(now.select("b", "a")).toDF("u", "v")
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(least.select("a", F.col("m").alias("b")))
-        now = stored(small.distinct(), "edges")
-        after = state(now)
-        if after == before:
-            break
-        before = after
+        then = stored(small.distinct(), "edges")
+        before, after = after, state(then)
+        dropped(now)
+        now = then
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())
 
 
+def bucket_keys(fps: DataFrame, masks: list[int], each: int = 1 << 20) -> DataFrame:
+    """(fp, k) for each table of the distinct fingerprints fps (fp: long): k names the bucket of the masked value.
+
+    The fingerprints are dealt out first, so that no task makes many more than `each` of these rows.
+    """
+    table = F.explode(F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(signed(m)))) for i, m in enumerate(masks)]))
+    return fps.repartition(parts_for(fps.count() * len(masks), each), "fp").select("fp", table.alias("k"))
+
+
 def near_links(fps: DataFrame, masks: list[int], radius: int, tile: int = TILE) -> DataFrame:
     """(node, root) of the distinct fingerprints fps (fp: long) that have others within the radius.
 
@@ -70,10 +79,10 @@ def near_links(fps: DataFrame, masks: list[int], radius: int, tile: int = TILE)
     in full, in tiles of bounded size, each tile pair a group of its own; pairs that are already
     connected are left out, so no link between components is lost.
     """
-    table = F.explode(F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(signed(m)))) for i, m in enumerate(masks)]))
-    keys = fps.select("fp", table.alias("k"))
+    keys = bucket_keys(fps, masks)
     shared = keys.groupBy("k").agg(F.min("fp").alias("hub"), F.max("fp").alias("top"), F.count(F.lit(1)).alias("n")).where("hub < top")
-    members = stored(keys.join(shared.select("k", "hub", "n"), "k"), "buckets")
+    # a table of its own, so that the join with it can split a bucket that very many fingerprints share
+    members = stored(keys.join(stored(shared.select("k", "hub", "n"), "shared"), "k"), "buckets")
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= radius
     first = stored(components(members.where((F.col("fp") != F.col("hub")) & near).select(F.col("fp").alias("a"), F.col("hub").alias("b"))), "links")
     named = members.join(first, members["fp"] == first["node"], "left").select("k", "n", "fp", F.coalesce("root", "fp").alias("comp"))
@@ -118,9 +127,9 @@ def near_classes(marked: DataFrame, masks: list[int], radius: int, doc_id: str =
 
     Null ids count after all others; a class of null ids only has class_id null.
     """
-    fps = marked.groupBy(F.col(fp).alias("fp")).agg(F.min(doc_id).alias("first"))
+    fps = stored(marked.groupBy(F.col(fp).alias("fp")).agg(F.min(doc_id).alias("first")), "fps")
     linked = stored(near_links(fps.select("fp"), masks, radius), "classes")
-    smallest = linked.join(fps, linked["node"] == fps["fp"]).groupBy("root").agg(F.min("first").alias("smallest"))
+    smallest = stored(linked.join(fps, linked["node"] == fps["fp"]).groupBy("root").agg(F.min("first").alias("smallest")), "smallest")
     named = linked.join(smallest, "root").select("node", "smallest")
     # a table of its own, so that a join of documents with it can split a fingerprint that very many share
     return stored(fps.join(named, fps["fp"] == named["node"], "left").select("fp", F.coalesce("smallest", "first").alias("class_id")), "named")

@@ -29,9 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modlake.llm.fingerprints import voted, word_arrays
-from modlake.llm.hamming import covering_masks, near_classes, signed, slices
+from modlake.llm.hamming import bucket_keys, covering_masks, near_classes, slices
 from modlake.llm.similar import frequent, lists, nodes_of, prefixes, shingle_sets, similar_components
-from modlake.llm.store import stored
+from modlake.llm.store import free_name, stored
 
 SEED = 42
 #: Texts of fewer words have no near copies at a similarity of 0.8 but those that differ at the ends.
@@ -128,8 +128,7 @@ def marked_rows(rows: DataFrame, width: int) -> DataFrame:
 def likely_pairs(nodes: DataFrame, masks: list[int], radius: int) -> DataFrame:
     """(a, b) of nodes (node, fp): each beside the smallest fingerprint of its buckets, if within the radius."""
     fps = stored(nodes.groupBy("fp").agg(F.min("node").alias("rep")), "fps")
-    table = F.explode(F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(signed(m)))) for i, m in enumerate(masks)]))
-    keys = fps.select("fp", table.alias("k"))
+    keys = bucket_keys(fps.select("fp"), masks)
     shared = keys.groupBy("k").agg(F.min("fp").alias("hub"), F.max("fp").alias("top")).where("hub < top").select("k", "hub")
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= radius
     pairs = keys.join(stored(shared, "shared"), "k").where((F.col("fp") != F.col("hub")) & near).select("fp", "hub").distinct()
@@ -138,20 +137,29 @@ def likely_pairs(nodes: DataFrame, masks: list[int], radius: int) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, width: int = 0, radius: int = 6, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """docs without the rows whose component has a smaller doc_id; of rows with one doc_id one stays.
+    """docs with one row of each component of near copies, that with the smallest doc_id; all columns as they are.
 
-    Rows with a null doc_id cannot be told apart by id: of equal rows one stays, others are kept.
+    Only the texts decide which rows are near copies: rows with one doc_id but different texts, or without a
+    doc_id, are compared like any other. Null ids come after all others; of rows with one doc_id the
+    one with the smallest hash stays, of rows with the same doc_id and text any.
     """
-    named = docs.where(F.col(doc_id).isNotNull())
-    rows = named.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(doc_id, text).alias("row"))
+    row = F.xxhash64(doc_id, text)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), row.alias("row"))
     marked = marked_rows(rows, width)
-    nodes = stored(marked.groupBy("node").agg(F.min("row").alias("row"), F.min("n").alias("n"), F.min("fp").alias("fp"), F.min("doc_id").alias("first")), "nodes")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    nodes = stored(marked.groupBy("node").agg(F.min("row").alias("row"), F.min("n").alias("n"), F.min("fp").alias("fp"), first.alias("first")), "nodes")
     likely = likely_pairs(nodes, covering_masks(radius), radius)
     roots = similar_components(marked, nodes, rows, likely)
     grouped = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    stay = stored(grouped.groupBy("root").agg(F.min("first").alias("__keep")).select("__keep").distinct(), "stay")
-    kept = docs.join(stay, F.col(doc_id) == F.col("__keep"), "left_semi").dropDuplicates([doc_id])
-    return kept.unionByName(docs.where(F.col(doc_id).isNull()).dropDuplicates())
+    k, h = free_name("stays", docs.columns), free_name("hash", docs.columns)
+    stay = stored(grouped.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias(k), F.col("first.row").alias(h)), "stay")
+    here = (row == F.col(h)) & F.col(doc_id).eqNullSafe(F.col(k))
+    kept = docs.join(stay, here, "left_semi")
+    again = stored(marked.groupBy(F.col("doc_id").alias(k), F.col("row").alias(h)).count().where("count > 1").select(k, h), "again")
+    if again.isEmpty():
+        return kept
+    once = kept.join(again, here, "left_semi").withColumn(h, row).dropDuplicates([doc_id, h]).drop(h)
+    return kept.join(again, here, "left_anti").unionByName(once)
 
 
 def hex_fingerprint(fp):

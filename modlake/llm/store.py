@@ -30,14 +30,56 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/modlake/{name}-{uuid.uuid4().hex}"
 
 
+#: Folders of the tables that this process has written and not dropped, oldest first.
+_written: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written as a table in the shared folder and read back: lineage ends there.
 
-    A lost executor costs nothing of what was written, unlike a cached or local copy.
+    A lost executor costs nothing of what was written, unlike a cached or local copy. The table stays
+    until dropped() or drop_since(): a lazy result may still read it.
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _written.append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    _written.remove(path)
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables that stored() has written, once nothing will read them again."""
+    for t in tables:
+        if t.stored_at in _written:
+            _delete(t.sparkSession, t.stored_at)
+
+
+def written() -> int:
+    """A mark for drop_since()."""
+    return len(_written)
+
+
+def drop_since(spark: SparkSession, mark: int = 0, keep: tuple[DataFrame, ...] = ()) -> None:
+    """Delete the tables written since a mark but those to keep; what was made of them has to be stored or consumed."""
+    kept = {t.stored_at for t in keep}
+    for path in _written[mark:]:
+        if path not in kept:
+            _delete(spark, path)
+
+
+def free_name(name: str, columns) -> str:
+    """The name, or if a column has it (case aside) the name with underscores after it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def text_size(df: DataFrame, col: str = "text") -> tuple[int, int]:
