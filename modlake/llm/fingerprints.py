@@ -147,7 +147,8 @@ def compare_with_edits(docs: DataFrame, part_bytes: int = 16 << 20, text: str =
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    ordered = rows.repartitionByRange(parts_for(text_size(rows)[1], part_bytes), "doc_id").sortWithinPartitions("doc_id", "text")
+    # by the beginning of the text too, so that rows of one id need not be one part
+    ordered = rows.repartitionByRange(parts_for(text_size(rows)[1], part_bytes), F.col("doc_id"), F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     names = ["doc_id", *(c.split()[0] for c in COMPARED.split(", ")), "part", "edge", "text"]
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

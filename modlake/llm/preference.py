@@ -7,8 +7,8 @@ are trained on, role headers and other roles' turns are not.
 
 Edge cases: a null role or text is an empty one, and equal to an empty one; turns are ordered by turn, role and text, so
 repeated and tied rows have a fixed order, null turns first; identical conversations leave both completions empty; a
-pair of which one side is missing has an empty common prefix and no completion on that side; a null pair
-id is a pair of its own; an empty table gives no rows; other columns are not read. A conversation is one
+pair of which one side is missing has an empty common prefix and no completion on that side; turns without a
+pair id belong to no pair and give no row; an empty table gives no rows; other columns are not read. A conversation is one
 row of the result, so its turns meet in one task; nothing larger does.
 """
 
@@ -44,7 +44,7 @@ def format_preferences(turns: DataFrame, trained_role: str = "assistant") -> Dat
     """
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     side = lambda s: F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == s, turn))), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    pairs = turns.groupBy("pair_id").agg(side("chosen").alias("c"), side("rejected").alias("r"))
+    pairs = turns.where("pair_id IS NOT NULL").groupBy("pair_id").agg(side("chosen").alias("c"), side("rejected").alias("r"))
     shorter = F.least(F.size("c"), F.size("r"))
     apart = F.array_position(F.zip_with(F.slice("c", 1, shorter), F.slice("r", 1, shorter), lambda a, b: a != b), True).cast("int")
     common = F.when(apart > 0, apart - 1).otherwise(shorter)
@@ -57,29 +57,13 @@ def format_preferences(turns: DataFrame, trained_role: str = "assistant") -> Dat
     )
 
 
-def paired_with_next(conversations: DataFrame) -> DataFrame:
-    """Pairs out of plain conversations (conv_id, turn, role, text), for format_preferences().
-
-    The chosen side is the conversation. The rejected side has its last answer replaced by the last
-    answer of the conversation with the next id, or of the first for the largest id. Conversations
-    without an answer, or whose next id is missing or has no answer, make no pair.
-    """
-    rows = conversations.where("conv_id IS NOT NULL").select("conv_id", "turn", "role", "text")
-    answers = rows.where("role = 'assistant'")
-    last = answers.groupBy("conv_id").agg(F.max(F.struct("turn", F.coalesce("text", F.lit("")).alias("text"))).alias("a"))
-    ends = rows.agg(F.min("conv_id").alias("lo"), F.max("conv_id").alias("hi")).first()
-    before = F.when(F.col("conv_id") == F.lit(ends["lo"]), F.lit(ends["hi"])).otherwise(F.col("conv_id") - 1)
-    given = last.select(before.alias("of"), F.col("a.text").alias("other"))
-    pairs = last.select("conv_id", F.col("a.turn").alias("last_turn"), F.col("a.text").alias("last_text")).join(given, F.col("conv_id") == F.col("of")).drop("of")
-    return _sides(rows, pairs)
-
-
 def paired_with_next_answered(conversations: DataFrame, part_bytes: int = 16 << 20) -> DataFrame:
-    """Pairs out of plain conversations as paired_with_next() makes, of every conversation that has an answer.
+    """Pairs out of plain conversations (conv_id, turn, role, text), for format_preferences(): one of each that has an answer.
 
-    The next conversation is the next one with an answer in the order of ids, whatever lies between; after
-    the last comes the first, so one alone is paired with itself. Only conversations without any answer
-    make no pair. Answers are sorted by ranges of ids; the edges of the ranges are joined afterwards.
+    The chosen side is the conversation. The rejected side has its last answer replaced by the last answer of
+    the next conversation with an answer in the order of ids, whatever lies between; after
+    the last comes the first, so one alone is paired with itself. Conversations without any answer and turns
+    without a conv_id make no pair. Answers are sorted by ranges of ids; the edges of the ranges are joined afterwards.
     """
     rows = conversations.where("conv_id IS NOT NULL").select("conv_id", "turn", "role", "text")
     answers = rows.where("role = 'assistant'").groupBy("conv_id").agg(F.max(F.struct("turn", F.coalesce("text", F.lit("")).alias("text"))).alias("a"))

@@ -12,6 +12,7 @@ without rows of both classes the score is the share of label 1 (0.5 without any)
 rows; other columns of docs are kept by keep_good() and not read otherwise.
 """
 
+import logging
 import math
 import re
 from dataclasses import dataclass
@@ -23,9 +24,10 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modlake.llm.store import parts_for, stored
+from modlake.llm.store import free_name, parts_for, stored
 
 THRESHOLD = 0.7
+log = logging.getLogger(__name__)
 
 
 def statistics(text: Column) -> dict[str, Column]:
@@ -92,11 +94,6 @@ class RuleModel:
             logit = logit + F.when(rule.column(value), float(w)).otherwise(0.0)
         return 1.0 / (1.0 + F.exp(-logit))
 
-    def score_text(self, text: Column) -> Column:
-        """The same of a text; the statistics are worked out once, as a struct that the rules read."""
-        held = F.array(F.struct(*[c.alias(n) for n, c in statistics(text).items()]))
-        return F.element_at(F.transform(held, lambda s: self.score(lambda n: s[n])), 1)
-
 
 def rules_of(tree_text: str, names: list[str]) -> list[Rule]:
     """The paths of a tree, as Spark prints it, to all nodes below the root."""
@@ -122,7 +119,8 @@ def fit(training: DataFrame, trees: int = 24, depth: int = 3, lasso: float = 0.0
     rules = list(dict.fromkeys(r for t in forest.trees for r in rules_of(t.toDebugString, NAMES)))
     marks = vectors.select("label", F.array(*[r.column(F.col).cast("double") for r in rules]).alias("marks"))
     marked = marks.select("label", array_to_vector("marks").alias("features"))
-    lr = LogisticRegression(elasticNetParam=1.0, regParam=lasso, maxIter=25, tol=1e-4, standardization=False).fit(marked)
+    lr = LogisticRegression(elasticNetParam=1.0, regParam=lasso, maxIter=100, tol=1e-6, standardization=False).fit(marked)
+    log.info("lasso: %d iterations for %d rules", lr.summary.totalIterations, len(rules))
     chosen = [(r, float(w)) for r, w in zip(rules, lr.coefficients.toArray()) if w != 0]
     return RuleModel(tuple(r for r, _ in chosen), tuple(w for _, w in chosen), float(lr.intercept))
 
@@ -151,6 +149,11 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, t
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of docs, all columns, that the classifier gives at least the threshold."""
-    model = fit(labelled(measured(docs, text, doc_id), labels))
-    return docs.where(model.score_text(F.col(text)) >= threshold)
+    """The rows of docs, all columns, that the classifier gives at least the threshold.
+
+    The statistics are worked out once and stored beside the columns, under names that docs does not have.
+    """
+    names = {n: free_name(n, docs.columns) for n in NAMES}
+    held = stored(docs.withColumns({names[n]: c for n, c in statistics(F.col(text)).items()}), "statistics")
+    model = fit(labelled(held.select(F.col(doc_id).alias("doc_id"), *[F.col(c).alias(n) for n, c in names.items()]), labels))
+    return held.where(model.score(lambda n: F.col(names[n])) >= threshold).select(*docs.columns)

@@ -56,12 +56,10 @@ def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Conversation ids and turns of the given table are unique and not null; the operator does not need that.
+#: Turns of a conversation in the given table are unique and not null; the operator does not need that.
 OP5_SQL = """
-WITH last AS (SELECT conv_id, max(turn) AS last_turn, arg_max(coalesce(text, ''), turn) AS answer FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
-ends AS (SELECT min(conv_id) AS lo, max(conv_id) AS hi FROM conversations),
-pairs AS (SELECT a.conv_id, a.last_turn, a.answer, b.answer AS other FROM last a CROSS JOIN ends
-    JOIN last b ON b.conv_id = CASE WHEN a.conv_id = hi THEN lo ELSE a.conv_id + 1 END),
+WITH last AS (SELECT conv_id, max(turn) AS last_turn, arg_max(coalesce(text, ''), turn) AS answer FROM conversations WHERE role = 'assistant' AND conv_id IS NOT NULL GROUP BY conv_id),
+pairs AS (SELECT conv_id, last_turn, answer, coalesce(lead(answer) OVER (ORDER BY conv_id), first_value(answer) OVER (ORDER BY conv_id)) AS other FROM last),
 turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS c, CASE WHEN turn = last_turn AND role = 'assistant' THEN other ELSE coalesce(text, '') END AS r,
     row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations JOIN pairs USING (conv_id)),
 cut AS (SELECT conv_id, coalesce(min(k) FILTER (WHERE c <> r) - 1, count(*)) AS n FROM turns GROUP BY conv_id),

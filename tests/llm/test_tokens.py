@@ -109,9 +109,9 @@ def test_bit_packing_round_trip(bits):
 def test_file_round_trip_and_random_access(tmp_path):
     rng = np.random.default_rng(5)
     ids = rng.integers(0, 5000, 1000).astype(np.uint32)
-    content = file_bytes(np.array([4, 9]), np.array([0, 300, 1000]), ids, 13, 128)
-    docs, starts, back = parse(content)
-    assert docs.tolist() == [4, 9] and starts.tolist() == [0, 300, 1000] and (back == ids).all()
+    content = file_bytes(np.array([4, -(1 << 63)]), np.array([True, False]), np.array([0, 300, 1000]), ids, 13, 128)
+    docs, nulls, starts, back = parse(content)
+    assert docs.tolist() == [4, -(1 << 63)] and nulls.tolist() == [True, False] and starts.tolist() == [0, 300, 1000] and (back == ids).all()
     (tmp_path / "x.ids").write_bytes(content)
     for a, n in [(0, 1000), (127, 2), (128, 128), (999, 1), (500, 0), (300, 333)]:
         assert (read_ids(f"file://{tmp_path}/x.ids", a, n) == ids[a : a + n]).all()
@@ -120,7 +120,7 @@ def test_file_round_trip_and_random_access(tmp_path):
 
 
 def test_token_store_round_trip(spark):
-    rows = [((k * 7) % 40 if k % 9 else None, t, "x") for k, t in enumerate(TEXTS + TEXTS)]
+    rows = [((k * 7) % 40 if k % 9 else None, t, "x") for k, t in enumerate(TEXTS + TEXTS)] + [(-(1 << 63), "the least id", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, name string").repartition(3)
     manifest = write_tokens(df, BYTE, file_ids=3000, part_bytes=4000)
     assert manifest.count() > 2
@@ -135,3 +135,8 @@ def test_token_store_round_trip(spark):
         got = sorted(((r.doc_id, r.start, r.n_tokens, zlib.crc32(r.ids)) for r in read_tokens(spark, manifest, limit).collect()), key=lambda r: r[1])
         assert got == want
     assert read_tokens(spark, write_tokens(df.limit(0), BYTE)).count() == 0
+
+
+def test_token_store_refuses_ids_that_are_no_whole_numbers(spark):
+    with pytest.raises(TypeError):
+        write_tokens(spark.createDataFrame([("a", "text")], "doc_id string, text string"), BYTE)
