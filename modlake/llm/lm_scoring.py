@@ -13,8 +13,8 @@ order of the question. Two things keep this small without changing a count:
 
 - the most frequent n-grams of a bounded sample, HOT of an order at most, are counted apart: each block adds
   up its own, and Spark sums these with partial results; so no hash range holds an n-gram of all blocks;
-- an n-gram of order 3 or more is asked for only if both n-grams of one word less within it occur in the
-  training text of other blocks; else all its occurrences are here, and its count is known.
+- an n-gram of order 3 or more is asked for only if both n-grams of one word less within it occur in other
+  blocks too; else all its occurrences are here, and its count is known.
 
 Counts and vocabulary cover every training row; nothing is pruned. EM reads the probabilities of the deleted
 part, as 32-bit floats, from a table, a Spark job a round; the driver sees sums by bucket and order only.
@@ -170,37 +170,40 @@ class Block:
         self.kind = row["kind"]
         self.grams = Grams(unsqueezed(row["words"])[unsqueezed(row["codes"], "<u4")], unsqueezed(row["sizes"], "<u4").astype(np.int64), order)
 
-    def wanted(self, k: int, hot: list[np.ndarray], below: np.ndarray | None) -> np.ndarray:
-        """Which distinct n-grams of order k + 1 others may know more of; below: totals of order k of the distinct ones."""
+    def wanted(self, k: int, hot: list[np.ndarray], elsewhere: np.ndarray | None) -> np.ndarray:
+        """Which distinct n-grams of order k + 1 other blocks may hold too; elsewhere says it of those of order k."""
         keys, first, _, _ = self.grams.keys[k]
         asked = ~np.isin(keys, hot[k], assume_unique=True)
         if k >= 2:
-            _, _, number, counts = self.grams.keys[k - 1]
-            shared = below > (counts if self.kind != HELD_OUT else 0)
+            number = self.grams.keys[k - 1][2]
             before = np.ones(len(number), bool)
-            before[1:] = shared[number[:-1]]
+            before[1:] = elsewhere[number[:-1]]
             before[self.grams.starts] = True
-            asked &= shared[number[first]] & before[first]
+            asked &= elsewhere[number[first]] & before[first]
         return asked
 
-    def totals(self, answers: dict[str, dict[int, bytes]], upto: int, ranges: list[int], hot: list[np.ndarray], hot_totals: dict[str, list[np.ndarray]], column: str = "all") -> list[np.ndarray]:
-        """For each order up to `upto` the totals of its distinct n-grams in all training text, or in the kept part."""
-        every: list[np.ndarray] = []
+    def totals(self, answers: dict[str, dict[int, bytes]], upto: int, ranges: list[int], hot: list[np.ndarray], hot_totals: dict[str, list[np.ndarray]], column: str = "all") -> tuple[list[np.ndarray], np.ndarray]:
+        """(totals, elsewhere): for each order up to `upto` the totals of its distinct n-grams in all training text, or
+        in the kept part; and which of the last order occur in other blocks."""
         out: list[np.ndarray] = []
+        elsewhere = None
         for k in range(upto):
             keys, _, _, counts = self.grams.keys[k]
-            asked = np.flatnonzero(self.wanted(k, hot, every[-1] if every else None))
-            of = np.unique(range_of(keys[asked], ranges[k])) + RANGES_OF_ORDER * k
-            at = np.minimum(np.searchsorted(hot[k], keys), max(len(hot[k]) - 1, 0))
-            known = hot[k][at] == keys if len(hot[k]) else np.zeros(len(keys), bool)
-            for c, totals in ([("all", every)] if column == "all" else [("all", every), (column, out)]):
-                # what is not asked for occurs nowhere else
-                total = counts.astype(np.float64) if c == "all" and self.kind != HELD_OUT else np.zeros(len(keys))
-                total[known] = hot_totals[c][k][at[known]]
-                if len(asked):
-                    total[asked] = np.concatenate([unsqueezed(answers[c][r]) for r in of.tolist()])
-                totals.append(total)
-        return out or every
+            asked = np.flatnonzero(self.wanted(k, hot, elsewhere))
+            of = (np.unique(range_of(keys[asked], ranges[k])) + RANGES_OF_ORDER * k).tolist()
+            # what is not asked for occurs nowhere else
+            total = counts.astype(np.float64) if column == "all" and self.kind != HELD_OUT else np.zeros(len(keys))
+            elsewhere = np.zeros(len(keys), bool)
+            if len(hot[k]):
+                at = np.minimum(np.searchsorted(hot[k], keys), len(hot[k]) - 1)
+                known = hot[k][at] == keys
+                total[known] = hot_totals[column][k][at[known]]
+                elsewhere[known] = True
+            if len(asked):
+                total[asked] = np.concatenate([unsqueezed(answers[column][r]) for r in of])
+                elsewhere[asked] = np.concatenate([unsqueezed(answers["elsewhere"][r], "<u1") for r in of]).astype(bool)
+            out.append(total)
+        return out, elsewhere
 
 
 #: Ranges of one order are numbered from a multiple of this.
@@ -212,7 +215,7 @@ def range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
 
 
 ASKED = "range long, block long, kind int, keys binary, counts binary"
-ANSWERED = "block long, range long, kept binary, all binary, n_kept long, n_all long, v_kept long, v_all long"
+ANSWERED = "block long, range long, kept binary, all binary, elsewhere binary, n_kept long, n_all long, v_kept long, v_all long"
 
 
 def _questions(number: int, block: Block, asked: list[tuple[int, np.ndarray]], ranges: list[int]) -> pa.Table:
@@ -241,10 +244,12 @@ def answer_range(key: tuple, group: pa.Table) -> pa.Table:
     kind = np.repeat(kinds, sizes)
     kept = np.bincount(inverse, np.where(kind == KEPT, counts, 0), len(distinct))
     every = kept + np.bincount(inverse, np.where(kind == DELETED, counts, 0), len(distinct))
+    others = np.bincount(inverse, minlength=len(distinct)) > 1  # a block sends an n-gram once
     edges = [0, *np.cumsum(sizes).tolist()]
-    rows: dict[str, list] = {"block": blocks + [-1], "range": [of] * (len(blocks) + 1), "kept": [], "all": []}
+    rows: dict[str, list] = {"block": blocks + [-1], "range": [of] * (len(blocks) + 1), "kept": [], "all": [], "elsewhere": []}
     for b, x, y in zip(kinds.tolist(), edges, edges[1:]):
         to = inverse[x:y]
+        rows["elsewhere"].append(squeezed(others[to].astype("<u1")))
         rows["kept"].append(squeezed(kept[to].astype("<u8")) if b == DELETED else None)
         rows["all"].append(squeezed(every[to].astype("<u8")))
     sums = [int(kept.sum()), int(every.sum()), int((kept > 0).sum()), int((every > 0).sum())] if of < RANGES_OF_ORDER else [0] * 4
@@ -256,7 +261,7 @@ def answer_range(key: tuple, group: pa.Table) -> pa.Table:
 
 def _answers(reply: pa.Table) -> dict[str, dict[int, bytes]]:
     of = reply.column("range").to_pylist()
-    return {c: dict(zip(of, reply.column(c).to_pylist())) for c in ("kept", "all")}
+    return {c: dict(zip(of, reply.column(c).to_pylist())) for c in ("kept", "all", "elsewhere") if c in reply.column_names}
 
 
 def _estimates(grams: Grams, totals: list[np.ndarray], n_tokens: float, n_docs: float) -> tuple[np.ndarray, np.ndarray]:
@@ -363,16 +368,16 @@ def score(docs: DataFrame, order: int = 3, add: float = 0.1, text: str = "text",
         def ask(key: tuple, mine: pa.Table, reply: pa.Table) -> pa.Table:
             row = mine.to_pylist()[0]
             block = Block(row, k + 1)
-            below = block.totals(_answers(reply), k, ranges, hot, hot_totals)[-1]
-            return _questions(row["block"], block, [(k, block.wanted(k, hot, below))], ranges)
+            _, elsewhere = block.totals(_answers(reply), k, ranges, hot, hot_totals)
+            return _questions(row["block"], block, [(k, block.wanted(k, hot, elsewhere))], ranges)
 
         return ask
 
-    def with_replies(which: DataFrame, found: list[DataFrame], function, schema: str, to: str = "block >= 0") -> DataFrame:
+    def with_replies(which: DataFrame, found: list[DataFrame], function, schema: str, to: str = "block >= 0", column: str = "all") -> DataFrame:
         replies = found[0]
         for f in found[1:]:
             replies = replies.union(f)
-        replies = replies.where(to).select("block", "range", "kept", "all")
+        replies = replies.where(to).select("block", "range", column, "elsewhere")
         return which.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(function, schema)
 
     answer = lambda asked: stored(asked.groupBy("range").applyInArrow(answer_range, ANSWERED), "totals")
@@ -387,20 +392,20 @@ def score(docs: DataFrame, order: int = 3, add: float = 0.1, text: str = "text",
 
     def events_of(key: tuple, mine: pa.Table, reply: pa.Table) -> pa.Table:
         block = Block(mine.to_pylist()[0], order)
-        totals = block.totals(_answers(reply), order, ranges, hot, hot_totals, "kept")
+        totals = block.totals(_answers(reply), order, ranges, hot, hot_totals, "kept")[0]
         p, bucket = _estimates(block.grams, totals, n_kept, kept_docs)
         events, n = np.unique(np.concatenate([bucket[None].astype("<f4"), p.astype("<f4")]), axis=1, return_counts=True)
         data = (squeezed(events[0].astype("<u1")), squeezed(events[1:].ravel()), squeezed(n.astype("<u8")))
         return pa.table({c: pa.array([x], pa.binary()) for c, x in zip(("bucket", "p", "n"), data)})
 
-    events = stored(with_replies(needed.where(F.col("kind") == DELETED), found, events_of, "bucket binary, p binary, n binary", "kept IS NOT NULL"), "events")
+    events = stored(with_replies(needed.where(F.col("kind") == DELETED), found, events_of, "bucket binary, p binary, n binary", "kept IS NOT NULL", "kept"), "events")
     weights = learn_weights(events, 1 / (v_kept + 1), order)
     dropped(events)
 
     def scores(key: tuple, mine: pa.Table, reply: pa.Table) -> pa.Table:
         row = mine.select(["kind", "sizes", "words", "codes"]).to_pylist()[0]
         block = Block(row, order)
-        totals = block.totals(_answers(reply), order, ranges, hot, hot_totals)
+        totals = block.totals(_answers(reply), order, ranges, hot, hot_totals)[0]
         p, bucket = _estimates(block.grams, totals, n_all, all_docs)
         w = weights[bucket]
         mixture = w[:, 0] / (v_all + 1)
