@@ -14,21 +14,39 @@ def at(doc: Column | str, path: str, kind: str = "string") -> Column:
 
 
 def event_time(doc: Column | str, path: str) -> Column:
-    """The time at a path, as an instant; null for anything that does not look like a time."""
+    """The time at a path, as an instant; null for anything that does not look like a time. Without an offset it is UTC."""
     text = at(doc, path)
-    return F.when(text.rlike(TIME_SHAPE), F.try_to_timestamp(text))
+    zoned = F.when(text.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), text).otherwise(F.concat(text, F.lit("Z")))
+    return F.when(text.rlike(TIME_SHAPE), F.try_to_timestamp(zoned))
 
 
 def utc_offset_seconds(text: Column) -> Column:
     """The offset that a time text carries, which an instant forgets; null without one."""
     sign = F.when(F.regexp_extract(text, r"([+-])\d{2}:?\d{2}$", 1) == "-", -1).otherwise(1)
     hours, minutes = (F.regexp_extract(text, r"[+-](\d{2}):?(\d{2})$", k).try_cast("int") for k in (1, 2))
-    return F.when(text.endswith("Z"), 0).otherwise(sign * (hours * 3600 + minutes * 60))
+    return F.when(text.endswith("Z"), 0).when(text.rlike(TIME_SHAPE), sign * (hours * 3600 + minutes * 60)).cast("long")
 
 
-def local_date(text: Column) -> Column:
-    """The date on the sender's own calendar."""
-    return F.when(text.rlike(TIME_SHAPE), F.substring(text, 1, 10).try_cast("date"))
+def local_time(text: Column) -> Column:
+    """The time on the sender's own clock and calendar, without zone, so that no session's zone moves it."""
+    clock = F.regexp_extract(text, r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?)", 1)
+    return F.when(text.rlike(TIME_SHAPE), clock.try_cast("timestamp_ntz"))
+
+
+def event_times(doc: Column | str, path: str, name: str) -> dict[str, Column]:
+    """<name>_at as an instant, <name>_local on the sender's clock, and the offset between them."""
+    text = at(doc, path)
+    return {f"{name}_at": event_time(doc, path), f"{name}_local": local_time(text), f"{name}_utc_offset_seconds": utc_offset_seconds(text)}
+
+
+def utc(text: str) -> Column:
+    """A given time, read as UTC."""
+    return F.lit(text if text.endswith("Z") else f"{text}Z").cast("timestamp")
+
+
+def without_zone(c: Column) -> Column:
+    """An instant as the time in UTC, whatever the session's zone."""
+    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.unix_micros(c) / F.lit(1000000).cast("decimal(18,6)")).cast("decimal(18,6)"))
 
 
 def elements(doc: Column) -> Column:
@@ -77,7 +95,7 @@ def has_text(c: Column | str) -> Column:
 
 
 def calendar(c: str, prefix: str, parts: tuple[str, ...]) -> dict[str, Column]:
-    """Calendar columns <prefix>_<part> of a time."""
+    """Calendar columns <prefix>_<part> of a time without zone: give the local time for the sender's own days and hours."""
     made = {
         "date": F.to_date(c), "week": F.to_date(F.date_trunc("week", F.col(c))), "month": F.to_date(F.date_trunc("month", F.col(c))),
         "day_of_week": F.dayname(F.to_date(c)), "hour_of_day": F.hour(c).cast("long"),
@@ -103,6 +121,3 @@ def on_or_after(c: str, unit: str, limit: Column) -> Column:
     step = F.expr({"day": "interval 1 day", "week": "interval 7 days", "month": "interval 1 month", "hour": "interval 1 hour", "year": "interval 1 year"}[unit])
     return F.col(c) >= F.when(floor == limit, floor).otherwise(floor + step)
 
-
-def same(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)

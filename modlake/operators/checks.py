@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modlake.functions.exprs import seconds_between
+from modlake.functions.exprs import seconds_between, utc
 
 
 def unique(df: DataFrame, *cols: str) -> DataFrame:
@@ -67,11 +68,11 @@ def _event_times(acted: DataFrame, closed: DataFrame, decided: DataFrame) -> Dat
 
 
 def implausibly_old(acted: DataFrame, closed: DataFrame, decided: DataFrame, minimum_date: str) -> DataFrame:
-    return _event_times(acted, closed, decided).where(F.col("event_at") < F.lit(minimum_date).cast("timestamp"))
+    return _event_times(acted, closed, decided).where(F.col("event_at") < utc(f"{minimum_date} 00:00:00"))
 
 
 def in_the_future(acted: DataFrame, closed: DataFrame, decided: DataFrame, now: str, tolerance_hours: int) -> DataFrame:
-    limit = F.lit(now).cast("timestamp") + F.make_dt_interval(hours=F.lit(tolerance_hours))
+    limit = utc(now) + F.make_dt_interval(hours=F.lit(tolerance_hours))
     return _event_times(acted, closed, decided).where(F.col("event_at") > limit)
 
 
@@ -133,63 +134,138 @@ def score_gate(current: DataFrame, previous: DataFrame | None, minimum: dict[str
 
 @dataclass(frozen=True)
 class Test:
+    """A named test of a table: run() gives what fails it. Tests of single rows have a predicate, in SQL, so that one pass counts them all."""
+
     __test__ = False  # not one of pytest's
 
     table: str
     kind: str
     severity: str
-    call: Callable
+    call: Callable | None = None
+    fails: str | None = None
 
     @property
     def name(self) -> str:
         return f"{self.table}__{self.kind}"
 
     def run(self, lake) -> DataFrame:
-        return self.call(lake)
+        return self.call(lake) if self.call else lake[self.table].where(self.fails)
+
+
+# Fixed values of the event contract.
+ACTIONS = ["created", "made_decision", "skipped", "changed_queue", "escalated", "returned", "deferred", "cancelled", "paused", "resumed", "assigned", "commented"]
+ACTION_SOURCES = ["auto", "workflow", "api", "manual", "agent"]
+DECISION_SOURCES = ["manual", "automated", "workflow", "api", "agent"]
+JOB_CATEGORIES = ["standard", "appeal", "qa", "golden", "qa_appeal", "training", "multi_review"]
+ACTION_CATEGORIES = ["none", "advisory", "visibility", "content", "account", "unclassified"]
+
+#: What each column has to be: "key" (unique, not null), "required", ("in", values), ("range", low, high) or ("of", table, column),
+#: each with a severity after it where that is not error.
+COLUMNS: dict[str, dict[str, list]] = {
+    "stg_job_actions": {
+        "job_action_event_sk": ["key"], "action": ["required", ("in", ACTIONS, "warn")], "action_source": ["required", ("in", ACTION_SOURCES, "warn")],
+        "actor_type": ["required", ("in", ["user", "workflow", "none"])], "actioned_at": ["required"], "job_id": ["required"], "job_category": [("in", JOB_CATEGORIES, "warn")],
+        "has_entity": ["required"], "queue_slug": ["required"], "delivery_count": ["required", ("range", 1, None)],
+    },
+    "stg_job_closures": {
+        "job_closure_event_sk": ["key"], "job_id": ["required", ("unique", "warn")], "closed_at": ["required"], "job_category": [("in", JOB_CATEGORIES, "warn")],
+        "closure_decision_count": ["required", ("range", 1, None, "warn")], "time_to_close_seconds": [("range", 0, None, "warn")],
+    },
+    "stg_decisions": {
+        "decision_sk": ["key"], "job_closure_event_sk": ["required", ("of", "stg_job_closures", "job_closure_event_sk")], "decided_at": ["required"],
+        "decision_source_type": ["required", ("in", DECISION_SOURCES, "warn")], "handle_time_seconds": [("range", 0, None, "warn")], "policy_count": ["required"], "is_final_decision": ["required"],
+    },
+    "stg_decision_policies": {
+        "decision_policy_sk": ["key"], "decision_sk": ["required", ("of", "stg_decisions", "decision_sk")], "policy_id": ["required"], "is_root_policy": ["required"],
+        "decision_count_allocated": [("range", 0, 1)],
+    },
+    "stg_decision_enforcement_actions": {
+        "decision_enforcement_action_sk": ["key"], "decision_sk": ["required", ("of", "stg_decisions", "decision_sk")], "enforcement_action_slug": ["required"], "is_no_action": ["required"],
+    },
+    "dim_queue": {"queue_key": ["key"], "queue_slug": ["key"]},
+    "dim_policy": {"policy_key": ["key"], "policy_id": ["key"], "policy_severity_class": ["required", ("in", ["illegal", "violating", "non_violating"])]},
+    "dim_reviewer": {"reviewer_key": ["key"], "reviewer_email": ["key"]},
+    "dim_entity": {"entity_key": ["key"]},
+    "dim_workflow": {"workflow_key": ["key"], "workflow_id": ["key"]},
+    "dim_enforcement_action": {
+        "enforcement_action_key": ["key"], "enforcement_action_slug": ["key"], "enforcement_severity_rank": ["required", ("range", 0, 5)], "enforcement_category": [("in", ACTION_CATEGORIES)],
+    },
+    "fct_decisions": {
+        "decision_sk": ["key"], "queue_key": [("of", "dim_queue", "queue_key")], "reviewer_key": [("of", "dim_reviewer", "reviewer_key")], "entity_key": [("of", "dim_entity", "entity_key")],
+    },
+    "fct_decision_policies": {
+        "decision_policy_sk": ["key"], "decision_sk": ["required", ("of", "fct_decisions", "decision_sk")], "policy_key": [("of", "dim_policy", "policy_key")],
+        "decision_count_allocated": [("range", 0, 1)],
+    },
+    "fct_job_actions": {
+        "job_action_event_sk": ["key"], "queue_key": [("of", "dim_queue", "queue_key")], "reviewer_key": [("of", "dim_reviewer", "reviewer_key")], "workflow_key": [("of", "dim_workflow", "workflow_key")],
+    },
+    "fct_jobs": {
+        "job_key": ["key"], "job_id": ["key"], "final_queue_key": [("of", "dim_queue", "queue_key")], "entity_key": [("of", "dim_entity", "entity_key")],
+        "final_reviewer_key": [("of", "dim_reviewer", "reviewer_key")], "queue_change_count": ["required", ("range", 0, None)], "time_to_close_hours": [("range", 0, None, "warn")],
+    },
+}
 
 
-ACTIONS = ["created", "skipped", "changed_queue", "escalated", "returned", "deferred", "assigned", "commented", "cancelled", "paused", "resumed"]
-SOURCES = ["manual", "workflow", "auto", "api", "agent"]
-KEYS = {
-    "dim_queue": "queue_key", "dim_policy": "policy_key", "dim_reviewer": "reviewer_key", "dim_entity": "entity_key", "dim_workflow": "workflow_key",
-    "dim_enforcement_action": "enforcement_action_key", "fct_jobs": "job_key", "fct_decisions": "decision_sk", "fct_job_actions": "job_action_event_sk",
-    "fct_decision_policies": "decision_policy_sk",
-}
-FOREIGN = {
-    "fct_decisions": [("queue_key", "dim_queue"), ("reviewer_key", "dim_reviewer"), ("entity_key", "dim_entity")],
-    "fct_decision_policies": [("policy_key", "dim_policy"), ("decision_sk", "fct_decisions")],
-    "fct_job_actions": [("queue_key", "dim_queue"), ("workflow_key", "dim_workflow"), ("reviewer_key", "dim_reviewer")],
-    "fct_jobs": [("entity_key", "dim_entity")],
+def _column_tests(table: str, column: str, rule) -> list[Test]:
+    kind, *args = rule if isinstance(rule, tuple) else (rule,)
+    severity = args.pop() if args and args[-1] == "warn" else "error"
+    missing = Test(table, f"not_null_{column}", severity, fails=f"{column} IS NULL")
+    once = Test(table, f"unique_{column}", severity, lambda lake: unique(lake[table], column))
+    if kind == "key":
+        return [once, missing]
+    if kind == "required":
+        return [missing]
+    if kind == "unique":
+        return [once]
+    if kind == "in":
+        listed = ", ".join(f"'{v}'" for v in args[0])
+        return [Test(table, f"accepted_{column}", severity, fails=f"{column} NOT IN ({listed})")]
+    if kind == "of":
+        return [Test(table, f"relationships_{column}", severity, lambda lake: relationships(lake[table], column, lake[args[0]], args[1]))]
+    low, high = args
+    beyond = [f"{column} {sign} {limit}" for sign, limit in (("<", low), (">", high)) if limit is not None]
+    return [Test(table, f"range_{column}", severity, fails=" OR ".join(beyond))]
+
+
+def _between(lake) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return lake["stg_job_actions"], lake["stg_job_closures"], lake["stg_decisions"]
+
+
+#: Tests of more than a column, by the table after which they run.
+WHOLE = {
+    "landed_job_actioned": [Test("landed_job_actioned", "freshness", "warn", lambda lake: freshness(lake["landed_job_actioned"], lake.now).where("status <> 'pass'"))],
+    "landed_job_closed": [Test("landed_job_closed", "freshness", "warn", lambda lake: freshness(lake["landed_job_closed"], lake.now).where("status <> 'pass'"))],
+    "stg_job_closures": [Test("stg_job_closures", "without_decisions", "warn", lambda lake: closures_without_decisions(lake["stg_job_closures"]))],
+    "stg_decisions": [
+        Test("stg_decisions", "implausibly_old", "warn", lambda lake: implausibly_old(*_between(lake), lake.config.minimum_date)),
+        Test("stg_decisions", "in_the_future", "warn", lambda lake: in_the_future(*_between(lake), lake.now, lake.config.skew_tolerance_hours)),
+    ],
+    "dim_entity": [Test("dim_entity", "unique_entity_schema_entity_id", "error", lambda lake: unique(lake["dim_entity"], "entity_schema", "entity_id"))],
+    "fct_decisions": [
+        Test("fct_decisions", "before_creation", "warn", lambda lake: decisions_before_creation(lake["fct_decisions"])),
+        Test("fct_decisions", "orphans", "error", lambda lake: orphan_decisions(lake["fct_decisions"], lake["stg_job_closures"])),
+    ],
+    "fct_decision_policies": [Test("fct_decision_policies", "allocation", "error", lambda lake: allocation_disagrees(lake["fct_decisions"], lake["fct_decision_policies"]))],
+    "fct_jobs": [Test("fct_jobs", "actions_reconcile", "error", lambda lake: actions_disagree(lake["stg_job_actions"], lake["fct_jobs"]))],
 }
 
 
 def tests_of(table: str) -> list[Test]:
     """The tests that a table has to pass when it is built."""
-    key = KEYS[table]
-    out = [
-        Test(table, f"unique_{key}", "error", lambda lake: unique(lake[table], key)),
-        Test(table, f"not_null_{key}", "error", lambda lake: not_null(lake[table], key)),
-    ]
-    for fk, dim in FOREIGN.get(table, []):
-        out.append(Test(table, f"relationships_{fk}", "error", lambda lake, fk=fk, dim=dim: relationships(lake[table], fk, lake[dim], KEYS[dim])))
-    if table == "fct_decisions":
-        out += [
-            Test(table, "before_creation", "warn", lambda lake: decisions_before_creation(lake[table])),
-            Test(table, "orphans", "error", lambda lake: orphan_decisions(lake[table], lake["stg_job_closures"])),
-            Test(table, "closures_without_decisions", "warn", lambda lake: closures_without_decisions(lake["stg_job_closures"])),
-            Test(table, "source", "warn", lambda lake: accepted_values(lake[table], "decision_source_type", ["manual", "automated", *SOURCES])),
-        ]
-    if table == "fct_decision_policies":
-        out += [
-            Test(table, "allocation", "error", lambda lake: allocation_disagrees(lake["fct_decisions"], lake[table])),
-            Test(table, "share_range", "error", lambda lake: accepted_range(lake[table], "decision_count_allocated", 0, 1)),
-        ]
-    if table == "fct_job_actions":
-        out.append(Test(table, "action", "warn", lambda lake: accepted_values(lake[table], "action", ACTIONS)))
-    if table == "fct_jobs":
-        out += [
-            Test(table, "unique_job_id", "error", lambda lake: unique(lake[table], "job_id")),
-            Test(table, "actions_reconcile", "error", lambda lake: actions_disagree(lake["stg_job_actions"], lake[table])),
-            Test(table, "one_closure", "warn", lambda lake: unique(lake["stg_job_closures"], "job_id")),
-        ]
-    return out
+    columns = [t for column, rules in COLUMNS.get(table, {}).items() for rule in rules for t in _column_tests(table, column, rule)]
+    return columns + WHOLE.get(table, [])
+
+
+def failing_counts(lake, tables: list[str] | None = None) -> DataFrame:
+    """(table_name, test, severity, n_failing) of every test: tests of single rows in one pass a table, others by themselves."""
+    parts = []
+    for table in tables or [*COLUMNS, *(t for t in WHOLE if t not in COLUMNS)]:
+        tests = tests_of(table)
+        rows = [t for t in tests if t.fails is not None]
+        row = lambda t, n: F.struct(F.lit(table).alias("table_name"), F.lit(t.kind).alias("test"), F.lit(t.severity).alias("severity"), n.cast("long").alias("n_failing"))  # noqa: E731,B023
+        if rows:
+            one = lake[table].agg(*[F.count_if(F.expr(t.fails)).alias(t.kind) for t in rows])
+            parts.append(one.select(F.inline(F.array(*[row(t, F.col(t.kind)) for t in rows]))))
+        parts += [t.run(lake).agg(F.count(F.lit(1)).alias("n")).select(F.inline(F.array(row(t, F.col("n"))))) for t in tests if t.fails is None]
+    return reduce(DataFrame.unionByName, parts)

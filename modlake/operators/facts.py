@@ -6,44 +6,52 @@ Whatever is finer than a fact's grain is aggregated before it is joined, so no j
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modlake.functions.exprs import calendar, email_key, hours, seconds_between, surrogate_key
-from modlake.operators.dims import _latest
-
-
-def _with_keys(rows: DataFrame, queues: DataFrame | None, reviewers: DataFrame | None, entities: DataFrame | None, mail: str, queue: str = "queue_slug", extra: tuple[str, ...] = ()) -> DataFrame:
-    """rows with queue_key, reviewer_key and entity_key by left joins on the natural keys."""
-    out = rows
-    if queues is not None:
-        q = queues.select(F.col("queue_slug").alias("__q"), "queue_key")
-        out = out.join(q, F.col(queue) == F.col("__q"), "left").drop("__q")
-    if reviewers is not None:
-        r = reviewers.select(F.col("reviewer_email").alias("__r"), "reviewer_key", *[F.col(x) for x in extra])
-        out = out.join(r, email_key(mail) == F.col("__r"), "left").drop("__r")
-    if entities is not None:
-        e = entities.select(F.col("entity_schema").alias("__s"), F.col("entity_id").alias("__e"), "entity_key")
-        out = out.join(e, (F.col("entity_schema") == F.col("__s")) & (F.col("entity_id") == F.col("__e")), "left").drop("__s", "__e")
-    return out
-
-
-def fct_decisions(decided: DataFrame, applied: DataFrame, enforced: DataFrame, queues: DataFrame, reviewers: DataFrame, entities: DataFrame, policies: DataFrame, actions: DataFrame) -> DataFrame:
-    """One row for each decision on a closed job."""
-    ranks = actions.select(F.col("enforcement_action_slug").alias("__slug"), F.col("enforcement_severity_rank").alias("rank"))
-    es = enforced.join(ranks, F.col("enforcement_action_slug") == F.col("__slug"), "left").groupBy(F.col("decision_sk").alias("__es")).agg(
-        F.count_if(~F.col("is_no_action")).alias("acted"), F.count_if("is_no_action").alias("no_action_count"), F.max("rank").alias("max_enforcement_severity_rank"),
-        F.coalesce(F.max(F.col("rank") == 5), F.lit(False)).alias("ban"),
-    )
-    groups = policies.select(F.col("policy_id").alias("__p"), "policy_group_name")
-    primary = lambda c: F.max(F.when(F.col("is_primary_policy"), F.col(c)))
-    ps = applied.join(groups, F.col("policy_id") == F.col("__p"), "left").groupBy(F.col("decision_sk").alias("__ps")).agg(
-        F.count(F.lit(1)).alias("n_policies"), F.count_if("policy_is_illegal").alias("illegal"), F.count_if("policy_is_non_violating").alias("harmless"),
-        F.countDistinct(F.coalesce("policy_parent_id", "policy_id")).alias("groups"),
-        primary("policy_group_name").alias("primary_policy_group_name"), primary("policy_name").alias("primary_policy_name"),
+from modlake.functions.exprs import at, calendar, elements, email_key, has_text, hours, seconds_between, surrogate_key
+from modlake.operators.dims import LADDER, _latest
+
+
+def key_of(*cols: str) -> Column:
+    """The key that a dimension gives these values, null if one is: every value seen is in the dimension, so no join is needed."""
+    present = F.lit(True)
+    for c in cols:
+        present = present & F.col(c).isNotNull()
+    return F.when(present, surrogate_key(*cols))
+
+
+def reviewer_key(mail: str) -> Column:
+    return F.when(has_text(mail), surrogate_key(email_key(mail)))
+
+
+def fct_decisions(decided: DataFrame, reviewers: DataFrame, policies: DataFrame, ladder: list[tuple[str, int, str]] = LADDER) -> DataFrame:
+    """One row for each decision on a closed job.
+
+    Policies and enforcement actions are counted in the arrays of the row; only the staffing of the
+    reviewer and the group of the first policy come from dimensions, which are small.
+    """
+    ranks = F.create_map(*[F.lit(x) for slug, rank, _ in ladder for x in (slug, rank)])
+    slugs = F.transform(elements(F.col("enforcement_actions")), lambda a: F.try_variant_get(a, "$", "string"))
+    applied = F.transform(
+        elements(F.col("policies")),
+        lambda p: F.struct(
+            at(p, "id").alias("id"), at(p, "name").alias("name"), F.coalesce(at(p, "parent_id"), at(p, "id")).alias("grp"),
+            at(p, "is_illegal", "boolean").alias("illegal"), at(p, "is_non_violating", "boolean").alias("harmless")),
     )
-    rows = _with_keys(decided, queues, reviewers, entities, "reviewer_email", extra=("staffing_model",))
-    rows = rows.join(es, F.col("decision_sk") == F.col("__es"), "left").join(ps, F.col("decision_sk") == F.col("__ps"), "left")
+    rows = decided.withColumns({"es": slugs, "ps": applied, "first_id": F.get(applied, F.lit(0))["id"]})
+    r = reviewers.select(F.col("reviewer_email").alias("r_mail"), F.col("staffing_model").alias("r_staffing"))
+    g = policies.select(F.col("policy_id").alias("g_id"), F.col("policy_group_name").alias("primary_policy_group_name"))
+    rows = rows.join(r, email_key("reviewer_email") == F.col("r_mail"), "left").join(g, F.col("first_id") == F.col("g_id"), "left")
+    rows = rows.withColumns(
+        {
+            "queue_key": key_of("queue_slug"), "reviewer_key": reviewer_key("reviewer_email"), "entity_key": key_of("entity_schema", "entity_id"), "staffing_model": F.col("r_staffing"),
+            "acted": F.size(F.filter("es", lambda s: s != "no_action")), "no_action_count": F.size(F.filter("es", lambda s: s == "no_action")),
+            "max_enforcement_severity_rank": F.array_max(F.transform("es", lambda s: F.when(s.isNotNull(), F.coalesce(ranks[s], F.lit(0))))).cast("long"),
+            "n_policies": F.size("ps"), "illegal": F.size(F.filter("ps", lambda p: p["illegal"])), "harmless": F.size(F.filter("ps", lambda p: p["harmless"])),
+            "groups": F.size(F.array_distinct(F.filter(F.transform("ps", lambda p: p["grp"]), lambda x: x.isNotNull()))), "primary_policy_name": F.get(F.col("ps"), F.lit(0))["name"],
+        }
+    ).withColumn("ban", F.col("max_enforcement_severity_rank") == 5)
     count = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     made = {
-        **calendar("decided_at", "decided", ("date", "week", "month", "day_of_week", "hour_of_day")),
+        **calendar("decided_local", "decided", ("date", "week", "month", "day_of_week", "hour_of_day")),
         "staffing_model": F.coalesce("staffing_model", F.lit("Automated")), "decision_count": F.lit(1).cast("long"),
         "handle_time_minutes": F.col("handle_time_seconds").cast("double") / 60.0, "handle_time_hours": hours("handle_time_seconds"),
         "policy_count": count("n_policies"), "illegal_policy_count": count("illegal"), "non_violating_policy_count": count("harmless"), "distinct_policy_group_count": count("groups"),
@@ -52,7 +60,7 @@ def fct_decisions(decided: DataFrame, applied: DataFrame, enforced: DataFrame, q
         "is_multi_review_decision": F.col("queue_is_multi_review") & (F.col("decisions_on_job") > 1),
     }
     plain = [
-        "decision_sk", "job_closure_event_sk", "queue_key", "reviewer_key", "entity_key", "decided_at", "job_id", "job_created_at", "closed_at", "job_category", "queue_slug",
+        "decision_sk", "job_closure_event_sk", "queue_key", "reviewer_key", "entity_key", "decided_at", "decided_local", "decided_utc_offset_seconds", "job_id", "job_created_at", "closed_at", "job_category", "queue_slug",
         "queue_is_multi_review", "decision_source_type", "entity_schema", "entity_id", "reviewer_email", "decision_ordinal", "primary_policy_name", "primary_policy_group_name",
         "handle_time_seconds", "max_enforcement_severity_rank", "decisions_on_job", "is_human_decision", "is_automated", "is_violating_outcome", "is_illegal_outcome",
         "is_final_decision", "has_notes", "first_seen_at", "delivery_count", "was_redelivered", "record_source",
@@ -60,23 +68,26 @@ def fct_decisions(decided: DataFrame, applied: DataFrame, enforced: DataFrame, q
     return rows.select(*plain, *[c.alias(n) for n, c in made.items()])
 
 
-def fct_decision_policies(applied: DataFrame, queues: DataFrame, reviewers: DataFrame, entities: DataFrame, policies: DataFrame) -> DataFrame:
+def fct_decision_policies(applied: DataFrame, policies: DataFrame) -> DataFrame:
     """One row for each applied policy, with its raw count and its share of the decision."""
-    p = policies.select(F.col("policy_id").alias("__p"), "policy_key", "policy_parent_name", "policy_group_name", "policy_severity_class")
-    rows = _with_keys(applied, queues, reviewers, entities, "reviewer_email").join(p, F.col("policy_id") == F.col("__p"), "left").drop("__p", "policy_enforcement_actions", "policy_customer_ref")
-    return rows.withColumns({**calendar("decided_at", "decided", ("date", "week", "month")), "policy_application_count": F.lit(1).cast("long"), "handle_time_hours": hours("handle_time_seconds")})
+    p = policies.select(F.col("policy_id").alias("__p"), "policy_parent_name", "policy_group_name", "policy_severity_class")
+    rows = applied.join(p, F.col("policy_id") == F.col("__p"), "left").drop("__p", "policy_enforcement_actions", "policy_customer_ref")
+    keys = {"queue_key": key_of("queue_slug"), "reviewer_key": reviewer_key("reviewer_email"), "entity_key": key_of("entity_schema", "entity_id"), "policy_key": key_of("policy_id")}
+    made = {"policy_application_count": F.lit(1).cast("long"), "handle_time_hours": hours("handle_time_seconds")}
+    return rows.withColumns({**keys, **calendar("decided_local", "decided", ("date", "week", "month")), **made})
 
 
-def fct_job_actions(acted: DataFrame, queues: DataFrame, reviewers: DataFrame, workflows: DataFrame, entities: DataFrame) -> DataFrame:
+def fct_job_actions(acted: DataFrame) -> DataFrame:
     """One row for each action; it has a reviewer or a workflow or neither, and maybe another entity as trigger."""
-    w = workflows.select(F.col("workflow_id").alias("__w"), "workflow_key")
-    t = entities.select(F.col("entity_schema").alias("__ts"), F.col("entity_id").alias("__te"), F.col("entity_key").alias("trigger_entity_key"))
-    rows = _with_keys(acted, queues, reviewers, entities, "actor_user_email").join(w, F.col("actor_workflow_id") == F.col("__w"), "left")
-    rows = rows.join(t, (F.col("trigger_entity_schema") == F.col("__ts")) & (F.col("trigger_entity_id") == F.col("__te")), "left")
-    rows = rows.drop("__w", "__ts", "__te", "entity_attributes", "actor_user_groups", "notes")
+    rows = acted.withColumns(
+        {
+            "queue_key": key_of("queue_slug"), "reviewer_key": reviewer_key("actor_user_email"), "workflow_key": key_of("actor_workflow_id"),
+            "entity_key": key_of("entity_schema", "entity_id"), "trigger_entity_key": key_of("trigger_entity_schema", "trigger_entity_id"),
+        }
+    ).drop("entity_attributes", "actor_user_groups", "notes")
     return rows.withColumns(
         {
-            **calendar("actioned_at", "actioned", ("date", "month", "day_of_week", "hour_of_day")),
+            **calendar("actioned_local", "actioned", ("date", "month", "day_of_week", "hour_of_day")),
             "job_action_count": F.lit(1).cast("long"),
             "job_age_at_action_hours": hours("job_age_at_action_seconds"),
             "is_automated": F.col("actor_type") == "workflow",
@@ -105,7 +116,12 @@ SNAPSHOT_COUNTS = [
 ]
 
 
-def fct_jobs(acted: DataFrame, closed: DataFrame, decided: DataFrame, queues: DataFrame, entities: DataFrame, reviewers: DataFrame) -> DataFrame:
+def _earliest(at: str, local: str) -> Column:
+    """The earliest of some instants, with its local time."""
+    return F.min(F.when(F.col(at).isNotNull(), F.struct(F.col(at).alias("at"), F.col(local).alias("local"))))
+
+
+def fct_jobs(acted: DataFrame, closed: DataFrame, decided: DataFrame) -> DataFrame:
     """One row for each job of either event: its lifecycle so far. decided: rows of fct_decisions.
 
     Actions, closures and decisions are each aggregated by job. The action summary and the latest
@@ -115,12 +131,12 @@ def fct_jobs(acted: DataFrame, closed: DataFrame, decided: DataFrame, queues: Da
     a = acted.where("job_id IS NOT NULL").groupBy("job_id").agg(
         F.count(F.lit(1)).alias("action_count"), *[F.count_if(F.expr(cond)).alias(n) for n, cond in ACTION_COUNTS.items()],
         F.countDistinct("actor_user_email").alias("distinct_actor_count"), F.countDistinct("queue_slug").alias("distinct_queue_count"),
-        F.min("actioned_at").alias("first_actioned_at"), F.max("actioned_at").alias("last_actioned_at"), F.min("job_created_at").alias("created_by_actions"),
+        F.min("actioned_at").alias("first_actioned_at"), F.max("actioned_at").alias("last_actioned_at"), _earliest("job_created_at", "job_created_local").alias("created_by_actions"),
         F.max("job_num_reports").alias("max_reports_on_job"), F.max("job_priority").alias("max_priority"), _latest(latest, "actioned_at").alias("l"), F.lit(True).alias("has_actions"),
     )
     columns = ["job_closure_event_sk", "job_category", "queue_slug", "queue_is_multi_review", "entity_schema", "entity_id"]
     c = closed.where("job_id IS NOT NULL").groupBy("job_id").agg(
-        F.min("closed_at").alias("closed_at"), F.min("job_created_at").alias("created_by_closure"), *[F.max(x).alias(f"c_{x}") for x in columns], F.lit(True).alias("has_closure")
+        _earliest("closed_at", "closed_local").alias("close"), _earliest("job_created_at", "job_created_local").alias("created_by_closure"), *[F.max(x).alias(f"c_{x}") for x in columns], F.lit(True).alias("has_closure")
     )
     final = lambda x: F.max(F.when(F.col("is_final_decision"), F.col(x)))
     d = decided.where("job_id IS NOT NULL").groupBy("job_id").agg(
@@ -137,18 +153,19 @@ def fct_jobs(acted: DataFrame, closed: DataFrame, decided: DataFrame, queues: Da
     jobs = jobs.withColumns({n: F.coalesce(F.col(n), F.lit(0)).cast("long") for n in SNAPSHOT_COUNTS})
     jobs = jobs.withColumns(
         {
-            "job_created_at": F.coalesce("created_by_closure", "created_by_actions"), "job_closure_event_sk": F.col("c_job_closure_event_sk"),
+            "job_created_at": F.coalesce("created_by_closure.at", "created_by_actions.at"), "closed_at": F.col("close.at"),
+            "created_local": F.when(F.col("created_by_closure").isNotNull(), F.col("created_by_closure.local")).otherwise(F.col("created_by_actions.local")), "closed_local": F.col("close.local"), "job_closure_event_sk": F.col("c_job_closure_event_sk"),
             "job_category": F.coalesce("c_job_category", "l.job_category"), "final_queue_slug": F.coalesce("c_queue_slug", "l.queue_slug"), "current_queue_slug": F.col("l.queue_slug"),
             "queue_is_multi_review": F.col("c_queue_is_multi_review"), "entity_schema": F.coalesce("c_entity_schema", "l.entity_schema"), "entity_id": F.coalesce("c_entity_id", "l.entity_id"),
             "latest_action": F.col("l.action"), "is_closed": no("has_closure"), "has_action_history": no("has_actions"), "closed_by_automated_decision": no("by_automation"),
             "job_status": F.when(no("has_closure"), "closed").otherwise(F.coalesce("l.job_status_after", F.lit("unknown"))),
         }
     )
-    jobs = _with_keys(jobs, queues, reviewers, entities, "final_reviewer_email", queue="final_queue_slug")
+    jobs = jobs.withColumn("entity_key", key_of("entity_schema", "entity_id"))
     open_age: Column = F.when(F.col("closed_at").isNull(), seconds_between("job_created_at", "last_actioned_at"))
     made = {
-        "job_key": surrogate_key("job_id"), "final_queue_key": F.col("queue_key"), "final_reviewer_key": F.col("reviewer_key"),
-        **calendar("job_created_at", "created", ("date", "month")), **calendar("closed_at", "closed", ("date", "week", "month", "day_of_week")),
+        "job_key": surrogate_key("job_id"), "final_queue_key": key_of("final_queue_slug"), "final_reviewer_key": reviewer_key("final_reviewer_email"),
+        **calendar("created_local", "created", ("date", "month")), **calendar("closed_local", "closed", ("date", "week", "month", "day_of_week")),
         "time_to_close_seconds": seconds_between("job_created_at", "closed_at"), "time_to_close_hours": hours(seconds_between("job_created_at", "closed_at")),
         "time_to_first_action_seconds": seconds_between("job_created_at", "first_actioned_at"), "handle_time_hours": hours("handle_time_seconds"),
         "decision_to_close_seconds": seconds_between("last_decided_at", "closed_at"), "open_age_at_last_action_secs": open_age, "job_count": F.lit(1).cast("long"),

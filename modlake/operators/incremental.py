@@ -1,5 +1,7 @@
 """Incremental upserts of an event table kept in Parquet by date."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,23 +56,32 @@ def merged(target: DataFrame | None, piece: DataFrame, key: str = "event_id", or
 
 
 def touched_dates(piece: DataFrame, event_ts: str = "event_ts") -> list:
-    """Dates that a piece falls on; as many as days in it."""
+    """Dates that a piece falls on, None for rows without a time; as many as days in it."""
     return [r[0] for r in piece.select(F.to_date(event_ts).alias("d")).distinct().orderBy("d").collect()]
 
 
+def on_dates(df: DataFrame, dates: list, column: str = "event_date") -> DataFrame:
+    """The rows of df on the dates; None among them stands for rows without a date."""
+    wanted = F.col(column).isin([d for d in dates if d is not None])
+    return df.where(wanted | F.col(column).isNull() if None in dates else wanted)
+
+
 def upsert(spark: SparkSession, path: str, piece: DataFrame, key: str = "event_id", event_ts: str = "event_ts", staging: str | None = None) -> DataFrame:
     """Upsert of a table in Parquet by event_date: only the dates of the piece are read and written again.
 
-    What they are to hold is staged beside the table first, because a path cannot be read and
-    overwritten at once. Valid as long as a key keeps its event time.
+    Rows without an event time have a partition of their own, which is read and written like a date.
+    What they are to hold is staged beside the table first, in a folder of this call's own that goes
+    afterwards, because a path cannot be read and overwritten at once. Valid as long as a key keeps its event time.
     """
     dated = piece.withColumn("event_date", F.to_date(event_ts))
-    exists = spark._jvm.org.apache.hadoop.fs.Path(path)
+    table = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = table.getFileSystem(spark._jsc.hadoopConfiguration())
     target = None
-    if exists.getFileSystem(spark._jsc.hadoopConfiguration()).exists(exists):
+    if files.exists(table):
         dates = touched_dates(piece, event_ts)
-        target = spark.read.option("mergeSchema", True).parquet(path).where(F.col("event_date").isin(dates)) if dates else None
-    staged = (staging or path.rstrip("/") + "__staged")
-    merged(target, dated, key).write.mode("overwrite").parquet(staged)
+        target = on_dates(spark.read.option("mergeSchema", True).parquet(path), dates) if dates else None
+    staged = f"{staging or path.rstrip('/') + '__staged'}-{uuid.uuid4().hex}"
+    merged(target, dated, key).write.parquet(staged)
     spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path)
+    files.delete(spark._jvm.org.apache.hadoop.fs.Path(staged), True)
     return spark.read.option("mergeSchema", True).parquet(path)

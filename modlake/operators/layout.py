@@ -10,22 +10,23 @@ def layout_profile(spark: SparkSession, path: str, col: str) -> DataFrame:
     Ranges that touch a file begin no later than it ends, and end no earlier than it begins, so two
     counts over sorted ends give the number without comparing files in pairs.
     """
-    rows = spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(
-        F.min(col).alias("low"), F.max(col).alias("high"), F.count(F.lit(1)).alias("n_rows")
+    # by path: files of one name lie in several partitions
+    rows = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("path")).agg(
+        F.max("_metadata.file_name").alias("file"), F.min(col).alias("low"), F.max(col).alias("high"), F.count(F.lit(1)).alias("n_rows")
     )
     held = rows.where("low IS NOT NULL")
-    ends = held.select("file", F.explode(F.array(
+    ends = held.select("path", F.explode(F.array(
         F.struct(F.col("low").alias("v"), F.lit(0).alias("kind")), F.struct(F.col("high").alias("v"), F.lit(1).alias("kind")))).alias("e"))
     # one row a file end: begun up to an end, and ended before a beginning
     order = Window.orderBy("e.v", "e.kind")
     counted = ends.select(
-        "file", F.col("e.kind").alias("kind"), F.sum(F.when(F.col("e.kind") == 0, 1).otherwise(0)).over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow)).alias("begun"),
+        "path", F.col("e.kind").alias("kind"), F.sum(F.when(F.col("e.kind") == 0, 1).otherwise(0)).over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow)).alias("begun"),
         F.sum(F.when(F.col("e.kind") == 1, 1).otherwise(0)).over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow)).alias("ended"),
     )
-    touching = counted.groupBy(F.col("file").alias("__f")).agg(
+    touching = counted.groupBy(F.col("path").alias("__f")).agg(
         (F.max(F.when(F.col("kind") == 1, F.col("begun"))) - F.max(F.when(F.col("kind") == 0, F.col("ended"))) - 1).alias("overlaps")
     )
-    return rows.join(touching, F.col("file") == F.col("__f"), "left").select("file", "low", "high", "n_rows", "overlaps")
+    return rows.join(touching, F.col("path") == F.col("__f"), "left").select("file", "low", "high", "n_rows", "overlaps")
 
 
 def average_overlaps(profile: DataFrame) -> DataFrame:
@@ -34,7 +35,7 @@ def average_overlaps(profile: DataFrame) -> DataFrame:
 
 def merge_probe(target: DataFrame, piece: DataFrame, key: str) -> DataFrame:
     """For each file of the target, the rows that an upsert of piece would replace."""
-    touched = target.withColumn("file", F.col("_metadata.file_name")).join(piece.select(F.col(key).alias("__k")).distinct(), F.col(key) == F.col("__k"), "left_semi")
+    touched = target.withColumn("file", F.col("_metadata.file_path")).join(piece.select(F.col(key).alias("__k")).distinct(), F.col(key) == F.col("__k"), "left_semi")
     return touched.groupBy("file").agg(F.count(F.lit(1)).alias("n_rows"))
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modlake.functions.exprs import any_flag, at, elements, event_time, has_text, length_of, seconds_between, surrogate_key
+from modlake.functions.exprs import any_flag, at, elements, event_times, has_text, length_of, seconds_between, surrogate_key
 
 LINEAGE = ["first_seen_at", "delivery_count", "was_redelivered", "record_source"]
 
@@ -25,8 +25,8 @@ def job_actions(base: DataFrame) -> DataFrame:
     """One row for each delivered action on a job."""
     p = "payload"
     columns = {
-        "job_action_event_sk": F.col("event_sk"), "action": at(p, "action"), "action_source": at(p, "source"), "actioned_at": event_time(p, "timestamp"), "notes": at(p, "notes"),
-        "job_id": at(p, "job.id"), "job_created_at": event_time(p, "job.created_at"), "queue_slug": at(p, "job.queue.slug"),
+        "job_action_event_sk": F.col("event_sk"), "action": at(p, "action"), "action_source": at(p, "source"), **event_times(p, "timestamp", "actioned"), "notes": at(p, "notes"),
+        "job_id": at(p, "job.id"), **event_times(p, "job.created_at", "job_created"), "queue_slug": at(p, "job.queue.slug"),
         "queue_is_multi_review": at(p, "job.queue.is_multi_review", "boolean"), "job_status_after": at(p, "job.status"), "job_priority": at(p, "job.priority", "bigint"),
         "job_num_reports": at(p, "job.num_reports", "bigint"), "job_category": _job_category("job"), **_entity("job.entity"),
         "actor_user_name": at(p, "action_made_by.user.name"), "actor_user_email": at(p, "action_made_by.user.email"),
@@ -52,7 +52,7 @@ def job_closures(base: DataFrame) -> DataFrame:
     """One row for each delivered closure of a job."""
     p = "payload"
     columns = {
-        "job_closure_event_sk": F.col("event_sk"), "job_id": at(p, "job.id"), "closed_at": event_time(p, "timestamp"), "job_created_at": event_time(p, "job.created_at"),
+        "job_closure_event_sk": F.col("event_sk"), "job_id": at(p, "job.id"), **event_times(p, "timestamp", "closed"), **event_times(p, "job.created_at", "job_created"),
         "job_category": _job_category("job"), "queue_slug": at(p, "job.queue.slug"), "queue_is_multi_review": at(p, "job.queue.is_multi_review", "boolean"), **_entity("job.entity"),
         "closure_decisions": F.try_variant_get(p, "$.decisions", "variant"),
     }
@@ -69,7 +69,7 @@ def decisions(closures: DataFrame) -> DataFrame:
     )
     rows = opened.select(
         *kept, "decisions_on_job", *LINEAGE, F.col("decision_ordinal").cast("long").alias("decision_ordinal"),
-        event_time("d", "timestamp").alias("decided_at"), at("d", "source.type").alias("decision_source_type"),
+        *[c.alias(n) for n, c in event_times("d", "timestamp", "decided").items()], at("d", "source.type").alias("decision_source_type"),
         at("d", "source.user.name").alias("reviewer_name"), at("d", "source.user.email").alias("reviewer_email"),
         F.try_variant_get("d", "$.source.user.groups", "variant").alias("reviewer_groups"),
         F.coalesce(at("d", "entity.entity_schema"), F.col("job_schema")).alias("entity_schema"), F.coalesce(at("d", "entity.attributes.id"), F.col("job_entity")).alias("entity_id"),
@@ -95,7 +95,7 @@ def decisions(closures: DataFrame) -> DataFrame:
 
 
 _DECISION = [
-    "decision_sk", "job_closure_event_sk", "decided_at", "closed_at", "job_id", "job_category", "queue_slug", "entity_schema", "entity_id",
+    "decision_sk", "job_closure_event_sk", "decided_at", "decided_local", "closed_at", "job_id", "job_category", "queue_slug", "entity_schema", "entity_id",
     "decision_source_type", "is_automated", "is_human_decision", "reviewer_email", "handle_time_seconds",
 ]
 

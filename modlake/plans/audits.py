@@ -3,13 +3,18 @@
 Checks over sound data return no rows, so each gets a frame in which arithmetic breaks something.
 """
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modlake.functions.exprs import on_or_after
+from modlake.functions.exprs import event_sk, on_or_after, without_zone
 from modlake.operators import checks, incremental, layout, privacy
 from modlake.plans.lake import bridged
 from modlake.plans.oracle import FLAT
+from modlake.sources import bridge
+from modlake.sources import events as sources
 from modlake.sources.workspace import workspace
 
 
@@ -70,7 +75,7 @@ def _times(lake):
 
 def a10_plausible_times(spark, sf_dir):
     found = checks.implausibly_old(*_times(bridged(spark, sf_dir)), "1996-01-01")
-    return found.select("source_event", F.col("event_at").cast("timestamp_ntz").alias("event_at"))
+    return found.select("source_event", without_zone(F.col("event_at")).alias("event_at"))
 
 
 def a11_no_future_times(spark, sf_dir):
@@ -148,9 +153,11 @@ def withheld_payloads(spark, sf_dir):
 
 
 def touched_dates(spark, sf_dir):
-    """The dates that an upsert of the incremental slice reads and writes again."""
+    """The dates that an upsert of the incremental slice reads and writes again; None for rows without a time."""
     piece = incremental.incremental_slice(*_split(spark, sf_dir))
-    return piece.select(F.to_date("event_ts").alias("event_date")).distinct()
+    early = table(spark, sf_dir, "events").where("event_id < 5").select("event_id", F.lit(None).cast("timestamp_ntz").alias("event_ts"))
+    dates = incremental.touched_dates(piece.select("event_id", "event_ts").unionByName(early))
+    return spark.createDataFrame([(d,) for d in dates], "event_date date")
 
 
 def layout_pruning(spark, sf_dir):
@@ -206,7 +213,6 @@ def pruned_weeks(spark, sf_dir):
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as an at-least-once stream, deduplicated by content and upserted as they come."""
-    from modlake.functions.exprs import event_sk
     from modlake.streaming.deliveries import deduplicated, run_available
 
     schema = table(spark, sf_dir, "events").schema
@@ -218,17 +224,175 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/table").select("event_sk", "event")
 
 
+def upsert_write(spark, sf_dir):
+    """The target written by date, the slice with changed values and rows without a time upserted, and the table read back."""
+    e, target = _split(spark, sf_dir)
+    timeless = lambda rows: rows.withColumn("event_ts", F.when(F.col("event_id") % 7 != 0, F.col("event_ts")))
+    path = workspace(spark, "upsert")
+    incremental.upsert(spark, path, timeless(target))
+    piece = incremental.incremental_slice(e, target).withColumn("value", F.col("value") + 1).withColumn("note", F.lit("new"))
+    incremental.upsert(spark, path, timeless(piece))
+    again = incremental.upsert(spark, path, timeless(piece))
+    return again.select("event_id", "event_ts", F.round("value", 6).alias("value"), "note")
+
+
+def _surfaces(spark, sf_dir):
+    """Events landed as a seed file (CSV) and as a raw table, and the configuration that reads them."""
+    path = workspace(spark, "surfaces")
+    e = table(spark, sf_dir, "events").select(F.col("event_type").alias("event"), F.col("props").alias("payload"), F.col("ts").alias("import_ts"))
+    e.where("hour(import_ts) < 12").write.option("header", True).option("escape", '"').option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(f"{path}/seed")
+    e.withColumn("payload", F.try_parse_json("payload")).write.parquet(f"{path}/raw")
+    return sources.SourceConfig(seeds={"view": f"{path}/seed"}, raw={"view": f"{path}/raw", "click": f"{path}/nowhere"}, overrides={"signup": "seed"}), path
+
+
+def source_modes(spark, sf_dir):
+    """Deliveries of an event by mode, and none of one without a surface."""
+    config, _ = _surfaces(spark, sf_dir)
+    parts = []
+    for mode, event in (("seed", "view"), ("raw", "view"), ("union", "view"), ("raw", "click"), ("union", "signup")):
+        rows = sources.resolve_events(spark, event, replace(config, mode=mode))
+        k = F.try_variant_get("payload", "$.k", "bigint")
+        parts.append(rows.agg(F.lit(mode).alias("mode"), F.lit(event).alias("event"), F.count(F.lit(1)).alias("n_rows"), F.sum(k).alias("k"), F.max("import_ts").alias("last")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def seed_and_raw_rows(spark, sf_dir):
+    """All deliveries of one event from both surfaces, none dropped."""
+    config, _ = _surfaces(spark, sf_dir)
+    rows = sources.resolve_events(spark, "view", replace(config, mode="union"))
+    return rows.select("record_source", "event", F.try_variant_get("payload", "$.k", "bigint").alias("k"), "import_ts")
+
+
+def policy_area_file(spark, sf_dir):
+    """A lookup read from a CSV file with a header."""
+    path = workspace(spark, "areas")
+    table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("policy_area_id"), F.col("n_name").alias("policy_area_name")).write.option("header", True).csv(path)
+    return sources.read_policy_areas(spark, path)
+
+
+def volume_stream(spark, sf_dir):
+    """As many synthetic events as the event table has, projected for the incremental table; times and lags are checked."""
+    rows = incremental.projected(bridge.volume_events(spark, table(spark, sf_dir, "events").count()))
+    sound = (F.col("ingestion_lag_minutes").between(0, 4320)) & (F.length("trace_id") == 64) & F.col("job_id").startswith("job-")
+    return rows.select("event_id", "event_ts", sound.alias("sound"))
+
+
+def projected_events(spark, sf_dir):
+    """The measures of the incremental table, from events with documents."""
+    e = table(spark, sf_dir, "events")
+    late = F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("event_id") % 5000).cast("decimal(18,6)"))
+    doc = F.to_variant_object(F.struct(F.concat(F.lit("t"), F.col("event_id")).alias("trace_id"), F.when(F.col("event_id") % 3 > 0, F.col("user_id").cast("string")).alias("content_fingerprint")))
+    named = e.select("event_id", F.concat(F.lit("job-"), F.col("user_id")).alias("job_id"), F.col("event_type").alias("event"), F.lit("q").alias("queue_slug"), F.lit(None).cast("string").alias("actor_email"),
+                     F.col("ts").alias("event_ts"), late.alias("import_ts"), doc.alias("payload"))
+    return incremental.projected(named).select("event_id", "job_id", "event_ts", "trace_id", "content_fingerprint", "ingestion_lag_minutes")
+
+
+def eval_questions(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select(F.concat(F.lit("q"), F.col("event_id")).alias("question_id"), F.col("event_type").alias("query_text"), F.col("value").cast("string").alias("ground_truth"))
+    made = sources.eval_questions(rows)
+    return made.select("question_id", "query_text", F.try_variant_get("ground_truth", "$.ground_truth_output", "string").alias("answer"))
+
+
+def lazy_view(spark, sf_dir):
+    """A view over a query, read by its name."""
+    sources.lazy_view(table(spark, sf_dir, "customer").where("c_acctbal > 0").select("c_custkey", "c_mktsegment"), "modlake_customers_in_credit")
+    return spark.sql("SELECT c_mktsegment, count(*) AS n_rows FROM modlake_customers_in_credit GROUP BY c_mktsegment")
+
+
+def full_refresh(spark, sf_dir):
+    """A table written twice; what was there before is gone."""
+    path, s = workspace(spark, "refresh"), table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    sources.write_table(s, path)
+    return sources.write_table(s.where("s_suppkey % 3 = 0"), path)
+
+
+def stored_failures(spark, sf_dir):
+    """Failing rows of a check, kept as a table and read back."""
+    path = workspace(spark, "failed")
+    sources.write_table(checks.accepted_range(table(spark, sf_dir, "lineitem"), "l_discount", 0.02, 0.05), path)
+    return spark.read.parquet(path).select("l_orderkey", "l_linenumber", "l_discount")
+
+
+def column_tests(spark, sf_dir):
+    """Every test of columns and tables of staging, dimensions and facts, with the number of rows that fail it."""
+    return checks.failing_counts(bridged(spark, sf_dir), list(checks.COLUMNS)).where("test NOT IN ('in_the_future')")
+
+
+def tag_audit(spark, sf_dir):
+    """Mapped columns without their category, of two dimensions of which one is tagged."""
+    lake = bridged(spark, sf_dir)
+    tables = {"dim_reviewer": privacy.tag(lake["dim_reviewer"], "dim_reviewer"), "dim_entity": lake["dim_entity"]}
+    return spark.createDataFrame(privacy.audit_tags(tables), "table_name string, column_name string, wanted string, found string")
+
+
+def _dealt(spark, sf_dir):
+    """Events in files of a day each, and in files that each span all days."""
+    path, e = workspace(spark, "layout"), table(spark, sf_dir, "events")
+    for name, group in (("sorted", F.to_date("ts").cast("string")), ("mixed", (F.col("event_id") % 8).cast("string"))):
+        e.withColumn("g", group).repartition("g").write.partitionBy("g").parquet(f"{path}/{name}")
+    return path
+
+
+def layout_of_files(spark, sf_dir):
+    path = _dealt(spark, sf_dir)
+    parts = [layout.layout_profile(spark, f"{path}/{n}", "ts").select(F.lit(n).alias("layout"), "low", "high", "n_rows", "overlaps") for n in ("sorted", "mixed")]
+    return parts[0].unionByName(parts[1])
+
+
+def pruning_of_files(spark, sf_dir):
+    """Files that a range of times leaves to read, and the average overlap, by layout."""
+    path, parts = _dealt(spark, sf_dir), []
+    for n in ("sorted", "mixed"):
+        profile = layout.layout_profile(spark, f"{path}/{n}", "ts")
+        kept = layout.pruning_report(profile, low=F.expr("TIMESTAMP_NTZ '2024-01-10 00:00:00'"), high=F.expr("TIMESTAMP_NTZ '2024-01-12 00:00:00'"))
+        parts.append(kept.crossJoin(layout.average_overlaps(profile).select(F.round("average_overlaps", 6).alias("average_overlaps"))).withColumn("layout", F.lit(n)))  # one row each
+    return parts[0].unionByName(parts[1])
+
+
+def probe_of_files(spark, sf_dir):
+    """Rows of each file that an upsert of the last three hours would replace."""
+    path, e = _dealt(spark, sf_dir), table(spark, sf_dir, "events")
+    last = e.agg(F.max("ts")).first()[0]
+    piece = e.where(F.col("ts") >= F.lit(last).cast("timestamp_ntz") - F.expr("INTERVAL 3 HOURS"))
+    parts = [layout.merge_probe(spark.read.parquet(f"{path}/{n}"), piece, "event_id").select(F.lit(n).alias("layout"), "n_rows") for n in ("sorted", "mixed")]
+    return parts[0].unionByName(parts[1])
+
+
+def stream_lateness(spark, sf_dir):
+    """A stream with 72 hours of lateness: the second batch brings redeliveries, the third these again and rows for the first time, some too late.
+
+    A batch tells what is too late by the watermark that the batch before it began with.
+    """
+    from modlake.streaming.deliveries import deduplicated, run_available
+
+    out, e = workspace(spark, "late"), table(spark, sf_dir, "events")
+    for batch in ("event_id % 10 <> 3", "event_id % 10 = 1", "event_id % 10 IN (1, 3)"):
+        e.where(batch).select("event_id", "event_type", "ts").coalesce(1).write.mode("append").parquet(f"{out}/in")
+    rows = spark.readStream.schema("event_id long, event_type string, ts timestamp_ntz").option("maxFilesPerTrigger", 1).parquet(f"{out}/in")
+    doc = F.to_variant_object(F.struct("event_id", "event_type"))
+    keyed = rows.select(F.col("event_type").alias("event"), doc.alias("payload"), F.col("ts").alias("import_ts"), F.to_utc_timestamp(F.col("ts").cast("timestamp"), "UTC").alias("event_ts"))
+    run_available(deduplicated(keyed.withColumn("event_sk", event_sk(F.col("event"), F.col("payload"))), "72 hours"), f"{out}/table", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/table").select(F.get_json_object("payload", "$.event_id").cast("long").alias("event_id"), "event", "import_ts")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         a01_unique, a02_unique_combination, a03_not_null, a04_accepted_values, a05_relationships, a06_accepted_range, a07_closures_without_decisions, a08_allocation_agrees,
         a09_decisions_before_creation, a10_plausible_times, a11_no_future_times, a12_actions_reconcile, a13_no_orphan_decisions, a14_freshness, a15_continuous_metrics, a16_stalled,
         a17_score_gate, mask_text, mask_bag, masked_reviewers, withheld_payloads, touched_dates, layout_pruning, layout_profile, merge_probe, incremental_slice, late_rows, incremental_upsert, query_cost_rollup, pruned_weeks, stream_dedup,
+        upsert_write, source_modes, seed_and_raw_rows, policy_area_file, volume_stream, projected_events, eval_questions, lazy_view, full_refresh, stored_failures, column_tests, tag_audit,
+        layout_of_files, pruning_of_files, probe_of_files, stream_lateness,
     )
 }
 
 _TARGET = """WITH e AS (SELECT event_id, ts AS event_ts, value FROM events), t AS (SELECT * FROM e WHERE event_ts < (SELECT max(event_ts) FROM e) - INTERVAL 7 DAY AND event_id % 10 <> 3),
     w AS (SELECT max(event_ts) - INTERVAL 3 HOUR AS since FROM t)"""
+_K = "CAST(json_extract(props, '$.k') AS BIGINT)"
+_CATEGORIES = ", ".join(f"'{c}'" for c in checks.JOB_CATEGORIES)
+_FILES = """WITH g AS (SELECT 'sorted' AS layout, ts::DATE::VARCHAR AS g, ts FROM events UNION ALL SELECT 'mixed', (event_id % 8)::VARCHAR, ts FROM events),
+    f AS (SELECT layout, g, min(ts) AS low, max(ts) AS high, count(*)::BIGINT AS n_rows FROM g GROUP BY 1, 2),
+    o AS (SELECT f.*, (SELECT count(*) FROM f x WHERE x.layout = f.layout AND x.g <> f.g AND x.low <= f.high AND x.high >= f.low)::BIGINT AS n_over FROM f)"""
 _AGE = "epoch(TIMESTAMP '2024-02-01 00:00:00') - epoch(date_trunc('second', max(ts)))"
 ORACLES = {
     "a01_unique": "SELECT user_id, count(*)::BIGINT AS n_rows FROM events WHERE user_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
@@ -260,7 +424,7 @@ ORACLES = {
     "mask_bag": "SELECT event_id, sha256('e' || event_id) AS id, NULL::VARCHAR AS secret, (user_id % 9)::BIGINT AS media_count, 'attributes withheld' AS note FROM events",
     "masked_reviewers": FLAT + "SELECT reviewer_key, '***@' || split_part(mail, '@', -1) AS reviewer_email, '*** REDACTED ***' AS reviewer_name, staffing AS staffing_model FROM dr",
     "withheld_payloads": "SELECT event_id, 'payload withheld' AS note, NULL::VARCHAR AS k FROM events WHERE props IS NOT NULL",
-    "touched_dates": _TARGET + " SELECT DISTINCT event_ts::DATE AS event_date FROM e, w WHERE event_ts >= since",
+    "touched_dates": _TARGET + " SELECT DISTINCT event_ts::DATE AS event_date FROM e, w WHERE event_ts >= since UNION ALL SELECT NULL",
     "layout_pruning": "SELECT CASE WHEN max(o_orderdate) >= TIMESTAMP '1997-01-01' THEN 1 ELSE 0 END::BIGINT AS files_kept, 1::BIGINT AS files, CASE WHEN max(o_orderdate) >= TIMESTAMP '1997-01-01' THEN count(*) ELSE 0 END::BIGINT AS rows_kept FROM orders",
     "layout_profile": "SELECT 'lineitem.parquet' AS file, min(l_orderkey) AS low, max(l_orderkey) AS high, count(*)::BIGINT AS n_rows, 0::BIGINT AS overlaps FROM lineitem",
     "merge_probe": _TARGET + " SELECT count(*)::BIGINT AS n_rows FROM e, w WHERE event_ts >= since",
@@ -272,4 +436,30 @@ ORACLES = {
         max(CASE WHEN event_id % 3 = 0 THEN event_id ELSE 0 END + event_id % 5)::BIGINT AS max_bytes_spilled FROM events WHERE event_id % 7 <> 0 AND ts >= TIMESTAMP '2024-02-01' - INTERVAL 10 DAY GROUP BY event_type""",
     "pruned_weeks": "SELECT ts::DATE AS day, count(*)::BIGINT AS n_rows FROM events WHERE date_trunc('week', ts) >= TIMESTAMP '2024-01-17 05:00:00' GROUP BY 1",
     "stream_dedup": "SELECT DISTINCT md5(event_type || '|' || json(props)::VARCHAR) AS event_sk, event_type AS event FROM events",
+    "upsert_write": _TARGET + """ SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN event_ts END AS event_ts, round(value + 1, 6) AS value, 'new' AS note FROM e, w WHERE event_ts >= since
+        UNION ALL SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN event_ts END, round(value, 6), NULL FROM t, w WHERE event_ts < since""",
+    "source_modes": f"""WITH v AS (SELECT ts, {_K} AS k, hour(ts) < 12 AS seed FROM events WHERE event_type = 'view')
+        SELECT 'seed' AS mode, 'view' AS event, count(*)::BIGINT AS n_rows, sum(k)::BIGINT AS k, max(ts) AS last FROM v WHERE seed UNION ALL SELECT 'raw', 'view', count(*), sum(k)::BIGINT, max(ts) FROM v
+        UNION ALL SELECT 'union', 'view', count(*), sum(k)::BIGINT, max(ts) FROM (SELECT * FROM v UNION ALL SELECT * FROM v WHERE seed) UNION ALL SELECT 'raw', 'click', 0, NULL, NULL UNION ALL SELECT 'union', 'signup', 0, NULL, NULL""",
+    "seed_and_raw_rows": f"""SELECT 'raw' AS record_source, event_type AS event, {_K} AS k, ts AS import_ts FROM events WHERE event_type = 'view'
+        UNION ALL SELECT 'seed', event_type, {_K}, ts FROM events WHERE event_type = 'view' AND hour(ts) < 12""",
+    "policy_area_file": "SELECT n_nationkey::VARCHAR AS policy_area_id, n_name AS policy_area_name FROM nation",
+    "volume_stream": "SELECT i AS event_id, TIMESTAMP '2024-01-01' + to_seconds(2 * i) AS event_ts, true AS sound FROM range((SELECT count(*) FROM events)) r(i)",
+    "projected_events": """SELECT event_id, 'job-' || user_id AS job_id, ts AS event_ts, 't' || event_id AS trace_id, CASE WHEN event_id % 3 > 0 THEN user_id::VARCHAR END AS content_fingerprint,
+        date_diff('minute', ts, ts + to_seconds(event_id % 5000))::BIGINT AS ingestion_lag_minutes FROM events""",
+    "eval_questions": "SELECT 'q' || event_id AS question_id, event_type AS query_text, value::VARCHAR AS answer FROM events",
+    "lazy_view": "SELECT c_mktsegment, count(*)::BIGINT AS n_rows FROM customer WHERE c_acctbal > 0 GROUP BY 1",
+    "full_refresh": "SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey % 3 = 0",
+    "stored_failures": "SELECT l_orderkey, l_linenumber, l_discount FROM lineitem WHERE l_discount < 0.02 OR l_discount > 0.05",
+    "column_tests": FLAT + f"""SELECT t.*, coalesce(CASE table_name || '.' || test WHEN 'stg_job_actions.accepted_job_category' THEN (SELECT count(*) FROM a WHERE category NOT IN ({_CATEGORIES}))
+        WHEN 'stg_job_closures.accepted_job_category' THEN (SELECT count(*) FROM c WHERE category NOT IN ({_CATEGORIES}))
+        WHEN 'stg_decisions.implausibly_old' THEN (SELECT count(*) FROM a WHERE actioned_at < TIMESTAMP '2020-01-01') + (SELECT count(*) FROM c WHERE closed_at < TIMESTAMP '2020-01-01') + (SELECT count(*) FROM d WHERE decided_at < TIMESTAMP '2020-01-01') END, 0)::BIGINT AS n_failing
+        FROM (VALUES {", ".join(f"('{t.table}', '{t.kind}', '{t.severity}')" for name in checks.COLUMNS for t in checks.tests_of(name) if t.kind != "in_the_future")}) t(table_name, test, severity)""",
+    "tag_audit": "SELECT 'dim_entity' AS table_name, column_name, wanted, NULL::VARCHAR AS found FROM (VALUES ('entity_id', 'IDENTIFIER'), ('entity_email', 'EMAIL'), ('entity_username', 'USERNAME'), ('entity_caption', 'FREE_TEXT'), ('entity_attributes', 'BAG')) v(column_name, wanted)",
+    "layout_of_files": _FILES + " SELECT layout, low, high, n_rows, n_over AS overlaps FROM o",
+    "pruning_of_files": _FILES + """ SELECT layout, count(*) FILTER (WHERE high >= TIMESTAMP '2024-01-10' AND low <= TIMESTAMP '2024-01-12')::BIGINT AS files_kept, count(*)::BIGINT AS files,
+        sum(CASE WHEN high >= TIMESTAMP '2024-01-10' AND low <= TIMESTAMP '2024-01-12' THEN n_rows ELSE 0 END)::BIGINT AS rows_kept, round(avg(n_over), 6) AS average_overlaps FROM o GROUP BY layout""",
+    "probe_of_files": """WITH e AS (SELECT * FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 3 HOUR) SELECT 'sorted' AS layout, count(*)::BIGINT AS n_rows FROM e GROUP BY ts::DATE
+        UNION ALL SELECT 'mixed', count(*)::BIGINT FROM e GROUP BY event_id % 8""",
+    "stream_lateness": """SELECT event_id, event_type AS event, ts AS import_ts FROM events WHERE event_id % 10 <> 3 OR ts > (SELECT max(ts) FROM events WHERE event_id % 10 <> 3) - INTERVAL 72 HOUR""",
 }

@@ -1,7 +1,8 @@
 """The build: landing rows to staging relations, dimensions and facts, each built once."""
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from datetime import UTC, datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -27,11 +28,11 @@ RELATIONS = {
     "dim_enforcement_action": (dims.dim_enforcement_action, ["stg_decision_enforcement_actions"]),
     "fct_decisions": (
         facts.fct_decisions,
-        ["stg_decisions", "stg_decision_policies", "stg_decision_enforcement_actions", "dim_queue", "dim_reviewer", "dim_entity", "dim_policy", "dim_enforcement_action"],
+        ["stg_decisions", "dim_reviewer", "dim_policy"],
     ),
-    "fct_decision_policies": (facts.fct_decision_policies, ["stg_decision_policies", "dim_queue", "dim_reviewer", "dim_entity", "dim_policy"]),
-    "fct_job_actions": (facts.fct_job_actions, ["stg_job_actions", "dim_queue", "dim_reviewer", "dim_workflow", "dim_entity"]),
-    "fct_jobs": (facts.fct_jobs, ["stg_job_actions", "stg_job_closures", "fct_decisions", "dim_queue", "dim_entity", "dim_reviewer"]),
+    "fct_decision_policies": (facts.fct_decision_policies, ["stg_decision_policies", "dim_policy"]),
+    "fct_job_actions": (facts.fct_job_actions, ["stg_job_actions"]),
+    "fct_jobs": (facts.fct_jobs, ["stg_job_actions", "stg_job_closures", "fct_decisions"]),
 }
 #: Relations that several others read; a lake keeps these.
 SHARED = {"stg_job_actions", "stg_job_closures", "stg_decisions", "stg_decision_policies", "dim_queue", "dim_policy", "dim_reviewer", "dim_entity", "fct_decisions", "fct_job_actions", "fct_jobs"}
@@ -43,6 +44,9 @@ class Lake:
 
     surfaces: dict[str, DataFrame]
     keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df
+    config: SourceConfig = SourceConfig()
+    #: The time, in UTC, that ages and future times are told by.
+    now: str = field(default_factory=lambda: datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S"))
 
     def __post_init__(self) -> None:
         self.made: dict[str, DataFrame] = dict(self.surfaces)
@@ -64,7 +68,6 @@ _bridged: dict[tuple[str, str], Lake] = {}
 
 def bridged(spark: SparkSession, sf_dir: str) -> Lake:
     """The lake over the driver tables, one for each session and folder."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _bridged:
         t = bridge.Tables(spark, sf_dir)
@@ -79,10 +82,17 @@ def bridged(spark: SparkSession, sf_dir: str) -> Lake:
     return _bridged[key]
 
 
+def release(spark: SparkSession) -> None:
+    """Forget the lakes over the driver tables and what they hold in memory."""
+    for key in [k for k in _bridged if k[0] == spark.sparkContext.applicationId]:
+        for df in _bridged.pop(key).made.values():
+            df.unpersist()
+
+
 def from_config(spark: SparkSession, config: SourceConfig, areas_path: str, keep: Callable[[str, DataFrame], DataFrame] = persisted) -> Lake:
     """The lake over configured seed and raw surfaces."""
     landed = {f"landed_{e.replace('.', '_')}": resolve_events(spark, e, config) for e in ("job.actioned", "job.closed")}
-    return Lake({**landed, "policy_areas": read_policy_areas(spark, areas_path)}, keep)
+    return Lake({**landed, "policy_areas": read_policy_areas(spark, areas_path)}, keep, config)
 
 
 class BuildStopped(Exception):
@@ -90,18 +100,19 @@ class BuildStopped(Exception):
 
 
 def build_all(spark: SparkSession, lake: Lake, folder: str) -> dict[str, DataFrame]:
-    """Write all dimensions and facts, in order, each tested before anything is built on it.
+    """Write all dimensions and facts, in order; these, the landing and the staging relations are tested before anything is built on them.
 
     A table of which a test of severity error fails stops the build, so nothing downstream is
     written. The failing rows of every test are written beside the tables.
     """
     lake.keep = lambda name, df: write_table(df, f"{folder}/{name}")
     written = {}
-    for name in [n for n in RELATIONS if n.startswith(("dim_", "fct_"))]:
+    for name in [*lake.surfaces, *RELATIONS]:
         df = lake[name]
-        if name not in SHARED:
-            df = lake.made[name] = write_table(df, f"{folder}/{name}")
-        written[name] = df
+        if name.startswith(("dim_", "fct_")):
+            if name not in SHARED:
+                df = lake.made[name] = write_table(df, f"{folder}/{name}")
+            written[name] = df
         for test in checks.tests_of(name):
             failing = write_table(test.run(lake), f"{folder}/_failed/{test.name}")
             if test.severity == "error" and not failing.isEmpty():

@@ -13,7 +13,7 @@ slugs AS (SELECT ['no_action', 'warn_user', 'shadow_ban', 'remove_content', 'res
 l AS (SELECT j.*, lineitem.*, s_nationkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity,
     l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) - 1 AS ord, l_returnflag IN ('N', 'R') AS manual
     FROM lineitem JOIN j ON l_orderkey = k AND closes JOIN supplier ON l_suppkey = s_suppkey),
-d0 AS (SELECT k, ord, job_id, created_at, category, queue_slug, multi, es, eid, created_at + to_seconds((ord + 1) * 3600 + l_partkey * 11 % 1800) AS decided_at, l_partkey AS part, l_linenumber AS ln,
+d0 AS (SELECT k, ord, job_id, created_at, category, queue_slug, multi, es, eid, created_at + to_seconds((ord + 1) * 3600 + l_partkey * 11 % 1800) AS decided_at, CASE l_partkey % 3 WHEN 1 THEN 19800 WHEN 2 THEN -28800 ELSE 0 END AS off, l_partkey AS part, l_linenumber AS ln,
     CASE WHEN manual THEN 'manual' ELSE ['automated', 'workflow', 'api', 'agent'][l_partkey % 4 + 1] END AS kind,
     CASE WHEN manual THEN 'Moderator ' || l_suppkey END AS who, CASE WHEN NOT manual THEN NULL WHEN l_suppkey % 2 = 0 THEN '  MOD' || l_suppkey || '@Example.com ' ELSE 'mod' || l_suppkey || '@example.com' END AS mail,
     CASE WHEN manual THEN s_nationkey % 4 END AS grp, CASE WHEN l_partkey % 50 = 0 THEN 0 ELSE 1 + l_linenumber % 3 END AS n_pol, l_partkey % 6 = 1 AS has_notes,
@@ -29,7 +29,7 @@ d AS (SELECT d1.*, closed_at, k % 50 = 0 AS twice, date_diff('second', d1.create
     coalesce((SELECT bool_or(NOT harmless) FROM p1 WHERE p1.k = d1.k AND p1.ord = d1.ord), false) AS violating,
     coalesce((SELECT bool_or(illegal) FROM p1 WHERE p1.k = d1.k AND p1.ord = d1.ord), false) AS unlawful FROM d1 JOIN c USING (k)),
 e AS (SELECT k, ord, decided_at, kind, generate_subscripts(acts, 1) - 1 AS aord, unnest(acts) AS slug, len(acts) AS n_acts FROM d),
-a AS (SELECT event_id, job_id, created_at, category, queue_slug, multi, created_at + to_seconds(event_id) AS actioned_at, event_type, user_id, n,
+a AS (SELECT event_id, job_id, created_at, category, queue_slug, multi, created_at + to_seconds(event_id) AS actioned_at, CASE event_id % 3 WHEN 1 THEN 19800 WHEN 2 THEN -28800 ELSE 0 END AS off, event_type, user_id, n,
     CASE WHEN n % 10 = 8 THEN 'skipped' WHEN n % 10 = 9 THEN 'deferred' WHEN event_type = 'view' THEN 'assigned' WHEN event_type = 'signup' THEN 'created' WHEN event_type = 'error' THEN 'escalated'
       WHEN event_type = 'click' THEN 'changed_queue' WHEN event_type = 'purchase' THEN 'cancelled' END AS action,
     CASE n % 3 WHEN 0 THEN 'manual' WHEN 1 THEN 'workflow' ELSE ['auto', 'api', 'agent'][event_id % 3 + 1] END AS source, CASE n % 3 WHEN 0 THEN 'user' WHEN 1 THEN 'workflow' ELSE 'none' END AS actor,
@@ -94,14 +94,14 @@ _SEEN = "t0 AS first_seen_at, t1 AS last_seen_at"
 SQL = {
     "d3_dedup": """WITH e AS (SELECT md5(event_type || '|' || json(props)::VARCHAR) AS event_sk, event_type AS event, ts FROM events)
         SELECT event_sk, event, min(ts) AS first_seen_at, max(ts) AS last_seen_at, count(*)::BIGINT AS delivery_count, count(*) > 1 AS was_redelivered, 'raw' AS record_source FROM e GROUP BY event_sk, event""",
-    "t1_job_actions": FLAT + """SELECT job_id, action, source AS action_source, actor AS actor_type, actioned_at, created_at AS job_created_at, event_id::BIGINT AS job_age_at_action_seconds,
+    "t1_job_actions": FLAT + """SELECT job_id, action, source AS action_source, actor AS actor_type, actioned_at, actioned_at + to_seconds(off) AS actioned_local, off::BIGINT AS actioned_utc_offset_seconds, created_at AS job_created_at, event_id::BIGINT AS job_age_at_action_seconds,
         CASE WHEN action = 'cancelled' THEN 'cancelled' ELSE 'open' END AS job_status_after, category AS job_category, (event_id % 5)::BIGINT AS job_priority, (event_id % 11)::BIGINT AS job_num_reports, queue_slug, multi AS queue_is_multi_review,
         es AS entity_schema, eid AS entity_id, eid IS NOT NULL AS has_entity, who AS actor_user_name, mail AS actor_user_email, wf AS actor_workflow_id, CASE WHEN wf IS NOT NULL THEN 'on_' || event_type END AS actor_workflow_event_name,
         CASE WHEN wf IS NOT NULL THEN 'rule-' || (n % 10) END AS actor_workflow_rule_id, tes AS trigger_entity_schema, teid AS trigger_entity_id, event_id % 6 = 1 AS has_notes, action = 'escalated' AS is_escalation, action = 'cancelled' AS is_cancellation,
         actioned_at + to_seconds(60) AS first_seen_at, CASE WHEN twice THEN 2 ELSE 1 END::BIGINT AS delivery_count, twice AS was_redelivered, CASE WHEN twice THEN 'raw' ELSE 'seed' END AS record_source FROM a""",
     "t2_job_closures": FLAT + """SELECT job_id, closed_at, created_at AS job_created_at, category AS job_category, queue_slug, multi AS queue_is_multi_review, es AS entity_schema, eid AS entity_id, n_dec::BIGINT AS closure_decision_count,
         date_diff('second', created_at, closed_at)::BIGINT AS time_to_close_seconds, CASE WHEN k % 50 = 0 THEN 2 ELSE 1 END::BIGINT AS delivery_count FROM c""",
-    "t3_decisions": FLAT + """SELECT job_id, ord::BIGINT AS decision_ordinal, decided_at, closed_at, handle::BIGINT AS handle_time_seconds, kind AS decision_source_type, human AS is_human_decision, NOT human AS is_automated, who AS reviewer_name,
+    "t3_decisions": FLAT + """SELECT job_id, ord::BIGINT AS decision_ordinal, decided_at, decided_at + to_seconds(off) AS decided_local, off::BIGINT AS decided_utc_offset_seconds, closed_at, handle::BIGINT AS handle_time_seconds, kind AS decision_source_type, human AS is_human_decision, NOT human AS is_automated, who AS reviewer_name,
         mail AS reviewer_email, es AS entity_schema, eid AS entity_id, n_pol::BIGINT AS policy_count, len(acts)::BIGINT AS enforcement_action_count, has_notes, violating AS is_violating_outcome, unlawful AS is_illegal_outcome,
         on_job::BIGINT AS decisions_on_job, ord = on_job - 1 AS is_final_decision, twice AS was_redelivered FROM d""",
     "t4_decision_policies": FLAT + """SELECT job_id, ord::BIGINT AS decision_ordinal, pord::BIGINT AS policy_ordinal, policy_id, policy_name, parent AS policy_parent_id, parent IS NULL AS is_root_policy, illegal AS policy_is_illegal,
@@ -121,13 +121,13 @@ SQL = {
     "dim_enforcement_action": FLAT + f"""SELECT key AS enforcement_action_key, slug AS enforcement_action_slug, array_to_string([upper(x[1]) || lower(x[2:]) for x in string_split(slug, '_')], ' ') AS enforcement_action_name,
         rank::BIGINT AS enforcement_severity_rank, cat AS enforcement_category, known AS is_recognised_action, slug = 'no_action' AS is_no_action, {_int("n:application_count", "n_auto:automated_application_count")},
         (n - n_auto)::BIGINT AS human_application_count, {_SEEN} FROM da""",
-    "fct_decisions": FLAT + f"""SELECT job_id, ord::BIGINT AS decision_ordinal, queue_key, reviewer_key, entity_key, decided_at, decided_at::DATE AS decided_date, date_trunc('week', decided_at)::DATE AS decided_week, date_trunc('month', decided_at)::DATE AS decided_month,
-        left(dayname(decided_at), 3) AS decided_day_of_week, hour(decided_at)::BIGINT AS decided_hour_of_day, staffing AS staffing_model, main_policy AS primary_policy_name, main_group AS primary_policy_group_name, {_int("handle:handle_time_seconds", "n_p:policy_count", "n_i:illegal_policy_count", "n_h:non_violating_policy_count", "n_g:distinct_policy_group_count", "acted:enforcement_action_count", "idle:no_action_count", "top:max_enforcement_severity_rank")},
+    "fct_decisions": FLAT + f"""SELECT job_id, ord::BIGINT AS decision_ordinal, queue_key, reviewer_key, entity_key, decided_at, (decided_at + to_seconds(off))::DATE AS decided_date, date_trunc('week', (decided_at + to_seconds(off)))::DATE AS decided_week, date_trunc('month', (decided_at + to_seconds(off)))::DATE AS decided_month,
+        left(dayname((decided_at + to_seconds(off))), 3) AS decided_day_of_week, hour((decided_at + to_seconds(off)))::BIGINT AS decided_hour_of_day, staffing AS staffing_model, main_policy AS primary_policy_name, main_group AS primary_policy_group_name, {_int("handle:handle_time_seconds", "n_p:policy_count", "n_i:illegal_policy_count", "n_h:non_violating_policy_count", "n_g:distinct_policy_group_count", "acted:enforcement_action_count", "idle:no_action_count", "top:max_enforcement_severity_rank")},
         round(handle / 3600.0::DOUBLE, 6) AS handle_time_hours, ban AS included_account_ban, cleared AS is_cleared_outcome, multi AND on_job > 1 AS is_multi_review_decision, has_notes FROM fd""",
-    "fct_decision_policies": FLAT + """SELECT p1.job_id, p1.ord::BIGINT AS decision_ordinal, p1.pord::BIGINT AS policy_ordinal, policy_key, fd.queue_key, fd.reviewer_key, fd.entity_key, p1.decided_at::DATE AS decided_date, policy_id, dpn.parent_name AS policy_parent_name,
+    "fct_decision_policies": FLAT + """SELECT p1.job_id, p1.ord::BIGINT AS decision_ordinal, p1.pord::BIGINT AS policy_ordinal, policy_key, fd.queue_key, fd.reviewer_key, fd.entity_key, (p1.decided_at + to_seconds(p1.off))::DATE AS decided_date, policy_id, dpn.parent_name AS policy_parent_name,
         grp_name AS policy_group_name, severity AS policy_severity_class, 1::BIGINT AS policy_application_count, round(1.0::DOUBLE / p1.n_pol, 6) AS decision_count_allocated, round(handle / 3600.0::DOUBLE, 6) AS handle_time_hours FROM p1 JOIN fd USING (k, ord) JOIN dpn USING (policy_id)""",
-    "fct_job_actions": FLAT + """SELECT job_id, actioned_at, queue_key, reviewer_key, workflow_key, entity_key, trigger_key AS trigger_entity_key, actioned_at::DATE AS actioned_date, date_trunc('month', actioned_at)::DATE AS actioned_month, left(dayname(actioned_at), 3) AS actioned_day_of_week,
-        hour(actioned_at)::BIGINT AS actioned_hour_of_day, action, actor AS actor_type, age::BIGINT AS job_age_at_action_seconds, round(age / 3600.0::DOUBLE, 6) AS job_age_at_action_hours, actor = 'workflow' AS is_automated,
+    "fct_job_actions": FLAT + """SELECT job_id, actioned_at, queue_key, reviewer_key, workflow_key, entity_key, trigger_key AS trigger_entity_key, (actioned_at + to_seconds(off))::DATE AS actioned_date, date_trunc('month', (actioned_at + to_seconds(off)))::DATE AS actioned_month, left(dayname((actioned_at + to_seconds(off))), 3) AS actioned_day_of_week,
+        hour((actioned_at + to_seconds(off)))::BIGINT AS actioned_hour_of_day, action, actor AS actor_type, age::BIGINT AS job_age_at_action_seconds, round(age / 3600.0::DOUBLE, 6) AS job_age_at_action_hours, actor = 'workflow' AS is_automated,
         teid IS NOT NULL AND teid IS DISTINCT FROM eid AS acted_on_other_entity, (event_id % 11)::BIGINT AS reports_on_job_at_action FROM fa""",
     "fct_jobs": FLAT + f"""SELECT md5(job_id) AS job_key, job_id, queue_key AS final_queue_key, entity_key, reviewer_key AS final_reviewer_key, created_at AS job_created_at, created_at::DATE AS created_date, closed_at, closed_at::DATE AS closed_date, date_trunc('week', closed_at)::DATE AS closed_week,
         date_trunc('month', closed_at)::DATE AS closed_month, left(dayname(closed_at), 3) AS closed_day_of_week, a0 AS first_actioned_at, a1 AS last_actioned_at, d0 AS first_decided_at, d1 AS last_decided_at, category AS job_category, qs AS final_queue_slug, cur AS current_queue_slug,
@@ -143,9 +143,9 @@ _H = "round(median(handle / 3600.0::DOUBLE), 6) AS median_handle_time_hours, cou
 QUESTION_SQL = {
     "v01_closed_jobs_per_day": "SELECT closed_at::DATE AS job_closed_date, count(*) FILTER (WHERE closed)::BIGINT AS closed_jobs FROM fk GROUP BY 1",
     "v02_top_moderators_by_activity": "SELECT rmail AS moderator_email, count(*)::BIGINT AS total_job_actions FROM fa GROUP BY 1 ORDER BY 2 DESC, 1 NULLS LAST LIMIT 20",
-    "v03_active_moderators_per_day": "SELECT actioned_at::DATE AS action_date, count(DISTINCT mail)::BIGINT AS active_moderators_by_activity FROM fa GROUP BY 1",
+    "v03_active_moderators_per_day": "SELECT (actioned_at + to_seconds(off))::DATE AS action_date, count(DISTINCT mail)::BIGINT AS active_moderators_by_activity FROM fa GROUP BY 1",
     "v04_policy_distribution": "SELECT grp_name AS policy_area, count(*)::BIGINT AS policy_applications FROM p1 JOIN dpn USING (policy_id) GROUP BY 1",
-    "v05_escalations_and_queue_changes_per_day": "SELECT actioned_at::DATE AS action_date, action AS action_type, count(*)::BIGINT AS total_job_actions FROM fa WHERE action IN ('escalated', 'changed_queue') GROUP BY 1, 2",
+    "v05_escalations_and_queue_changes_per_day": "SELECT (actioned_at + to_seconds(off))::DATE AS action_date, action AS action_type, count(*)::BIGINT AS total_job_actions FROM fa WHERE action IN ('escalated', 'changed_queue') GROUP BY 1, 2",
     "v06_jobs_cancelled_by_workflow": "SELECT count(*) FILTER (WHERE n_wcan > 0)::BIGINT AS jobs_cancelled_by_workflow FROM fk",
     "v07_median_age_of_actioned_jobs": "SELECT action AS action_type, round(median(age / 3600.0::DOUBLE), 6) AS median_job_age_at_action_hours FROM fa GROUP BY 1",
     "v08_handle_time_by_queue": f"SELECT queue_name, {_H} FROM fd GROUP BY 1",

@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from modlake.functions.exprs import without_zone
 from modlake.operators.dedup import dedup_deliveries
 from modlake.plans import audits
 from modlake.plans.lake import bridged
@@ -18,7 +19,7 @@ def shown(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     for name, kind in df.select(*(columns or df.columns)).dtypes:
         c = F.col(name)
         if kind == "timestamp":
-            c = c.cast("timestamp_ntz")
+            c = without_zone(c)
         elif kind == "double":
             c = F.round(c, 6)
         elif kind in ("int", "smallint"):
@@ -31,9 +32,9 @@ def shown(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 #: Columns of relations that a query shows; keys that hash documents are left to the tests.
 COLUMNS = {
-    "t1_job_actions": ("stg_job_actions", "job_id action action_source actor_type actioned_at job_created_at job_age_at_action_seconds job_status_after job_category job_priority job_num_reports queue_slug queue_is_multi_review entity_schema entity_id has_entity actor_user_name actor_user_email actor_workflow_id actor_workflow_event_name actor_workflow_rule_id trigger_entity_schema trigger_entity_id has_notes is_escalation is_cancellation first_seen_at delivery_count was_redelivered record_source"),
+    "t1_job_actions": ("stg_job_actions", "job_id action action_source actor_type actioned_at actioned_local actioned_utc_offset_seconds job_created_at job_age_at_action_seconds job_status_after job_category job_priority job_num_reports queue_slug queue_is_multi_review entity_schema entity_id has_entity actor_user_name actor_user_email actor_workflow_id actor_workflow_event_name actor_workflow_rule_id trigger_entity_schema trigger_entity_id has_notes is_escalation is_cancellation first_seen_at delivery_count was_redelivered record_source"),
     "t2_job_closures": ("stg_job_closures", "job_id closed_at job_created_at job_category queue_slug queue_is_multi_review entity_schema entity_id closure_decision_count time_to_close_seconds delivery_count"),
-    "t3_decisions": ("stg_decisions", "job_id decision_ordinal decided_at closed_at handle_time_seconds decision_source_type is_human_decision is_automated reviewer_name reviewer_email entity_schema entity_id policy_count enforcement_action_count has_notes is_violating_outcome is_illegal_outcome decisions_on_job is_final_decision was_redelivered"),
+    "t3_decisions": ("stg_decisions", "job_id decision_ordinal decided_at decided_local decided_utc_offset_seconds closed_at handle_time_seconds decision_source_type is_human_decision is_automated reviewer_name reviewer_email entity_schema entity_id policy_count enforcement_action_count has_notes is_violating_outcome is_illegal_outcome decisions_on_job is_final_decision was_redelivered"),
     "dim_queue": ("dim_queue", "queue_key queue_slug queue_is_multi_review queue_name first_seen_at last_seen_at observation_count observed_event_type_count"),
     "dim_policy": ("dim_policy", "policy_key policy_id policy_name policy_parent_id policy_parent_name is_root_policy policy_parent_name_resolved policy_parent_name_source policy_group_name policy_is_illegal policy_is_non_violating policy_severity_class policy_action_count application_count first_seen_at last_seen_at"),
     "dim_reviewer": ("dim_reviewer", "reviewer_key reviewer_email reviewer_name reviewer_groups_label vendor_name vendor_specialism is_outsourced staffing_model is_admin is_qa is_escalation_team observation_count decision_observation_count action_observation_count observed_event_type_count first_seen_at last_seen_at"),

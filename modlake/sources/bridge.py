@@ -22,10 +22,16 @@ def _after(t: Column, seconds: Column) -> Column:
     return t + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
 
 
-def _iso(t: Column, zone: str = "+00:00") -> Column:
+def _iso(t: Column, zone: str = "Z") -> Column:
     return F.concat(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit(zone))
 
 
+def _iso_somewhere(t: Column, index: Column) -> Column:
+    """A time as it is written in one of three places, by the clock there."""
+    east, west = _after(t, F.lit(19800)), _after(t, F.lit(-28800))
+    return F.when(index % 3 == 1, _iso(east, "+05:30")).when(index % 3 == 2, _iso(west, "-08:00")).otherwise(_iso(t, "+00:00"))
+
+
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
@@ -96,7 +102,7 @@ def closure_payloads(t: Tables) -> DataFrame:
         some = F.when(x["l_linenumber"] % 2 == 0, F.array(_pick(SLUGS, pid % 7), F.lit("warn_user"))).otherwise(F.array(_pick(SLUGS, pid % 7)))
         ks = F.filter(F.sequence(F.lit(0), F.lit(2)), lambda k: k < n)
         return F.struct(
-            _iso(_after(F.col("created_at"), (i + 1) * 3600 + part(x) * 11 % 1800)).alias("timestamp"), F.struct(kind.alias("type"), user.alias("user")).alias("source"),
+            _iso_somewhere(_after(F.col("created_at"), (i + 1) * 3600 + part(x) * 11 % 1800), part(x)).alias("timestamp"), F.struct(kind.alias("type"), user.alias("user")).alias("source"),
             F.transform(ks, lambda k: policy(x, k)).alias("policies"), F.when((n == 0) | (pid % 4 == 0), none).otherwise(some).alias("enforcement_actions"),
             F.when(part(x) % 6 == 0, F.lit("  ")).when(part(x) % 6 == 1, F.lit("see thread")).alias("notes"))
 
@@ -138,7 +144,7 @@ def action_payloads(t: Tables) -> DataFrame:
     )
     at = _after(F.col("created_at"), i)
     notes = F.when(i % 6 == 0, "  ").when(i % 6 == 1, "needs a look")
-    doc = F.struct(_iso(at).alias("timestamp"), action.alias("action"), source.alias("source"), notes.alias("notes"), job.alias("job"), F.struct(user.alias("user"), workflow.alias("workflow")).alias("action_made_by"))
+    doc = F.struct(_iso_somewhere(at, i).alias("timestamp"), action.alias("action"), source.alias("source"), notes.alias("notes"), job.alias("job"), F.struct(user.alias("user"), workflow.alias("workflow")).alias("action_made_by"))
     return rows.select(i.alias("k"), F.to_json(doc).alias("payload"), at.alias("at"))
 
 

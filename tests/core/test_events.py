@@ -24,7 +24,7 @@ def landed(spark, rows):
 def test_times_of_all_forms(spark):
     texts = ["2026-07-01T10:00:00.5+05:00", "2026-07-01T10:00:00Z", "2026-07-01 10:00:00+00:00", "2024", "junk", None, "2026-13-01T00:00:00Z"]
     df = spark.createDataFrame([(json.dumps({"t": t}) if t else "{}", t) for t in texts], "p string, t string").withColumn("p", F.try_parse_json("p"))
-    got = df.select(exprs.event_time("p", "t").cast("timestamp_ntz").alias("t"), exprs.utc_offset_seconds(F.col("t")).alias("o"), exprs.local_date(F.col("t")).alias("d")).collect()
+    got = df.select(exprs.event_time("p", "t").cast("timestamp_ntz").alias("t"), exprs.utc_offset_seconds(F.col("t")).alias("o"), F.to_date(exprs.local_time(F.col("t"))).alias("d")).collect()
     assert [str(r.t)[:21] if r.t else None for r in got] == ["2026-07-01 05:00:00.5", "2026-07-01 10:00:00", "2026-07-01 10:00:00", None, None, None, None]
     assert [r.o for r in got[:3]] == [18000, 0, 0] and str(got[0].d) == "2026-07-01"
 
@@ -130,9 +130,13 @@ def test_facts_of_planted_cases(lake):
 
 
 def test_build_stops_below_a_failing_table(spark, lake, tmp_path):
+    with pytest.raises(BuildStopped, match="stg_job_closures__not_null_closed_at"):
+        build_all(spark, Lake(lake.surfaces), f"file://{tmp_path}/c")
+    sound = {**CLOSED, "decisions": [{**d, "source": {**d["source"], "type": d["source"].get("type", "api")}} for d in CLOSED["decisions"]]}
+    lake = Lake({**lake.surfaces, "landed_job_closed": landed(spark, [("raw", "job.closed", sound, "2026-07-01 13:00:00")])})
     built = build_all(spark, Lake(lake.surfaces), f"file://{tmp_path}/a")
     assert set(built) == {n for n in built if n.startswith(("dim_", "fct_"))} and len(built) == 10
-    assert spark.read.parquet(f"file://{tmp_path}/a/_failed/fct_job_actions__action").count() == 1
+    assert spark.read.parquet(f"file://{tmp_path}/a/_failed/stg_job_actions__accepted_action").count() == 2
     bad = Lake(lake.surfaces)
     dims = lake["dim_queue"]
     bad.made["dim_queue"] = dims.union(dims)
@@ -185,3 +189,36 @@ def test_closures_without_time_keep_null_durations(lake):
     assert dim_reviewer(lake["stg_decisions"].limit(0), lake["stg_job_actions"].limit(0)).count() == 0
     assert dim_entity(lake["stg_decisions"].limit(0), lake["stg_job_actions"].limit(0), lake["stg_job_closures"].limit(0)).count() == 0
     assert dim_enforcement_action(lake["stg_decision_enforcement_actions"].limit(0)).count() == 0
+
+
+def test_local_calendar_keeps_the_senders_day(spark):
+    here = {**CLOSED, "timestamp": "2026-07-01T00:00:00.5+05:00", "decisions": [{**CLOSED["decisions"][0], "timestamp": "2026-06-30T23:30:00-08:00"}]}
+    areas = spark.createDataFrame([], "policy_area_id string, policy_area_name string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            lake = Lake({"landed_job_closed": landed(spark, [("raw", "job.closed", here, "2026-07-01 13:00:00")]), "landed_job_actioned": landed(spark, []), "policy_areas": areas})
+            d = lake["fct_decisions"].select("decided_date", "decided_hour_of_day", "decided_utc_offset_seconds", exprs.without_zone(F.col("decided_at")).alias("t")).first()
+            assert (str(d.decided_date), d.decided_hour_of_day, d.decided_utc_offset_seconds, str(d.t)) == ("2026-06-30", 23, -28800, "2026-07-01 07:30:00")
+            j = lake["fct_jobs"].select("closed_date", "closed_month", "created_date").first()
+            assert (str(j.closed_date), str(j.closed_month), str(j.created_date)) == ("2026-07-01", "2026-07-01", "2026-07-01")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_every_column_test_finds_what_breaks_it(spark, lake):
+    from modlake.operators import checks
+
+    counts = {(r.table_name, r.test): r.n_failing for r in checks.failing_counts(lake).collect()}
+    assert counts[("stg_job_closures", "not_null_closed_at")] == 1 and counts[("stg_job_actions", "accepted_action")] == 2 and counts[("stg_decisions", "not_null_decision_source_type")] == 1
+    assert counts[("stg_job_closures", "without_decisions")] == 1 and counts[("fct_decisions", "unique_decision_sk")] == 0
+    for name in ("stg_decisions", "fct_decision_policies", "fct_jobs"):
+        broken = Lake({**lake.surfaces})
+        broken.made = {**lake.made, name: lake[name].unionByName(lake[name].select(*[F.lit(None).cast(t).alias(c) for c, t in lake[name].dtypes]))}
+        got = {r.test: r.n_failing for r in checks.failing_counts(broken, [name]).collect()}
+        assert all(n > 0 for t, n in got.items() if t.startswith("not_null_"))
+        twice = Lake({**lake.surfaces})
+        twice.made = {**lake.made, name: lake[name].unionByName(lake[name])}
+        got = {r.test: r.n_failing for r in checks.failing_counts(twice, [name]).collect()}
+        assert all(n > 0 for t, n in got.items() if t.startswith("unique_"))

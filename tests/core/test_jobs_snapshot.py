@@ -1,5 +1,7 @@
 """The two cases of the job snapshot that fix its meaning: an open job, and the durations of a closed one."""
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from modlake.operators.facts import fct_jobs
@@ -7,7 +9,6 @@ from modlake.operators.facts import fct_jobs
 ACTIONS = "job_id string, action string, action_source string, actor_type string, actioned_at timestamp, queue_slug string, job_status_after string, job_category string, job_created_at timestamp, job_num_reports long, job_priority long, entity_schema string, entity_id string, actor_user_email string"
 CLOSURES = "job_closure_event_sk string, job_id string, closed_at timestamp, job_created_at timestamp, job_category string, queue_slug string, queue_is_multi_review boolean, entity_schema string, entity_id string"
 DECISIONS = "job_id string, decided_at timestamp, handle_time_seconds long, is_automated boolean, is_human_decision boolean, is_final_decision boolean, reviewer_email string, decision_source_type string, primary_policy_group_name string, enforcement_action_count long, max_enforcement_severity_rank long, is_violating_outcome boolean, is_illegal_outcome boolean, is_cleared_outcome boolean"
-QUEUE, ENTITY, REVIEWER = "queue_slug string, queue_key string", "entity_schema string, entity_id string, entity_key string", "reviewer_email string, reviewer_key string"
 
 
 def frame(spark, rows, schema):
@@ -18,8 +19,9 @@ def frame(spark, rows, schema):
 
 
 def snapshot(spark, actions, closures, decisions):
-    empty = [frame(spark, [], s) for s in (QUEUE, ENTITY, REVIEWER)]
-    out = fct_jobs(frame(spark, actions, ACTIONS), frame(spark, closures, CLOSURES), frame(spark, decisions, DECISIONS), *empty)
+    local = lambda df, *names: df.withColumns({f"{n}_local": F.col(f"{n}_at").cast("timestamp_ntz") for n in names})
+    acted, closed = local(frame(spark, actions, ACTIONS), "job_created"), local(frame(spark, closures, CLOSURES), "closed", "job_created")
+    out = fct_jobs(acted, closed, frame(spark, decisions, DECISIONS))
     return [r.asDict() for r in out.collect()]
 
 
@@ -41,7 +43,7 @@ def test_open_job_without_closure(spark):
         [],
     )
     expect(row, job_id="job-open", is_closed=False, is_open=True, action_count=3, queue_change_count=2, was_moved_between_queues=True, current_queue_slug="high-harm-review", job_status="open")
-    expect(row, workflow_action_count=1, human_action_count=2, closed_at=None, time_to_close_seconds=None, decision_count=0, has_action_history=True, missing_action_history=False, final_queue_key=None)
+    expect(row, workflow_action_count=1, human_action_count=2, closed_at=None, time_to_close_seconds=None, decision_count=0, has_action_history=True, missing_action_history=False, final_queue_key=hashlib.md5(b"high-harm-review").hexdigest())
     expect(row, open_age_at_last_action_secs=3 * 3600)
 
 

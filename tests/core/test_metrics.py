@@ -17,9 +17,19 @@ def test_registry_sizes():
 
 def test_names_and_synonyms():
     assert resolve("decisions.total_decisions") == "total_decisions" and resolve("handle time") == "median_handle_time_hours" and resolve("queue") == "queue_name"
-    assert set(metrics.SYNONYMS.values()) <= {*DIMENSIONS, *METRICS, *DERIVED}
-    with pytest.raises(KeyError):
-        resolve("nothing of the kind")
+    assert set(metrics.DIMENSION_WORDS) == set(DIMENSIONS) and set(metrics.METRIC_WORDS) == {*METRICS, *DERIVED} and set(metrics.COMMENTS) <= {*DIMENSIONS, *METRICS, *DERIVED}
+    for kind, words in (("dimension", metrics.DIMENSION_WORDS), ("metric", metrics.METRIC_WORDS)):
+        listed = [w.strip().lower() for ws in words.values() for w in ws.split(",")]
+        assert len(listed) == len(set(listed))
+        for name, ws in words.items():
+            spoken = name.replace("_", " ")
+            for w in [*ws.split(","), name, *([] if spoken in listed else [spoken])]:
+                assert resolve(w.strip(), kind) == name
+    assert resolve("violation type") == "policy_name" and resolve("vendor") == "decision_staffing_model" and resolve("reviewer vendor") == "staffing_model"
+    assert resolve("cleared", "metric") == "cleared_decisions" and resolve("cleared", "dimension") == "decision_is_cleared"
+    for name in ("nothing of the kind", "cleared"):
+        with pytest.raises(KeyError):
+            resolve(name)
 
 
 def test_join_paths():

@@ -107,10 +107,21 @@ def test_incremental_upsert_rewrites_touched_dates_only(spark, tmp_path):
     again = incremental.upsert(spark, path, piece)
     assert again.count() == 4
     assert incremental.incremental_slice(source, None).count() == 4 and incremental.late_rows(source, target.limit(0)).count() == 0
+    assert not [f for f in os.listdir(tmp_path) if "__staged" in f]
     two = events(spark, [(5, "2026-01-03 00:00:00", "x"), (5, "2026-01-03 00:00:00", "y")])
     assert incremental.merged(None, two).count() == 1
 
 
+def test_upsert_keeps_rows_without_a_time(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    rows = lambda *ids: events(spark, [(i, None if i % 2 else "2026-01-02 10:00:00", f"{i}") for i in ids])
+    incremental.upsert(spark, path, rows(1, 2))
+    out = incremental.upsert(spark, path, rows(3, 4))
+    assert sorted((r.event_id, r.v) for r in out.collect()) == [(1, "1"), (2, "2"), (3, "3"), (4, "4")]
+    again = incremental.upsert(spark, path, rows(1, 6))
+    assert sorted(r.event_id for r in again.collect()) == [1, 2, 3, 4, 6]
+
+
 def test_stream_drops_redeliveries(spark, tmp_path):
     from modlake.streaming.deliveries import deduplicated, delivery_stream, run_available
 
