@@ -6,9 +6,9 @@ fewer differing bits are linked, candidates coming from covering masks (hamming.
 every such pair meets in some table; documents are grouped by connected component.
 
 drop_near_copies() is to find all pairs with a Jaccard similarity of 0.8 or more on five-word shingles. Its
-first candidates are fingerprints of the distinct words of a text, weighted by length, at 6 bits (127 tables).
-One in ten such pairs is farther apart; the exact prefix-filter join of `similar` finds those. Every link,
-of whichever search, is verified by the shingles themselves before components are formed.
+first candidates are fingerprints of the distinct words of a text, weighted by length, within `radius` bits by
+covering masks. Many such pairs are farther apart; the exact prefix-filter join of `similar` finds those. Every
+link, of whichever search, is verified by the shingles themselves before components are formed.
 
 Scale: near_components() reads texts once and never shuffles them; after that only distinct fingerprints
 move, 16 bytes for each of the 2^(radius+1) - 1 tables. drop_near_copies() also moves the prefix, a fifth of
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from modlake.llm.fingerprints import voted, word_arrays
 from modlake.llm.hamming import bucket_keys, covering_masks, near_classes, slices
-from modlake.llm.similar import frequent, lists, nodes_of, prefixes, shingle_sets, similar_components
+from modlake.llm.similar import frequent, lists, nodes_of, parities, prefixes, shingle_sets, similar_components
 from modlake.llm.store import free_name, stored
 
 SEED = 42
@@ -105,7 +105,7 @@ def near_components(docs: DataFrame, width: int = 4, radius: int = 4, text: str
 
 
 def marked_rows(rows: DataFrame, width: int) -> DataFrame:
-    """(doc_id, row, node, n, fp, keys, last) of rows (doc_id, text, row): set of shingles, its size, fingerprint, prefix and rank of its end."""
+    """(doc_id, row, node, n, fp, keys, bits, low) of rows (doc_id, text, row): set of shingles, its size, fingerprint, prefix and parity bits."""
     hot, ranks = frequent(rows)
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,12 +117,11 @@ def marked_rows(rows: DataFrame, width: int) -> DataFrame:
                 fps = np.array([fingerprint(t, width) for t in lowered.to_pylist()], np.uint64)
             else:
                 fps = word_fingerprints(b.column(1), words)
-            keys, taken, last = prefixes(found, sizes, hot, ranks)
-            columns = [b.column(0), b.column(2), pa.array(nodes_of(found, sizes)), pa.array(sizes), pa.array(fps.view(np.int64)), lists(keys, taken), pa.array(last)]
-            yield pa.record_batch(columns, names=["doc_id", "row", "node", "n", "fp", "keys", "last"])
+            columns = [b.column(0), b.column(2), pa.array(nodes_of(found, sizes)), pa.array(sizes), pa.array(fps.view(np.int64)), lists(*prefixes(found, sizes, hot, ranks)), *parities(found, sizes)]
+            yield pa.record_batch(columns, names=["doc_id", "row", "node", "n", "fp", "keys", "bits", "low"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return stored(rows.select("doc_id", "text", "row").mapInArrow(marks, f"doc_id {kind}, row long, node long, n long, fp long, keys array<long>, last long"), "simhash")
+    return stored(rows.select("doc_id", "text", "row").mapInArrow(marks, f"doc_id {kind}, row long, node long, n long, fp long, keys array<long>, bits array<long>, low array<long>"), "simhash")
 
 
 def likely_pairs(nodes: DataFrame, masks: list[int], radius: int) -> DataFrame:
@@ -136,7 +135,7 @@ def likely_pairs(nodes: DataFrame, masks: list[int], radius: int) -> DataFrame:
     return stored(pairs.union(nodes.join(fps, "fp").where("node <> rep").select("rep", "node")), "likely")
 
 
-def drop_near_copies(docs: DataFrame, width: int = 0, radius: int = 6, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def drop_near_copies(docs: DataFrame, width: int = 0, radius: int = 4, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """docs with one row of each component of near copies, that with the smallest doc_id; all columns as they are.
 
     Only the texts decide which rows are near copies: rows with one doc_id but different texts, or without a
@@ -147,7 +146,7 @@ def drop_near_copies(docs: DataFrame, width: int = 0, radius: int = 6, text: str
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), row.alias("row"))
     marked = marked_rows(rows, width)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
-    nodes = stored(marked.groupBy("node").agg(F.min("row").alias("row"), F.min("n").alias("n"), F.min("fp").alias("fp"), first.alias("first")), "nodes")
+    nodes = stored(marked.groupBy("node").agg(F.min("row").alias("row"), F.min("n").alias("n"), F.min("fp").alias("fp"), F.min("bits").alias("bits"), F.min("low").alias("low"), first.alias("first")), "nodes")
     likely = likely_pairs(nodes, covering_masks(radius), radius)
     roots = similar_components(marked, nodes, rows, likely)
     grouped = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -3,6 +3,8 @@
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +40,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """df written as a table in the shared folder and read back: lineage ends there.
 
     A lost executor costs nothing of what was written, unlike a cached or local copy. The table stays
-    until dropped() or drop_since(): a lazy result may still read it.
+    until dropped() or drop_paths(): a lazy result may still read it.
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
@@ -61,16 +63,18 @@ def dropped(*tables: DataFrame) -> None:
             _delete(t.sparkSession, t.stored_at)
 
 
-def written() -> int:
-    """A mark for drop_since()."""
-    return len(_written)
+@contextmanager
+def written_since() -> Iterator[list[str]]:
+    """A list of the tables written within that are still there when it ends, for drop_paths()."""
+    before, paths = set(_written), []
+    yield paths
+    paths += [p for p in _written if p not in before]
 
 
-def drop_since(spark: SparkSession, mark: int = 0, keep: tuple[DataFrame, ...] = ()) -> None:
-    """Delete the tables written since a mark but those to keep; what was made of them has to be stored or consumed."""
-    kept = {t.stored_at for t in keep}
-    for path in _written[mark:]:
-        if path not in kept:
+def drop_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that nothing will read again: what was made of them has been written or consumed."""
+    for path in paths:
+        if path in _written:
             _delete(spark, path)
 
 

@@ -35,27 +35,43 @@ def test_each_stage_against_brute_force(spark):
     from tokenizers import Tokenizer
 
     import corpus_pipeline
-    from modlake.llm import mixing, quality
+    import math
+
+    from modlake.llm import quality
     from modlake.llm.store import stored
-    from tests.llm.test_dedup import brute_classes, brute_lines, slow_word_fingerprint
+    from tests.llm.test_dedup import brute_lines, slow_kept
+    from tests.llm.test_quality_mixing_chat import slow_mix, slow_statistics
 
     inputs = [spark.read.parquet(f"{DATA}/documents.parquet")]
     for _, stage in corpus_pipeline.STAGES:
         inputs.append(stored(stage(spark, inputs[-1], DATA), "test"))
     texts = [{r.doc_id: r.text for r in df.select("doc_id", "text").collect()} for df in inputs[:5]]
 
-    scored = quality.classify(inputs[0], spark.read.parquet(f"{DATA}/labels.parquet"))
-    assert set(texts[1]) == {r.doc_id for r in scored.where("predicted = 1").collect()}
+    model = quality.fit(quality.labelled(quality.measured(inputs[0]), spark.read.parquet(f"{DATA}/labels.parquet")))
+
+    def slow_score(text):
+        value, logit = slow_statistics(text), model.intercept
+        for rule, w in zip(model.rules, model.weights):
+            logit += w * all((value[n] > t) == above for n, above, t in rule.conditions)
+        return 1 / (1 + math.exp(-logit))
+
+    assert len(model.rules) > 3 and set(texts[1]) == {d for d, t in texts[0].items() if slow_score(t) >= 0.7}
 
     assert texts[2] == {d: t for d, _, _, t in brute_lines(sorted(texts[1].items()))}
 
     ids = sorted(texts[2])
-    fps = [slow_word_fingerprint(texts[2][d]) for d in ids]
-    assert sorted(texts[3]) == [ids[k] for k in sorted(set(brute_classes([f - 2**64 if f >> 63 else f for f in fps], 6)))]
-
-    kept = {r.doc_id: r.probability for r in mixing.mix(inputs[3]).collect()}
+    assert sorted(texts[3]) == [ids[k] for k in sorted(slow_kept([texts[2][d] for d in ids]))]
+
+    cell, size = {}, {}
+    for r in inputs[3].collect():
+        t = r.text or ""
+        n = len(t.encode().split())
+        form = "table" if " | " in t else "links" if "://" in t else "note" if n < 100 else "article" if n < 400 else "essay"
+        cell[r.doc_id] = (r.source or "", r.lang or "", form)
+        size[cell[r.doc_id]] = size.get(cell[r.doc_id], 0) + n
+    probability = slow_mix(size, [0.5] * 3, 0.8)
     number = lambda d: int(hashlib.md5(f"8:{d}".encode()).hexdigest()[:8], 16) / 2**32
-    assert sorted(kept) == sorted(texts[4]) and all(number(d) < p for d, p in kept.items())
+    assert sorted(texts[4]) == sorted(d for d in texts[3] if number(d) < probability[cell[d]])
 
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     got: dict[int, list] = {}
@@ -65,6 +81,19 @@ def test_each_stage_against_brute_force(spark):
     assert {d: b"".join(x for _, x in sorted(p)) for d, p in got.items()} == want
 
 
+def test_stages_of_odd_tables(spark):
+    """Empty tables, repeated and null ids, null texts and further columns of clashing names go through every stage."""
+    import corpus_pipeline
+    from modlake.llm.store import stored
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, n_lines string, topic string, stays string, error string"
+    rows = [(k % 7 if k % 5 else None, None if k == 3 else f"Some words of row {k // 2}. And more of them.", None, "s", 1, "own", None, "x", "y") for k in range(20)]
+    for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stored(stage(spark, docs, DATA), "test")
+            assert name == "packing" or docs.columns == corpus_pipeline.COLUMNS
+
+
 def test_queries_of_the_entry_point():
     import __spark_entry__ as entry
 
