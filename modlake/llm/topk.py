@@ -18,7 +18,7 @@ goes only to shards that its bound leaves over. The driver sees the sample of ce
 
 Edge cases: vectors that are null or hold null or non-finite components, and null ids, take no part;
 shorter vectors count as filled up with zeros; equal vectors under different ids all are candidates; of rows
-with one id the one with the smallest vector counts; a query
+with one id the one with the smallest vector counts; components whose scores could exceed 64 bits are refused; a query
 with fewer than k candidates gets them all; an empty table gives no rows; other columns are not read.
 """
 
@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from modlake.llm.store import parts_for, stored
 
 FOUND = "query_id long, vec_id long, score long"
+#: Rows of a leaf of a data tree.
+DATA_LEAF = 256
 
 
 class CoverTree:
@@ -79,9 +81,9 @@ def bound(a: tuple, b: tuple) -> float:
     return most + 1e-9 * abs(most) + 1e-6
 
 
-def dual_search(q: np.ndarray, q_ids: np.ndarray, worst: np.ndarray, x: np.ndarray, x_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place of query, id, score) of the best k candidates of each query that reach its score in `worst`."""
-    qt, xt = CoverTree(q, 64), CoverTree(x, 256)
+def dual_search(q: np.ndarray, q_ids: np.ndarray, worst: np.ndarray, x: np.ndarray, x_ids: np.ndarray, k: int, tree: "CoverTree | None" = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place of query, id, score) of the best k candidates of each query that reach its score in `worst`; tree: that of x, if there is one."""
+    qt, xt = CoverTree(q, 64), tree or CoverTree(x, DATA_LEAF)
     ids, own = x_ids[xt.rows], q_ids[qt.rows]
     least = worst[qt.rows].astype(np.float64)
     best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0), np.zeros(0, np.int64))] * len(q)
@@ -146,9 +148,13 @@ def top_k(
     is_query may use the column vec_id.
     """
     spark = vectors.sparkSession
-    rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), integers(F.col(embedding), scale).alias("v"))
-    rows = stored(rows.where("vec_id IS NOT NULL AND v IS NOT NULL").groupBy("vec_id").agg(F.min("v").alias("v")), "vectors")
-    n, dim = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
+    largest = F.array_max(F.transform(F.col(embedding), lambda x: F.abs(x.cast("double") * F.lit(float(scale)))))
+    rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), integers(F.col(embedding), scale).alias("v"), largest.alias("largest"))
+    rows = stored(rows.where("vec_id IS NOT NULL AND v IS NOT NULL").groupBy("vec_id").agg(F.min("v").alias("v"), F.max("largest").alias("largest")), "vectors")
+    n, dim, most = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0)), F.coalesce(F.max("largest"), F.lit(0.0))).first()
+    if dim * (most + 1) ** 2 >= 2.0**63:
+        raise ValueError(f"components of up to {most:g} after scaling: their scores do not fit into 64 bits")
+    rows = rows.select("vec_id", "v")
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toArrow()
@@ -183,10 +189,10 @@ def top_k(
         if left.num_rows and right.num_rows:
             x, q, q_ids = _matrix(left.column("v"), dim), _matrix(right.column("v"), dim), right.column("vec_id").to_numpy()
             worst = right.column("worst").to_numpy()
-            of = right.column("group").to_numpy()
+            of, tree = right.column("group").to_numpy(), CoverTree(x, DATA_LEAF)
             for g in np.unique(of):
                 at = np.flatnonzero(of == g)
-                place, v, s = dual_search(q[at], q_ids[at], worst[at], x, left.column("vec_id").to_numpy(), k)
+                place, v, s = dual_search(q[at], q_ids[at], worst[at], x, left.column("vec_id").to_numpy(), k, tree)
                 found.append((q_ids[at][place], v, s))
         a, b, c = (np.concatenate(z) for z in zip(*found))
         return pa.table({"query_id": pa.array(a, pa.int64()), "vec_id": pa.array(b, pa.int64()), "score": pa.array(c.astype(np.int64))})

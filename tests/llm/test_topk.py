@@ -55,3 +55,9 @@ def test_bounds_cover_all_pairs_and_the_search_prunes():
         assert sorted(zip(-scores[place == q], found[place == q])) == want
     # a limit that nothing reaches ends the search at the roots
     assert len(dual_search(x[:50], ids[:50], np.full(50, np.inf), x, ids, 7)[0]) == 0
+
+
+def test_components_beyond_64_bits_are_refused(spark):
+    df = spark.createDataFrame([(k, [1e20, 1.0]) for k in range(5)], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="64 bits"):
+        top_k(df, F.col("vec_id") == 1)
