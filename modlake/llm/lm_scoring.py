@@ -45,7 +45,7 @@ END = np.uint64(xxhash.xxh64_intdigest(b"", SEED))
 #: Buckets of context frequency: 0, 1, 2-3, 4-7, ... and all above.
 BUCKETS = 24
 #: Tokens of a block, and n-grams of a hash range that one task adds up.
-BLOCK, RANGE = 1 << 20, 1 << 20
+BLOCK, RANGE = 3 << 18, 3 << 18
 #: Frequent n-grams of an order that are counted apart, and bytes of text that tell which they are.
 HOT, SAMPLE = 1 << 15, 16 << 20
 #: EM ends when no weight moves by more, or after so many rounds.
