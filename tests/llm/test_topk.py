@@ -57,6 +57,46 @@ def test_bounds_cover_all_pairs_and_the_search_prunes():
     assert len(dual_search(x[:50], ids[:50], np.full(50, np.inf), x, ids, 7)[0]) == 0
 
 
+@pytest.mark.parametrize("kind", ["clusters", "none", "copies", "line"])
+def test_cover_tree_keeps_its_invariants(kind):
+    rng = np.random.default_rng(2)
+    x = {
+        "clusters": np.floor(64 * (rng.normal(size=(5, 8))[rng.integers(0, 5, 700)] + 0.01 * rng.normal(size=(700, 8)))),
+        "none": np.floor(64 * rng.normal(size=(400, 40))),
+        "copies": np.floor(rng.normal(size=(6, 4)) * 9)[rng.integers(0, 6, 500)],
+        "line": np.arange(600.0)[:, None] ** 2,
+    }[kind]
+    tree = CoverTree(x, 8, block=32)
+    apart = lambda a, b: np.sqrt(((x[a][:, None] - x[b][None, :]) ** 2).sum(axis=2))
+    for above, (scale, n) in zip([None, *tree.levels], tree.levels):
+        net = tree.centres[:n]  # nesting: a level is a prefix of the finer one
+        assert (apart(net, net) + np.diag(np.full(n, np.inf))).min() > scale or n == 1
+        assert apart(np.arange(len(x)), net).min(axis=1).max() <= scale + 1e-6
+        if above:
+            for c in range(above[1], n):
+                assert tree.parent[c] < above[1] and apart([tree.centres[c]], [tree.centres[tree.parent[c]]]).item() <= above[0] + 1e-6
+    assert sorted(tree.rows) == list(range(len(x)))
+    leaves = [node for node in tree.nodes if not node[5]]
+    assert sorted(r for node in leaves for r in range(node[3], node[4])) == list(range(len(x)))
+    for node in tree.nodes:
+        assert np.sqrt(((tree.x[node[3] : node[4]] - node[0]) ** 2).sum(axis=1)).max() <= node[2]
+        ends = sorted((tree.nodes[c][3], tree.nodes[c][4]) for c in node[5])
+        assert not ends or (ends[0][0], ends[-1][1]) == (node[3], node[4]) and all(p[1] == q[0] for p, q in zip(ends, ends[1:]))
+
+
+@pytest.mark.parametrize("k", [1, 20, 2000])
+def test_dual_search_over_several_blocks_with_ties(k):
+    rng = np.random.default_rng(3)
+    x = np.floor(4 * rng.normal(size=(5000, 12)))
+    x[4000:] = x[:10].repeat(100, axis=0)
+    ids = rng.permutation(5000)
+    place, found, scores = dual_search(x[:150], ids[:150], np.full(150, -np.inf), x, ids, k)
+    all_scores = x[:150] @ x.T
+    for q in range(150):
+        order = [j for j in np.lexsort((ids, -all_scores[q])) if j != q][:k]
+        assert found[place == q].tolist() == ids[order].tolist() and scores[place == q].tolist() == all_scores[q][order].tolist()
+
+
 def test_components_beyond_64_bits_are_refused(spark):
     df = spark.createDataFrame([(k, [1e20, 1.0]) for k in range(5)], "vec_id long, embedding array<double>")
     with pytest.raises(ValueError, match="64 bits"):
