@@ -61,13 +61,14 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())
 
 
-def bucket_keys(fps: DataFrame, masks: list[int], each: int = 1 << 20) -> DataFrame:
+def bucket_keys(fps: DataFrame, masks: list[int], each: int = 1 << 18, tasks: int = 1 << 15) -> DataFrame:
     """(fp, k) for each table of the distinct fingerprints fps (fp: long): k names the bucket of the masked value.
 
-    The fingerprints are dealt out first, so that no task makes many more than `each` of these rows.
+    The fingerprints are dealt out first, so that no task makes many more than `each` of these rows; beyond that
+    number of tasks the tasks get longer instead, since they hold none of what they make.
     """
     table = F.explode(F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(signed(m)))) for i, m in enumerate(masks)]))
-    return fps.repartition(parts_for(fps.count() * len(masks), each), "fp").select("fp", table.alias("k"))
+    return fps.repartition(min(tasks, parts_for(fps.count() * len(masks), each)), "fp").select("fp", table.alias("k"))
 
 
 def near_links(fps: DataFrame, masks: list[int], radius: int, tile: int = TILE) -> DataFrame:
