@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modlake.llm.mixing import sql as mixing_sql
+from modlake.llm.sql import OP13_SQL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -134,6 +135,21 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT
 FROM marked GROUP BY r, doc_id
 """
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from modlake.llm.line_dedup import LOWER, UPPER
+    from modlake.llm.merkle import fold, hex_of, leaf_of, manifest, proof_digest
+
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = leaf_of([*map(F.col, fields[:-1]), F.translate("text", UPPER, LOWER)])
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, lowered)
+    out = manifest(table(spark, sf_dir, "documents"), fields, "lang", "doc_id", keep={"tampered": tampered})
+    out = out.withColumn("folded_root", fold(F.coalesce("tampered", "leaf"), F.col("proof")))
+    return out.select(
+        "doc_id", hex_of(F.col("leaf")).alias("leaf"), "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -145,6 +161,13 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_fingerprints": op9_fingerprints,
     "op10_line_dedup": op10_line_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-ORACLES = {"op5_preference_format": OP5_SQL, "op8_mixing": mixing_sql(), "op6_top_k": OP6_SQL, "op10_line_dedup": OP10_SQL}
+ORACLES = {
+    "op5_preference_format": OP5_SQL,
+    "op8_mixing": mixing_sql(),
+    "op6_top_k": OP6_SQL,
+    "op10_line_dedup": OP10_SQL,
+    "op13_merkle_manifest": OP13_SQL,
+}
