@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modlake.llm.mixing import sql as mixing_sql
-from modlake.llm.sql import OP13_SQL
+from modlake.llm.sql import OP11_SQL, OP13_SQL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -135,6 +135,12 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT
 FROM marked GROUP BY r, doc_id
 """
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from modlake.llm.divergence import divergence
+
+    return divergence(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from modlake.llm.line_dedup import LOWER, UPPER
     from modlake.llm.merkle import fold, hex_of, leaf_of, manifest, proof_digest
@@ -161,6 +167,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_fingerprints": op9_fingerprints,
     "op10_line_dedup": op10_line_dedup,
+    "op11_source_divergence": op11_source_divergence,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -169,5 +176,6 @@ ORACLES = {
     "op8_mixing": mixing_sql(),
     "op6_top_k": OP6_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op11_source_divergence": OP11_SQL,
     "op13_merkle_manifest": OP13_SQL,
 }

@@ -46,3 +46,23 @@ folded AS (SELECT l.*, proof, list_reduce([coalesce(tampered, digest)] || coales
 SELECT doc_id, f.digest AS leaf, g.digest AS subroot, t.digest AS root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = t.digest AS verified
 FROM folded f JOIN langs g ON g.lang_tree = f.tree CROSS JOIN (SELECT digest FROM tops WHERE n = 1) t
 """
+
+OP11_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+words AS (SELECT d, lang, source, unnest(regexp_extract_all(translate(text, {UPPER_LOWER}), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT d) >= 10),
+sets AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term),
+groups AS (SELECT lang, source, coalesce(v, 0) AS v, coalesce(t, 0) + 2 * coalesce(v, 0) AS total FROM (SELECT DISTINCT lang, source FROM docs)
+    LEFT JOIN sets USING (lang) LEFT JOIN (SELECT lang, source, sum(n) AS t FROM counts GROUP BY lang, source) USING (lang, source)),
+shares AS (SELECT lang, source, term, coalesce(n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(n, 0) + 2)) // total::HUGEINT AS p
+    FROM groups JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+whole AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * v)::HUGEINT AS q
+    FROM (SELECT lang, term, sum(n) AS n FROM counts GROUP BY lang, term) JOIN sets USING (lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+    LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY a.lang, a.source, b.source),
+terms AS (SELECT lang, source, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM pairs
+UNION ALL SELECT * FROM (SELECT lang, source, 'term' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM terms) WHERE rank <= 10
+"""
