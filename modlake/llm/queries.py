@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modlake.llm.mixing import sql as mixing_sql
-from modlake.llm.sql import OP11_SQL, OP13_SQL
+from modlake.llm.sql import OP11_SQL, OP12_SQL, OP13_SQL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -141,6 +141,12 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(table(spark, sf_dir, "documents"))
 
 
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from modlake.llm.lattice import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from modlake.llm.line_dedup import LOWER, UPPER
     from modlake.llm.merkle import fold, hex_of, leaf_of, manifest, proof_digest
@@ -168,6 +174,7 @@ QUERIES = {
     "op9_fingerprints": op9_fingerprints,
     "op10_line_dedup": op10_line_dedup,
     "op11_source_divergence": op11_source_divergence,
+    "op12_embedding_dedup": op12_embedding_dedup,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -177,5 +184,6 @@ ORACLES = {
     "op6_top_k": OP6_SQL,
     "op10_line_dedup": OP10_SQL,
     "op11_source_divergence": OP11_SQL,
+    "op12_embedding_dedup": OP12_SQL,
     "op13_merkle_manifest": OP13_SQL,
 }

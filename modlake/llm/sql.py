@@ -66,3 +66,14 @@ terms AS (SELECT lang, source, term AS item, ((p - q) * (p - q) // (p + q))::BIG
 SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM pairs
 UNION ALL SELECT * FROM (SELECT lang, source, 'term' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM terms) WHERE rank <= 10
 """
+
+OP12_SQL = """
+WITH RECURSIVE rows AS (SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+good AS (SELECT r, vec_id, label, v FROM rows WHERE label IS NOT NULL AND v IS NOT NULL
+    AND len([1 for x in v if x IS NULL OR NOT isfinite(x)]) = 0 AND len([1 for x in v if x <> 0]) > 0),
+links AS (SELECT a.r AS a, b.r AS b FROM good a JOIN good b ON a.label = b.label AND a.r <> b.r AND len(a.v) = len(b.v) WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach(a, b) AS (SELECT r, r FROM rows UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT rows.vec_id, coalesce(n, 0)::BIGINT AS n_links, c AS component_id, rows.vec_id IS NOT DISTINCT FROM c AS kept
+FROM rows LEFT JOIN (SELECT a AS r, count(*) AS n FROM links GROUP BY a) USING (r)
+JOIN (SELECT reach.a AS r, min(o.vec_id) AS c FROM reach JOIN rows o ON o.r = reach.b GROUP BY reach.a) USING (r)
+"""
