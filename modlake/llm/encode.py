@@ -3,11 +3,15 @@
 A text is cut only where no token can span the cut, so the ids are those of the whole text:
 at white space for tokenizers that drop it, and before a single space, or around a single line
 feed, between other characters for byte-level ones, which attach the space to the word that
-follows; and between a letter or digit and the marks at the end of a segment. A text with any other white space, or with the string of a special token, is encoded whole.
+follows; and between a letter or digit and the marks at the end of a segment, if the tokenizer's normal form of that
+letter still ends in a letter or digit (the capital I with a dot is lower-cased to an i and a combining mark, which
+the tokenizer joins to the marks that follow). A text with any other white space, or with the string of a special
+token, is encoded whole.
 """
 
 import json
 import os
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -15,9 +19,9 @@ import pyarrow.compute as pc
 
 #: Distinct segments that a worker remembers before it starts afresh (about 150 bytes each).
 REMEMBERED = 800_000
-#: Stands for a line feed between segments; texts that hold it themselves are encoded whole.
 #: Marks that are cut off the end of a word, so that a word is encoded once whatever follows it.
 MARKS = ".,!?;:*$%&#|"
+#: Stands for a line feed between segments; texts that hold it themselves are encoded whole.
 LINE_MARK = "\ue000"
 
 _encoders: dict[str, "SegmentEncoder"] = {}
@@ -41,8 +45,17 @@ class SegmentEncoder:
         self.size = self.tok.get_vocab_size(with_added_tokens=True)
         self.drops_space = r"\s+" in json.dumps(config["normalizer"], ensure_ascii=False).replace("\\\\", "\\")
         self.lowers = "Lowercase" in json.dumps(config["normalizer"])
+        self.open_ends = self._open_ends()
         self._forget()
 
+    def _open_ends(self) -> str:
+        """Letters and digits whose normal form ends in something else, so that marks after them may belong to it."""
+        if self.tok.normalizer is None:
+            return ""
+        normal, kind = self.tok.normalizer.normalize_str, unicodedata.category
+        solid = (c for c in map(chr, range(0x80, 0x110000)) if kind(c)[0] in "LN")
+        return "".join(c for c in solid if kind((normal(c) or " ")[-1])[0] not in "LN")
+
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
@@ -74,6 +87,8 @@ class SegmentEncoder:
         """For each segment the numbers of its stem and of the marks after it, either of which may be empty."""
         stems = pc.utf8_rtrim(segments, MARKS)
         cut = pc.match_substring_regex(stems, r"[\p{L}\p{N}]$")
+        if self.open_ends:
+            cut = pc.and_not(cut, pc.match_substring_regex(stems, f"[{self.open_ends}]$"))
         tails = pc.extract_regex(segments, f"(?P<t>[{MARKS}]+)$").field(0)
         tails = pc.fill_null(pc.if_else(cut, tails, pa.scalar(None, tails.type)), "").dictionary_encode()
         stems = pc.if_else(cut, stems, segments).to_pylist()

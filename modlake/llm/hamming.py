@@ -105,7 +105,8 @@ def near_links(fps: DataFrame, masks: list[int], radius: int, tile: int = TILE)
 
 def _cross_links(radius: int):
     def links(key: tuple, group: pa.Table) -> pa.Table:
-        fp, comp, t = (group.column(c).to_numpy() for c in ("fp", "comp", "t"))
+        comp, t = (group.column(c).to_numpy() for c in ("comp", "t"))
+        fp = group.column("fp").to_numpy().view(np.uint64)  # of signed numbers the bits of the absolute value would be counted
         left, right = (t == key[1].as_py()), (t == key[2].as_py())
         a, ca, b, cb = fp[left], comp[left], fp[right], comp[right]
         found_a, found_b = [], []

@@ -116,7 +116,7 @@ def pack(
             if not cuts:
                 return None
             done = cuts[-1]
-            windows = np.concatenate([[0], cuts[:-1]])
+            windows = np.array([0, *cuts[:-1]], np.int64)
             begins = np.union1d(windows, at[at < done])
             stop = np.append(begins[1:], done)
             doc = np.searchsorted(at, begins, "right") - 1

@@ -140,3 +140,52 @@ def test_token_store_round_trip(spark):
 def test_token_store_refuses_ids_that_are_no_whole_numbers(spark):
     with pytest.raises(TypeError):
         write_tokens(spark.createDataFrame([("a", "text")], "doc_id string, text string"), BYTE)
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_odd_letters_before_marks(path):
+    rng = np.random.default_rng(7)
+    # letters whose lower case or composed form is several code points, combining marks, digits of other scripts
+    letters = [*"abcZÉéİıßſǅΣσςŉẞﬁΐὰ日本٣½Ⅷ aA1 .,!?;:*$%&#|'-_\n", "̇", "́", "क़", "ਲ਼", "שׁ", "གྷ", " "]
+    texts = ["GAZİ, geldi", "İ.", "ALİ! dedi", *("".join(rng.choice(letters, rng.integers(1, 24))) for _ in range(12000))]
+    enc = SegmentEncoder(path)
+    ids, offsets = enc.encode(pa.array(texts))
+    for k, want in enumerate(enc.tok.encode_batch(texts, add_special_tokens=False)):
+        assert ids[offsets[k] : offsets[k + 1]].tolist() == want.ids, ascii(texts[k])
+
+
+def whole(df, got, length):
+    """Each id of the documents in exactly one piece, each window gapless from 0 and full or a power of two."""
+    tok = Tokenizer.from_file(WORD)
+    windows = {}
+    for r in got:
+        windows.setdefault(r.sequence_id, []).append(r)
+    for rows in windows.values():
+        rows.sort(key=lambda r: r.offset)
+        assert [r.offset for r in rows] == np.cumsum([0, *(r.length for r in rows)])[:-1].tolist()
+        assert sum(r.length for r in rows) <= length
+    held = sorted((r.doc_id is not None, r.doc_id or 0, r.start, r.ids, r.doc_tokens) for r in got)
+    want = []
+    for d, t in df.collect():
+        ids = np.array(tok.encode(t or "", add_special_tokens=False).ids + [2], "<u4").tobytes()
+        mine = [h for h in held if h[:2] == (d is not None, d or 0)]
+        assert b"".join(h[3] for h in mine) == ids and all(h[4] == len(ids) // 4 for h in mine), (d, t)
+        want.append(d)
+    assert {r.doc_id for r in got} == set(want)
+    return windows
+
+
+@pytest.mark.parametrize(
+    "texts", [[None], [None, ""], ["plain text."], ["a", None], [""], ["word " * 15], ["word " * 31], ["word " * 63, "word " * 63], ["word " * 4096 * 3], ["a"] * 8, ["a b c"] * 4]
+)
+def test_packing_of_one_window(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    windows = whole(df, pack(df, WORD, length=64).collect(), 64)
+    assert all(n & (n - 1) == 0 for n in [sum(r.length for r in windows[max(windows)])])
+
+
+@pytest.mark.parametrize("parts", [2, 7, 40])
+def test_packing_of_tiny_partitions(spark, parts):
+    rows = [(k, None if k % 5 == 0 else "word " * (k % 17)) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    whole(df, pack(df, WORD, length=64).collect(), 64)
