@@ -236,6 +236,18 @@ def upsert_write(spark, sf_dir):
     return again.select("event_id", "event_ts", F.round("value", 6).alias("value"), "note")
 
 
+def moved_keys(spark, sf_dir):
+    """Rows whose event time moves: to another date, to none, and from none back; each key stays in one row."""
+    path = workspace(spark, "moved")
+    e = table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("event_ts"), F.col("ts").alias("import_ts"), "value")
+    moved = lambda rows, ts, n: rows.withColumns({"event_ts": ts, "value": F.col("value") + n, "import_ts": F.col("import_ts") + F.make_dt_interval(days=F.lit(n))})
+    incremental.upsert(spark, path, e)
+    later = F.when(F.col("event_id") % 3 != 0, F.col("event_ts") + F.make_dt_interval(days=F.lit(5)))
+    incremental.upsert(spark, path, moved(e.where("event_id % 10 = 3"), later, 1))
+    out = incremental.upsert(spark, path, moved(e.where("event_id % 20 = 3"), F.col("event_ts") - F.make_dt_interval(days=F.lit(40)), 2))
+    return out.select("event_id", "event_ts", "event_date", F.round("value", 6).alias("value"))
+
+
 def _surfaces(spark, sf_dir):
     """Events landed as a seed file (CSV) and as a raw table, and the configuration that reads them."""
     path = workspace(spark, "surfaces")
@@ -381,7 +393,7 @@ QUERIES = {
         a01_unique, a02_unique_combination, a03_not_null, a04_accepted_values, a05_relationships, a06_accepted_range, a07_closures_without_decisions, a08_allocation_agrees,
         a09_decisions_before_creation, a10_plausible_times, a11_no_future_times, a12_actions_reconcile, a13_no_orphan_decisions, a14_freshness, a15_continuous_metrics, a16_stalled,
         a17_score_gate, mask_text, mask_bag, masked_reviewers, withheld_payloads, touched_dates, layout_pruning, layout_profile, merge_probe, incremental_slice, late_rows, incremental_upsert, query_cost_rollup, pruned_weeks, stream_dedup,
-        upsert_write, source_modes, seed_and_raw_rows, policy_area_file, volume_stream, projected_events, eval_questions, lazy_view, full_refresh, stored_failures, column_tests, tag_audit,
+        upsert_write, moved_keys, source_modes, seed_and_raw_rows, policy_area_file, volume_stream, projected_events, eval_questions, lazy_view, full_refresh, stored_failures, column_tests, tag_audit,
         layout_of_files, pruning_of_files, probe_of_files, stream_lateness,
     )
 }
@@ -438,6 +450,8 @@ ORACLES = {
     "stream_dedup": "SELECT DISTINCT md5(event_type || '|' || json(props)::VARCHAR) AS event_sk, event_type AS event FROM events",
     "upsert_write": _TARGET + """ SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN event_ts END AS event_ts, round(value + 1, 6) AS value, 'new' AS note FROM e, w WHERE event_ts >= since
         UNION ALL SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN event_ts END, round(value, 6), NULL FROM t, w WHERE event_ts < since""",
+    "moved_keys": """SELECT event_id, t AS event_ts, t::DATE AS event_date, round(value + n, 6) AS value FROM (SELECT *, CASE n WHEN 2 THEN ts - INTERVAL 40 DAY WHEN 0 THEN ts ELSE CASE WHEN event_id % 3 <> 0 THEN ts + INTERVAL 5 DAY END END AS t
+        FROM (SELECT *, CASE WHEN event_id % 20 = 3 THEN 2 WHEN event_id % 10 = 3 THEN 1 ELSE 0 END AS n FROM events))""",
     "source_modes": f"""WITH v AS (SELECT ts, {_K} AS k, hour(ts) < 12 AS seed FROM events WHERE event_type = 'view')
         SELECT 'seed' AS mode, 'view' AS event, count(*)::BIGINT AS n_rows, sum(k)::BIGINT AS k, max(ts) AS last FROM v WHERE seed UNION ALL SELECT 'raw', 'view', count(*), sum(k)::BIGINT, max(ts) FROM v
         UNION ALL SELECT 'union', 'view', count(*), sum(k)::BIGINT, max(ts) FROM (SELECT * FROM v UNION ALL SELECT * FROM v WHERE seed) UNION ALL SELECT 'raw', 'click', 0, NULL, NULL UNION ALL SELECT 'union', 'signup', 0, NULL, NULL""",

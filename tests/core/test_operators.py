@@ -1,4 +1,6 @@
 import os
+import shutil
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,3 +144,49 @@ def test_projection_of_the_volume_stream(spark):
 
     rows = incremental.projected(volume_events(spark, 50, 2))
     assert rows.where("trace_id IS NULL OR content_fingerprint IS NULL OR ingestion_lag_minutes NOT BETWEEN 0 AND 4320").count() == 0
+
+
+def _moved(spark, *rows):
+    return spark.createDataFrame([(k, t and datetime.fromisoformat(t), datetime(2026, 2, n), n) for k, t, n in rows], "event_id long, event_ts timestamp_ntz, import_ts timestamp_ntz, n int")
+
+
+def test_upsert_moves_rows_whose_time_moves(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    incremental.upsert(spark, path, _moved(spark, (1, "2026-01-01 00:00:00", 1), (2, "2026-01-01 01:00:00", 1), (3, None, 1), (None, "2026-01-05 00:00:00", 1), (4, "2026-01-09 00:00:00", 1)))
+    quiet = [f for f in os.listdir(f"{path}/event_date=2026-01-09")]
+    out = incremental.upsert(spark, path, _moved(spark, (1, "2026-01-02 00:00:00", 2), (3, "2026-01-01 05:00:00", 2), (None, None, 2), (2, "2026-01-03 00:00:00", 3), (2, "2026-01-04 00:00:00", 2)))
+    rows = lambda df: sorted(((r.event_id, str(r.event_date), r.n) for r in df.collect()), key=str)
+    want = [(1, "2026-01-02", 2), (2, "2026-01-03", 3), (3, "2026-01-01", 2), (4, "2026-01-09", 1), (None, "None", 2)]
+    assert rows(out) == want and quiet == os.listdir(f"{path}/event_date=2026-01-09")
+    assert not os.path.exists(f"{path}/event_date=2026-01-05")  # a date left without rows goes
+    incremental.compact_keys(spark, path)
+    assert [f for f in os.listdir(incremental.keys_path(path)) if "batch" in f] == ["batch=2"] and rows(incremental.upsert(spark, path, _moved(spark, (3, None, 9)))) == sorted([*want[:2], (3, "None", 9), *want[3:]], key=str)
+    shutil.rmtree(incremental.keys_path(path))  # a table from before there were keys beside it
+    assert (1, "2026-01-07", 8) in (got := rows(incremental.upsert(spark, path, _moved(spark, (1, "2026-01-07 00:00:00", 8))))) and len(got) == 5
+
+
+def test_upserts_cut_off_are_finished_or_dropped(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    incremental.upsert(spark, path, _moved(spark, (1, "2026-01-01 00:00:00", 1), (2, "2026-01-02 00:00:00", 1)))
+    broken = lambda *a: (_ for _ in ()).throw(OSError("lost"))
+    with monkeypatch.context() as m:
+        m.setattr(incremental.Files, "write_text", broken)
+        with pytest.raises(OSError):
+            incremental.upsert(spark, path, _moved(spark, (1, "2026-01-03 00:00:00", 2)))
+    incremental.recover(spark, path)
+    ids = lambda: sorted((r.event_id, r.n) for r in spark.read.parquet(path).collect())
+    assert ids() == [(1, 1), (2, 1)]
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "_log_keys", broken)
+        with pytest.raises(OSError):
+            incremental.upsert(spark, path, _moved(spark, (1, "2026-01-03 00:00:00", 2)))
+    incremental.recover(spark, path)
+    assert ids() == [(1, 2), (2, 1)] and not [f for f in os.listdir(tmp_path) if "staged" in f]
+    incremental.upsert(spark, path, _moved(spark, (1, "2026-01-04 00:00:00", 3)))
+    assert ids() == [(1, 3), (2, 1)]
+
+
+def test_documents_pass_the_merge(spark):
+    df = spark.createDataFrame([(1, "a", '{"x": 1}'), (1, "b", '{"x": 2}'), (2, "a", None)], "event_id long, import_ts string, doc string").withColumn("doc", F.try_parse_json("doc"))
+    got = {r.event_id: r.d for r in incremental.merged(None, df).select("event_id", F.to_json("doc").alias("d")).collect()}
+    assert got == {1: '{"x":2}', 2: None}
