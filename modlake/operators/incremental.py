@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modlake.functions.exprs import at, minutes_between
+from modlake.sources.footers import latest
 
 
 def projected(events: DataFrame) -> DataFrame:
@@ -16,17 +17,19 @@ def projected(events: DataFrame) -> DataFrame:
     return events.select("event_id", "job_id", "event", "queue_slug", "actor_email", "event_ts", "import_ts", *fields, lag.alias("ingestion_lag_minutes"))
 
 
-def watermark(target: DataFrame | None, event_ts: str = "event_ts"):
-    """The latest event time of the target: one value."""
+def watermark(target: DataFrame | str | None, event_ts: str = "event_ts", spark: SparkSession | None = None):
+    """The latest event time of the target: one value. Of a path, it comes from the footers of the files."""
+    if isinstance(target, str):
+        return latest(spark, target, event_ts)
     return target.agg(F.max(event_ts)).first()[0] if target is not None else None
 
 
-def incremental_slice(source: DataFrame, target: DataFrame | None, lookback_hours: int = 3, event_ts: str = "event_ts") -> DataFrame:
+def incremental_slice(source: DataFrame, target: DataFrame | str | None, lookback_hours: int = 3, event_ts: str = "event_ts") -> DataFrame:
     """Source rows from the target's latest event time less the lookback; all of them for an empty target.
 
-    The limit is a literal, so the scan of the source skips what lies before it.
+    A target given by its path is not read beyond its files' footers. The limit is a literal, so the scan of the source skips what lies before it.
     """
-    last = watermark(target, event_ts)
+    last = watermark(target, event_ts, source.sparkSession)
     if last is None:
         return source
     kind = source.schema[event_ts].dataType.simpleString()

@@ -370,6 +370,35 @@ def probe_of_files(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+def row_groups_of_files(spark, sf_dir):
+    """Row groups of files written with small groups, by their footers; groups of a file do not overlap if it is sorted."""
+    path = workspace(spark, "groups")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice").coalesce(1)
+    o.orderBy("o_orderkey").coalesce(1).write.option("parquet.block.row.count.limit", 1000).parquet(path)
+    return layout.row_group_profile(spark, path, "o_orderkey").select("row_group", "low", "high", "n_rows", "overlaps")
+
+
+def summaries_of_files(spark, sf_dir):
+    """Files that a probe by key summaries opens, of all, and the rows it finds: keys of the last three hours."""
+    path, e = _dealt(spark, sf_dir), table(spark, sf_dir, "events")
+    last = e.agg(F.max("ts")).first()[0]
+    piece = e.where(F.col("ts") >= F.lit(last).cast("timestamp_ntz") - F.expr("INTERVAL 3 HOURS"))
+    parts = []
+    for n in ("sorted", "mixed"):
+        summaries = sources.write_table(layout.key_summaries(spark, f"{path}/{n}", "event_id"), workspace(spark, "summaries"))
+        rows, cost = layout.probe(spark, f"{path}/{n}", piece, "event_id", summaries)
+        parts.append(rows.agg(F.sum("n_rows").alias("n_rows"), F.count(F.lit(1)).alias("files_with_rows")).crossJoin(cost).select(F.lit(n).alias("layout"), "n_rows", "files_with_rows", "files_opened", "files"))  # one row each
+    return parts[0].unionByName(parts[1])
+
+
+def footer_slice(spark, sf_dir):
+    """The slice of a target given by its path: the limit comes from footers."""
+    e, target = _split(spark, sf_dir)
+    path = workspace(spark, "target")
+    target.withColumn("event_date", F.to_date("event_ts")).repartition("event_date").write.partitionBy("event_date").parquet(path)
+    return incremental.incremental_slice(e, path).select("event_id", "event_ts")
+
+
 def stream_lateness(spark, sf_dir):
     """A stream with 72 hours of lateness: the second batch brings redeliveries, the third these again and rows for the first time, some too late.
 
@@ -394,7 +423,7 @@ QUERIES = {
         a09_decisions_before_creation, a10_plausible_times, a11_no_future_times, a12_actions_reconcile, a13_no_orphan_decisions, a14_freshness, a15_continuous_metrics, a16_stalled,
         a17_score_gate, mask_text, mask_bag, masked_reviewers, withheld_payloads, touched_dates, layout_pruning, layout_profile, merge_probe, incremental_slice, late_rows, incremental_upsert, query_cost_rollup, pruned_weeks, stream_dedup,
         upsert_write, moved_keys, source_modes, seed_and_raw_rows, policy_area_file, volume_stream, projected_events, eval_questions, lazy_view, full_refresh, stored_failures, column_tests, tag_audit,
-        layout_of_files, pruning_of_files, probe_of_files, stream_lateness,
+        layout_of_files, pruning_of_files, probe_of_files, row_groups_of_files, summaries_of_files, footer_slice, stream_lateness,
     )
 }
 
@@ -475,5 +504,11 @@ ORACLES = {
         sum(CASE WHEN high >= TIMESTAMP '2024-01-10' AND low <= TIMESTAMP '2024-01-12' THEN n_rows ELSE 0 END)::BIGINT AS rows_kept, round(avg(n_over), 6) AS average_overlaps FROM o GROUP BY layout""",
     "probe_of_files": """WITH e AS (SELECT * FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 3 HOUR) SELECT 'sorted' AS layout, count(*)::BIGINT AS n_rows FROM e GROUP BY ts::DATE
         UNION ALL SELECT 'mixed', count(*)::BIGINT FROM e GROUP BY event_id % 8""",
+    "row_groups_of_files": """SELECT g::INTEGER AS row_group, min(o_orderkey) AS low, max(o_orderkey) AS high, count(*)::BIGINT AS n_rows, 0::BIGINT AS overlaps
+        FROM (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS g FROM orders) GROUP BY g""",
+    "summaries_of_files": """WITH e AS (SELECT * FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 3 HOUR)
+        SELECT 'sorted' AS layout, count(*)::BIGINT AS n_rows, count(DISTINCT ts::DATE)::BIGINT AS files_with_rows, count(DISTINCT ts::DATE)::BIGINT AS files_opened, (SELECT count(DISTINCT ts::DATE) FROM events)::BIGINT AS files FROM e
+        UNION ALL SELECT 'mixed', count(*)::BIGINT, count(DISTINCT event_id % 8)::BIGINT, count(DISTINCT event_id % 8)::BIGINT, (SELECT count(DISTINCT event_id % 8) FROM events)::BIGINT FROM e""",
+    "footer_slice": _TARGET + " SELECT event_id, event_ts FROM e, w WHERE event_ts >= since",
     "stream_lateness": """SELECT event_id, event_type AS event, ts AS import_ts FROM events WHERE event_id % 10 <> 3 OR ts > (SELECT max(ts) FROM events WHERE event_id % 10 <> 3) - INTERVAL 72 HOUR""",
 }
