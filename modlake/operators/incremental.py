@@ -186,7 +186,7 @@ def recover(spark: SparkSession, path: str) -> None:
             files.delete(staged)
 
 
-def upsert(spark: SparkSession, path: str, piece: DataFrame, key: str = "event_id", event_ts: str = "event_ts") -> DataFrame:
+def upsert(spark: SparkSession, path: str, piece: DataFrame, key: str = "event_id", event_ts: str = "event_ts", order: str = "import_ts") -> DataFrame:
     """Upsert of a table in Parquet by event_date; a key whose time moves to another date leaves its old one.
 
     Read and written again are the dates of the piece and those that its keys lie in by the table of keys
@@ -211,7 +211,7 @@ def upsert(spark: SparkSession, path: str, piece: DataFrame, key: str = "event_i
         target = on_dates(_table(spark, path), dates) if dates else None
         first_keys = not files.exists(keys_path(path))
         batch = 1 if first_keys else 1 + max(int(p.rsplit("=", 1)[1]) for p in files.children(keys_path(path)))
-    merged(target, dated, key).write.parquet(f"{staged}/rows")
+    merged(target, dated, key, order).write.parquet(f"{staged}/rows")
     left = {r[0] for r in spark.read.parquet(f"{staged}/rows").select("event_date").distinct().collect()}
     emptied = [d and str(d) for d in old if d not in left]
     files.write_text(f"{staged}/plan.json", json.dumps({"emptied": emptied, "key": key, "batch": batch, "first_keys": first_keys}))

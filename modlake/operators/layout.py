@@ -8,6 +8,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from modlake.operators.percentiles import aggregated
 from modlake.sources.events import write_table
 from modlake.sources.footers import file_ranges, listed, row_groups
 from modlake.sources.workspace import workspace
@@ -182,7 +183,5 @@ def query_cost_rollup(log: DataFrame, now: str, days: int = 7, pattern: str = r'
     model = F.regexp_extract("query_text", pattern, 1)
     rows = log.where((F.col("execution_status") == "SUCCESS") & (F.col("start_time") >= since)).withColumn("model", model).where("model <> ''")
     spilled = F.coalesce("bytes_spilled_to_local_storage", F.lit(0)) + F.coalesce("bytes_spilled_to_remote_storage", F.lit(0))
-    return rows.groupBy("model").agg(
-        F.count(F.lit(1)).alias("runs"), F.median("total_elapsed_time").alias("median_elapsed"), F.max("bytes_scanned").alias("max_bytes_scanned"),
-        F.max("partitions_scanned").alias("max_partitions_scanned"), F.max(spilled).alias("max_bytes_spilled"),
-    )
+    most = [F.count(F.lit(1)).alias("runs"), F.max("bytes_scanned").alias("max_bytes_scanned"), F.max("partitions_scanned").alias("max_partitions_scanned"), F.max(spilled).alias("max_bytes_spilled")]
+    return aggregated(rows, {"model": F.col("model")}, most, {"median_elapsed": ("total_elapsed_time", 0.5)})

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from modlake.functions.exprs import event_sk, on_or_after, without_zone
 from modlake.operators import checks, incremental, layout, privacy
+from modlake.operators.percentiles import exact_percentiles
 from modlake.plans.lake import bridged
 from modlake.plans.oracle import FLAT
 from modlake.sources import bridge
@@ -206,6 +207,14 @@ def query_cost_rollup(spark, sf_dir):
     return layout.query_cost_rollup(log, NOW, days=10)
 
 
+def narrowed_percentiles(spark, sf_dir):
+    """Percentiles of few groups of very many rows, in passes that narrow the interval of each rank; few rows count as small here."""
+    rows = table(spark, sf_dir, "lineitem").withColumn("late", F.when(F.col("l_linenumber") > 1, F.col("l_quantity")))
+    wanted = {"median_price": ("l_extendedprice", 0.5), "p90_price": ("l_extendedprice", 0.9), "median_late": ("late", 0.5)}
+    out = exact_percentiles(rows, ["l_returnflag"], wanted, small=500)
+    return out.select("l_returnflag", *[F.round(c, 4).alias(c) for c in wanted])
+
+
 def pruned_weeks(spark, sf_dir):
     e = table(spark, sf_dir, "events").where(on_or_after("ts", "week", F.expr("TIMESTAMP_NTZ '2024-01-17 05:00:00'")))
     return e.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -416,14 +425,31 @@ def stream_lateness(spark, sf_dir):
     return spark.read.parquet(f"{out}/table").select(F.get_json_object("payload", "$.event_id").cast("long").alias("event_id"), "event", "import_ts")
 
 
+def stream_counts(spark, sf_dir):
+    """Deliveries of a stream with their counts: the second batch repeats every fifth, the third every tenth, each an hour later."""
+    from modlake.streaming.deliveries import count_available, counted
+
+    out, e = workspace(spark, "counts"), table(spark, sf_dir, "events")
+    for n, batch in enumerate(("event_id >= 0", "event_id % 5 = 1", "event_id % 10 = 1")):
+        e.where(batch).select("event_id", "event_type", "ts", F.lit(n).alias("hours")).coalesce(1).write.mode("append").parquet(f"{out}/in")
+    rows = spark.readStream.schema("event_id long, event_type string, ts timestamp_ntz, hours int").option("maxFilesPerTrigger", 1).parquet(f"{out}/in")
+    keyed = rows.select(
+        F.lit("raw").alias("record_source"), F.col("event_type").alias("event"), F.to_variant_object(F.struct("event_id", "event_type")).alias("payload"),
+        (F.col("ts") + F.make_dt_interval(hours=F.col("hours"))).alias("import_ts"), F.to_utc_timestamp(F.col("ts").cast("timestamp"), "UTC").alias("event_ts"),
+    )
+    count_available(counted(keyed.withColumn("event_sk", event_sk(F.col("event"), F.col("payload"))), "3650 days"), f"{out}/table", f"{out}/checkpoint")
+    found = spark.read.parquet(f"{out}/table")
+    return found.select(F.get_json_object("payload", "$.event_id").cast("long").alias("event_id"), "event", "first_seen_at", "last_seen_at", "delivery_count", "was_redelivered")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         a01_unique, a02_unique_combination, a03_not_null, a04_accepted_values, a05_relationships, a06_accepted_range, a07_closures_without_decisions, a08_allocation_agrees,
         a09_decisions_before_creation, a10_plausible_times, a11_no_future_times, a12_actions_reconcile, a13_no_orphan_decisions, a14_freshness, a15_continuous_metrics, a16_stalled,
-        a17_score_gate, mask_text, mask_bag, masked_reviewers, withheld_payloads, touched_dates, layout_pruning, layout_profile, merge_probe, incremental_slice, late_rows, incremental_upsert, query_cost_rollup, pruned_weeks, stream_dedup,
+        a17_score_gate, mask_text, mask_bag, masked_reviewers, withheld_payloads, touched_dates, layout_pruning, layout_profile, merge_probe, incremental_slice, late_rows, incremental_upsert, query_cost_rollup, narrowed_percentiles, pruned_weeks, stream_dedup,
         upsert_write, moved_keys, source_modes, seed_and_raw_rows, policy_area_file, volume_stream, projected_events, eval_questions, lazy_view, full_refresh, stored_failures, column_tests, tag_audit,
-        layout_of_files, pruning_of_files, probe_of_files, row_groups_of_files, summaries_of_files, footer_slice, stream_lateness,
+        layout_of_files, pruning_of_files, probe_of_files, row_groups_of_files, summaries_of_files, footer_slice, stream_lateness, stream_counts,
     )
 }
 
@@ -475,6 +501,8 @@ ORACLES = {
         UNION ALL SELECT event_id, event_ts, round(value, 6), NULL FROM t, w WHERE event_ts < since""",
     "query_cost_rollup": """SELECT 'model.' || event_type AS model, count(*)::BIGINT AS runs, median(event_id * 31 % 1009)::DOUBLE AS median_elapsed, max(user_id * 1000)::BIGINT AS max_bytes_scanned, max(event_id % 385)::BIGINT AS max_partitions_scanned,
         max(CASE WHEN event_id % 3 = 0 THEN event_id ELSE 0 END + event_id % 5)::BIGINT AS max_bytes_spilled FROM events WHERE event_id % 7 <> 0 AND ts >= TIMESTAMP '2024-02-01' - INTERVAL 10 DAY GROUP BY event_type""",
+    "narrowed_percentiles": """SELECT l_returnflag, round(quantile_cont(l_extendedprice::DOUBLE, 0.5), 4) AS median_price, round(quantile_cont(l_extendedprice::DOUBLE, 0.9), 4) AS p90_price,
+        round(quantile_cont(l_quantity::DOUBLE, 0.5) FILTER (WHERE l_linenumber > 1), 4) AS median_late FROM lineitem GROUP BY 1""",
     "pruned_weeks": "SELECT ts::DATE AS day, count(*)::BIGINT AS n_rows FROM events WHERE date_trunc('week', ts) >= TIMESTAMP '2024-01-17 05:00:00' GROUP BY 1",
     "stream_dedup": "SELECT DISTINCT md5(event_type || '|' || json(props)::VARCHAR) AS event_sk, event_type AS event FROM events",
     "upsert_write": _TARGET + """ SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN event_ts END AS event_ts, round(value + 1, 6) AS value, 'new' AS note FROM e, w WHERE event_ts >= since
@@ -510,5 +538,7 @@ ORACLES = {
         SELECT 'sorted' AS layout, count(*)::BIGINT AS n_rows, count(DISTINCT ts::DATE)::BIGINT AS files_with_rows, count(DISTINCT ts::DATE)::BIGINT AS files_opened, (SELECT count(DISTINCT ts::DATE) FROM events)::BIGINT AS files FROM e
         UNION ALL SELECT 'mixed', count(*)::BIGINT, count(DISTINCT event_id % 8)::BIGINT, count(DISTINCT event_id % 8)::BIGINT, (SELECT count(DISTINCT event_id % 8) FROM events)::BIGINT FROM e""",
     "footer_slice": _TARGET + " SELECT event_id, event_ts FROM e, w WHERE event_ts >= since",
+    "stream_counts": """SELECT event_id, event_type AS event, ts AS first_seen_at, ts + to_hours(n) AS last_seen_at, (n + 1)::BIGINT AS delivery_count, n > 0 AS was_redelivered
+        FROM (SELECT *, CASE WHEN event_id % 10 = 1 THEN 2 WHEN event_id % 5 = 1 THEN 1 ELSE 0 END AS n FROM events)""",
     "stream_lateness": """SELECT event_id, event_type AS event, ts AS import_ts FROM events WHERE event_id % 10 <> 3 OR ts > (SELECT max(ts) FROM events WHERE event_id % 10 <> 3) - INTERVAL 72 HOUR""",
 }
