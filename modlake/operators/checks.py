@@ -134,7 +134,11 @@ def score_gate(current: DataFrame, previous: DataFrame | None, minimum: dict[str
 
 @dataclass(frozen=True)
 class Test:
-    """A named test of a table: run() gives what fails it. Tests of single rows have a predicate, in SQL, so that one pass counts them all."""
+    """A named test of a table: run() gives what fails it.
+
+    Tests of single rows have a predicate, in SQL, those of keys the columns of the key, and those of references the
+    table and column referred to; so one pass counts them all.
+    """
 
     __test__ = False  # not one of pytest's
 
@@ -143,13 +147,20 @@ class Test:
     severity: str
     call: Callable | None = None
     fails: str | None = None
+    key: tuple[str, ...] = ()
+    of: tuple[str, str] | None = None
 
     @property
     def name(self) -> str:
         return f"{self.table}__{self.kind}"
 
     def run(self, lake) -> DataFrame:
-        return self.call(lake) if self.call else lake[self.table].where(self.fails)
+        rows = lake[self.table] if not self.call else None
+        if self.of:
+            return relationships(rows, self.key[0], lake[self.of[0]], self.of[1])
+        if self.key:
+            return unique(rows, *self.key)
+        return self.call(lake) if self.call else rows.where(self.fails)
 
 
 # Fixed values of the event contract.
@@ -162,6 +173,9 @@ ACTION_CATEGORIES = ["none", "advisory", "visibility", "content", "account", "un
 #: What each column has to be: "key" (unique, not null), "required", ("in", values), ("range", low, high) or ("of", table, column),
 #: each with a severity after it where that is not error.
 COLUMNS: dict[str, dict[str, list]] = {
+    "landed_job_actioned": {"event": ["required", ("in", ["job.actioned"])], "payload": ["required"], "import_ts": ["required"]},
+    "landed_job_closed": {"event": ["required", ("in", ["job.closed"])], "payload": ["required"], "import_ts": ["required"]},
+    "policy_areas": {"policy_area_id": ["key"], "policy_area_name": ["required"]},
     "stg_job_actions": {
         "job_action_event_sk": ["key"], "action": ["required", ("in", ACTIONS, "warn")], "action_source": ["required", ("in", ACTION_SOURCES, "warn")],
         "actor_type": ["required", ("in", ["user", "workflow", "none"])], "actioned_at": ["required"], "job_id": ["required"], "job_category": [("in", JOB_CATEGORIES, "warn")],
@@ -183,14 +197,16 @@ COLUMNS: dict[str, dict[str, list]] = {
         "decision_enforcement_action_sk": ["key"], "decision_sk": ["required", ("of", "stg_decisions", "decision_sk")], "enforcement_action_slug": ["required"], "is_no_action": ["required"],
     },
     "dim_queue": {"queue_key": ["key"], "queue_slug": ["key"]},
-    "dim_policy": {"policy_key": ["key"], "policy_id": ["key"], "policy_severity_class": ["required", ("in", ["illegal", "violating", "non_violating"])]},
-    "dim_reviewer": {"reviewer_key": ["key"], "reviewer_email": ["key"]},
-    "dim_entity": {"entity_key": ["key"]},
+    "dim_policy": {"policy_name": ["required"], "policy_group_name": ["required"],"policy_key": ["key"], "policy_id": ["key"], "policy_severity_class": ["required", ("in", ["illegal", "violating", "non_violating"])]},
+    "dim_reviewer": {"staffing_model": ["required"], "is_outsourced": ["required"], "reviewer_key": ["key"], "reviewer_email": ["key"]},
+    "dim_entity": {"entity_schema": ["required"], "entity_id": ["required"], "has_attributes": ["required"], "entity_key": ["key"]},
     "dim_workflow": {"workflow_key": ["key"], "workflow_id": ["key"]},
     "dim_enforcement_action": {
+        "is_recognised_action": ["required"],
         "enforcement_action_key": ["key"], "enforcement_action_slug": ["key"], "enforcement_severity_rank": ["required", ("range", 0, 5)], "enforcement_category": [("in", ACTION_CATEGORIES)],
     },
     "fct_decisions": {
+        **{c: ["required"] for c in ("job_closure_event_sk", "decided_at", "decision_count", "is_automated", "is_cleared_outcome", "is_final_decision")},
         "decision_sk": ["key"], "queue_key": [("of", "dim_queue", "queue_key")], "reviewer_key": [("of", "dim_reviewer", "reviewer_key")], "entity_key": [("of", "dim_entity", "entity_key")],
     },
     "fct_decision_policies": {
@@ -198,9 +214,11 @@ COLUMNS: dict[str, dict[str, list]] = {
         "decision_count_allocated": [("range", 0, 1)],
     },
     "fct_job_actions": {
+        "actioned_at": ["required"], "job_action_count": ["required"],
         "job_action_event_sk": ["key"], "queue_key": [("of", "dim_queue", "queue_key")], "reviewer_key": [("of", "dim_reviewer", "reviewer_key")], "workflow_key": [("of", "dim_workflow", "workflow_key")],
     },
     "fct_jobs": {
+        **{c: ["required"] for c in ("job_status", "is_closed", "is_open", "missing_action_history")},
         "job_key": ["key"], "job_id": ["key"], "final_queue_key": [("of", "dim_queue", "queue_key")], "entity_key": [("of", "dim_entity", "entity_key")],
         "final_reviewer_key": [("of", "dim_reviewer", "reviewer_key")], "queue_change_count": ["required", ("range", 0, None)], "time_to_close_hours": [("range", 0, None, "warn")],
     },
@@ -211,7 +229,7 @@ def _column_tests(table: str, column: str, rule) -> list[Test]:
     kind, *args = rule if isinstance(rule, tuple) else (rule,)
     severity = args.pop() if args and args[-1] == "warn" else "error"
     missing = Test(table, f"not_null_{column}", severity, fails=f"{column} IS NULL")
-    once = Test(table, f"unique_{column}", severity, lambda lake: unique(lake[table], column))
+    once = Test(table, f"unique_{column}", severity, key=(column,))
     if kind == "key":
         return [once, missing]
     if kind == "required":
@@ -222,7 +240,7 @@ def _column_tests(table: str, column: str, rule) -> list[Test]:
         listed = ", ".join(f"'{v}'" for v in args[0])
         return [Test(table, f"accepted_{column}", severity, fails=f"{column} NOT IN ({listed})")]
     if kind == "of":
-        return [Test(table, f"relationships_{column}", severity, lambda lake: relationships(lake[table], column, lake[args[0]], args[1]))]
+        return [Test(table, f"relationships_{column}", severity, key=(column,), of=(args[0], args[1]))]
     low, high = args
     beyond = [f"{column} {sign} {limit}" for sign, limit in (("<", low), (">", high)) if limit is not None]
     return [Test(table, f"range_{column}", severity, fails=" OR ".join(beyond))]
@@ -232,18 +250,23 @@ def _between(lake) -> tuple[DataFrame, DataFrame, DataFrame]:
     return lake["stg_job_actions"], lake["stg_job_closures"], lake["stg_decisions"]
 
 
+def _age(table: str) -> list[Test]:
+    """An import that is older than the first limit is worth a warning, one older than the second stops the build."""
+    return [Test(table, f"freshness_{s}", s, lambda lake, s=s: freshness(lake[table], lake.now).where(F.col("status") == s)) for s in ("warn", "error")]
+
+
 #: Tests of more than a column, by the table after which they run.
 WHOLE = {
-    "landed_job_actioned": [Test("landed_job_actioned", "freshness", "warn", lambda lake: freshness(lake["landed_job_actioned"], lake.now).where("status <> 'pass'"))],
-    "landed_job_closed": [Test("landed_job_closed", "freshness", "warn", lambda lake: freshness(lake["landed_job_closed"], lake.now).where("status <> 'pass'"))],
-    "stg_job_closures": [Test("stg_job_closures", "without_decisions", "warn", lambda lake: closures_without_decisions(lake["stg_job_closures"]))],
+    "landed_job_actioned": _age("landed_job_actioned"),
+    "landed_job_closed": _age("landed_job_closed"),
+    "stg_job_closures": [Test("stg_job_closures", "without_decisions", "warn", fails="closure_decision_count = 0")],
     "stg_decisions": [
-        Test("stg_decisions", "implausibly_old", "warn", lambda lake: implausibly_old(*_between(lake), lake.config.minimum_date)),
-        Test("stg_decisions", "in_the_future", "warn", lambda lake: in_the_future(*_between(lake), lake.now, lake.config.skew_tolerance_hours)),
+        Test("stg_decisions", "implausibly_old", "error", lambda lake: implausibly_old(*_between(lake), lake.config.minimum_date)),
+        Test("stg_decisions", "in_the_future", "error", lambda lake: in_the_future(*_between(lake), lake.now, lake.config.skew_tolerance_hours)),
     ],
-    "dim_entity": [Test("dim_entity", "unique_entity_schema_entity_id", "error", lambda lake: unique(lake["dim_entity"], "entity_schema", "entity_id"))],
+    "dim_entity": [Test("dim_entity", "unique_entity_schema_entity_id", "error", key=("entity_schema", "entity_id"))],
     "fct_decisions": [
-        Test("fct_decisions", "before_creation", "warn", lambda lake: decisions_before_creation(lake["fct_decisions"])),
+        Test("fct_decisions", "before_creation", "warn", fails="decided_at < job_created_at"),
         Test("fct_decisions", "orphans", "error", lambda lake: orphan_decisions(lake["fct_decisions"], lake["stg_job_closures"])),
     ],
     "fct_decision_policies": [Test("fct_decision_policies", "allocation", "error", lambda lake: allocation_disagrees(lake["fct_decisions"], lake["fct_decision_policies"]))],
@@ -257,15 +280,42 @@ def tests_of(table: str) -> list[Test]:
     return columns + WHOLE.get(table, [])
 
 
+def _key_text(columns: tuple[str, ...]):
+    """A key as one text, different for different keys; null where a key of one column is null."""
+    if len(columns) == 1:
+        return F.col(columns[0]).cast("string")
+    text = [F.col(c).cast("string") for c in columns]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in text])
+
+
 def failing_counts(lake, tables: list[str] | None = None) -> DataFrame:
-    """(table_name, test, severity, n_failing) of every test: tests of single rows in one pass a table, others by themselves."""
+    """(table_name, test, severity, n_failing) of every test.
+
+    A table is read once: each row gives what it has for any test, a mark for one that it fails by itself, its key for
+    one of keys, its reference or the key referred to for one of references. Marks and keys of all tables and tests
+    meet in one shuffle by (test, key), where partial counts come first, so a key very many rows share is a row a task.
+    """
+    tests = list(enumerate(t for table in tables or [*COLUMNS, *(t for t in WHOLE if t not in COLUMNS)] for t in tests_of(table)))
+    mark = lambda i, key, role: F.struct(F.lit(i).alias("test"), key.cast("string").alias("key"), F.lit(role).alias("role"))
+    given: dict[str, list] = {}
     parts = []
-    for table in tables or [*COLUMNS, *(t for t in WHOLE if t not in COLUMNS)]:
-        tests = tests_of(table)
-        rows = [t for t in tests if t.fails is not None]
-        row = lambda t, n: F.struct(F.lit(table).alias("table_name"), F.lit(t.kind).alias("test"), F.lit(t.severity).alias("severity"), n.cast("long").alias("n_failing"))  # noqa: E731,B023
-        if rows:
-            one = lake[table].agg(*[F.count_if(F.expr(t.fails)).alias(t.kind) for t in rows])
-            parts.append(one.select(F.inline(F.array(*[row(t, F.col(t.kind)) for t in rows]))))
-        parts += [t.run(lake).agg(F.count(F.lit(1)).alias("n")).select(F.inline(F.array(row(t, F.col("n"))))) for t in tests if t.fails is None]
-    return reduce(DataFrame.unionByName, parts)
+    for i, t in tests:
+        if t.fails is not None:
+            given.setdefault(t.table, []).append(F.when(F.expr(t.fails), mark(i, F.lit(None), 0)))
+        elif t.key:
+            key = _key_text(t.key)
+            given.setdefault(t.table, []).append(F.when(key.isNotNull(), mark(i, key, 2 if t.of else 1)))
+            if t.of:
+                target = _key_text((t.of[1],))
+                given.setdefault(t.of[0], []).append(F.when(target.isNotNull(), mark(i, target, 3)))
+        else:
+            parts.append(t.run(lake).select(F.lit(i).alias("test"), F.lit(None).cast("string").alias("key"), F.lit(0).alias("role")))
+    parts += [lake[table].select(F.explode(F.array_compact(F.array(*marks))).alias("m")).select("m.*") for table, marks in given.items()]
+    role = lambda n: F.count_if(F.col("role") == n)
+    met = reduce(DataFrame.unionByName, parts).groupBy("test", "key").agg(*[role(n).alias(f"n{n}") for n in range(4)])
+    fails = F.col("n0") + (F.col("n1") > 1).cast("long") + F.when(F.col("n3") == 0, F.col("n2")).otherwise(0)
+    counts = met.groupBy("test").agg(F.sum(fails).alias("n"))
+    spark = counts.sparkSession
+    names = spark.createDataFrame([(i, t.table, t.kind, t.severity) for i, t in tests], "number int, table_name string, test_name string, severity string")
+    out = names.join(counts, F.col("number") == F.col("test"), "left")
+    return out.select("table_name", F.col("test_name").alias("test"), "severity", F.coalesce("n", F.lit(0)).cast("long").alias("n_failing"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from modlake.functions.exprs import event_sk, on_or_after, without_zone
 from modlake.operators import checks, incremental, layout, privacy
 from modlake.operators.percentiles import exact_percentiles
-from modlake.plans.lake import bridged
+from modlake.plans.lake import RELATIONS, bridged
 from modlake.plans.oracle import FLAT
 from modlake.sources import bridge
 from modlake.sources import events as sources
@@ -334,9 +334,33 @@ def stored_failures(spark, sf_dir):
     return spark.read.parquet(path).select("l_orderkey", "l_linenumber", "l_discount")
 
 
+TESTS_NOW = "1998-06-01 00:00:00"
+
+
 def column_tests(spark, sf_dir):
-    """Every test of columns and tables of staging, dimensions and facts, with the number of rows that fail it."""
-    return checks.failing_counts(bridged(spark, sf_dir), list(checks.COLUMNS)).where("test NOT IN ('in_the_future')")
+    """Every test of columns and tables from landing rows to facts, with the number of rows that fail it, as of a time within the data."""
+    base = bridged(spark, sf_dir)
+    lake = replace(base, now=TESTS_NOW)
+    lake.made = base.made  # what either makes the other has
+    return checks.failing_counts(lake)
+
+
+def broken_column_tests(spark, sf_dir):
+    """The same over tables that are broken: unknown and missing values, keys that repeat, references that lead nowhere."""
+    base = bridged(spark, sf_dir)
+    lake = replace(base, now=TESTS_NOW)
+    job = F.substring("job_id", 5, 20).cast("long")
+    every = lambda n, column, value: F.when(job % n == 0, value).otherwise(F.col(column))
+    acted, decided, jobs, queues = (base[n] for n in ("stg_job_actions", "fct_decisions", "fct_jobs", "dim_queue"))
+    decided = decided.withColumns({"decided_at": every(23, "decided_at", F.lit(None)), "queue_key": every(11, "queue_key", F.lit("lost"))})
+    lake.made = {
+        **{n: base[n] for n in (*base.surfaces, *RELATIONS)},
+        "stg_job_actions": acted.withColumns({"action": every(13, "action", F.lit("unheard")), "delivery_count": every(31, "delivery_count", F.lit(0))}),
+        "fct_decisions": decided.unionByName(decided.where(job % 17 == 0)),
+        "fct_jobs": jobs.withColumns({"queue_change_count": every(19, "queue_change_count", F.lit(-1)), "entity_key": every(29, "entity_key", F.lit("lost"))}),
+        "dim_queue": queues.unionByName(queues.where("queue_slug = '2-high'").withColumn("queue_key", F.lit(None).cast("string"))),
+    }
+    return checks.failing_counts(lake)
 
 
 def tag_audit(spark, sf_dir):
@@ -448,7 +472,7 @@ QUERIES = {
         a01_unique, a02_unique_combination, a03_not_null, a04_accepted_values, a05_relationships, a06_accepted_range, a07_closures_without_decisions, a08_allocation_agrees,
         a09_decisions_before_creation, a10_plausible_times, a11_no_future_times, a12_actions_reconcile, a13_no_orphan_decisions, a14_freshness, a15_continuous_metrics, a16_stalled,
         a17_score_gate, mask_text, mask_bag, masked_reviewers, withheld_payloads, touched_dates, layout_pruning, layout_profile, merge_probe, incremental_slice, late_rows, incremental_upsert, query_cost_rollup, narrowed_percentiles, pruned_weeks, stream_dedup,
-        upsert_write, moved_keys, source_modes, seed_and_raw_rows, policy_area_file, volume_stream, projected_events, eval_questions, lazy_view, full_refresh, stored_failures, column_tests, tag_audit,
+        upsert_write, moved_keys, source_modes, seed_and_raw_rows, policy_area_file, volume_stream, projected_events, eval_questions, lazy_view, full_refresh, stored_failures, column_tests, broken_column_tests, tag_audit,
         layout_of_files, pruning_of_files, probe_of_files, row_groups_of_files, summaries_of_files, footer_slice, stream_lateness, stream_counts,
     )
 }
@@ -460,6 +484,35 @@ _CATEGORIES = ", ".join(f"'{c}'" for c in checks.JOB_CATEGORIES)
 _FILES = """WITH g AS (SELECT 'sorted' AS layout, ts::DATE::VARCHAR AS g, ts FROM events UNION ALL SELECT 'mixed', (event_id % 8)::VARCHAR, ts FROM events),
     f AS (SELECT layout, g, min(ts) AS low, max(ts) AS high, count(*)::BIGINT AS n_rows FROM g GROUP BY 1, 2),
     o AS (SELECT f.*, (SELECT count(*) FROM f x WHERE x.layout = f.layout AND x.g <> f.g AND x.low <= f.high AND x.high >= f.low)::BIGINT AS n_over FROM f)"""
+_JOB = "CAST(substr(job_id, 5) AS BIGINT)"
+_ALL_TIMES = "(SELECT actioned_at AS t FROM a UNION ALL SELECT closed_at FROM c UNION ALL SELECT decided_at FROM d)"
+#: Rows that fail a test, where there are any: over the tables as they are, and over those broken on purpose.
+_SOUND = {
+    "stg_job_actions.accepted_job_category": f"SELECT count(*) FROM a WHERE category NOT IN ({_CATEGORIES})",
+    "stg_job_closures.accepted_job_category": f"SELECT count(*) FROM c WHERE category NOT IN ({_CATEGORIES})",
+    "stg_decisions.implausibly_old": f"SELECT count(*) FROM {_ALL_TIMES} WHERE t < TIMESTAMP '2020-01-01'",
+    "stg_decisions.in_the_future": f"SELECT count(*) FROM {_ALL_TIMES} WHERE t > TIMESTAMP '1998-06-02'",
+}
+_BROKEN = {
+    "stg_job_actions.accepted_action": f"SELECT count(*) FROM a WHERE {_JOB} % 13 = 0",
+    "stg_job_actions.range_delivery_count": f"SELECT count(*) FROM a WHERE {_JOB} % 31 = 0",
+    "fct_decisions.not_null_decided_at": "SELECT sum(CASE WHEN k % 17 = 0 THEN 2 ELSE 1 END) FROM d WHERE k % 23 = 0",
+    "fct_decisions.relationships_queue_key": "SELECT sum(CASE WHEN k % 17 = 0 THEN 2 ELSE 1 END) FROM d WHERE k % 11 = 0",
+    "fct_decisions.unique_decision_sk": "SELECT count(*) FROM d WHERE k % 17 = 0",
+    "fct_decision_policies.allocation": "SELECT count(*) FROM (SELECT 1 FROM d WHERE k % 17 = 0 AND n_pol > 0 LIMIT 1)",
+    "fct_jobs.range_queue_change_count": f"SELECT count(*) FROM (SELECT job_id FROM a UNION SELECT job_id FROM c) WHERE {_JOB} % 19 = 0",
+    "fct_jobs.relationships_entity_key": f"SELECT count(*) FROM (SELECT job_id FROM a UNION SELECT job_id FROM c) WHERE {_JOB} % 29 = 0",
+    "dim_queue.not_null_queue_key": "SELECT count(*) FROM dq WHERE queue_slug = '2-high'",
+    "dim_queue.unique_queue_slug": "SELECT count(*) FROM dq WHERE queue_slug = '2-high'",
+}
+
+
+def _counts(found: dict[str, str]) -> str:
+    tests = ", ".join(f"('{t.table}', '{t.kind}', '{t.severity}')" for name in [*checks.COLUMNS, *(t for t in checks.WHOLE if t not in checks.COLUMNS)] for t in checks.tests_of(name))
+    cases = " ".join(f"WHEN '{test}' THEN ({sql})" for test, sql in found.items())
+    return f"SELECT t.*, coalesce(CASE table_name || '.' || test {cases} END, 0)::BIGINT AS n_failing FROM (VALUES {tests}) t(table_name, test, severity)"
+
+
 _AGE = "epoch(TIMESTAMP '2024-02-01 00:00:00') - epoch(date_trunc('second', max(ts)))"
 ORACLES = {
     "a01_unique": "SELECT user_id, count(*)::BIGINT AS n_rows FROM events WHERE user_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
@@ -522,10 +575,8 @@ ORACLES = {
     "lazy_view": "SELECT c_mktsegment, count(*)::BIGINT AS n_rows FROM customer WHERE c_acctbal > 0 GROUP BY 1",
     "full_refresh": "SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey % 3 = 0",
     "stored_failures": "SELECT l_orderkey, l_linenumber, l_discount FROM lineitem WHERE l_discount < 0.02 OR l_discount > 0.05",
-    "column_tests": FLAT + f"""SELECT t.*, coalesce(CASE table_name || '.' || test WHEN 'stg_job_actions.accepted_job_category' THEN (SELECT count(*) FROM a WHERE category NOT IN ({_CATEGORIES}))
-        WHEN 'stg_job_closures.accepted_job_category' THEN (SELECT count(*) FROM c WHERE category NOT IN ({_CATEGORIES}))
-        WHEN 'stg_decisions.implausibly_old' THEN (SELECT count(*) FROM a WHERE actioned_at < TIMESTAMP '2020-01-01') + (SELECT count(*) FROM c WHERE closed_at < TIMESTAMP '2020-01-01') + (SELECT count(*) FROM d WHERE decided_at < TIMESTAMP '2020-01-01') END, 0)::BIGINT AS n_failing
-        FROM (VALUES {", ".join(f"('{t.table}', '{t.kind}', '{t.severity}')" for name in checks.COLUMNS for t in checks.tests_of(name) if t.kind != "in_the_future")}) t(table_name, test, severity)""",
+    "column_tests": FLAT + _counts(_SOUND),
+    "broken_column_tests": FLAT + _counts({**_SOUND, **_BROKEN}),
     "tag_audit": "SELECT 'dim_entity' AS table_name, column_name, wanted, NULL::VARCHAR AS found FROM (VALUES ('entity_id', 'IDENTIFIER'), ('entity_email', 'EMAIL'), ('entity_username', 'USERNAME'), ('entity_caption', 'FREE_TEXT'), ('entity_attributes', 'BAG')) v(column_name, wanted)",
     "layout_of_files": _FILES + " SELECT layout, low, high, n_rows, n_over AS overlaps FROM o",
     "pruning_of_files": _FILES + """ SELECT layout, count(*) FILTER (WHERE high >= TIMESTAMP '2024-01-10' AND low <= TIMESTAMP '2024-01-12')::BIGINT AS files_kept, count(*)::BIGINT AS files,

@@ -103,7 +103,7 @@ def build_all(spark: SparkSession, lake: Lake, folder: str) -> dict[str, DataFra
     """Write all dimensions and facts, in order; these, the landing and the staging relations are tested before anything is built on them.
 
     A table of which a test of severity error fails stops the build, so nothing downstream is
-    written. The failing rows of every test are written beside the tables.
+    written. All tests of a table are counted in one pass; the failing rows of those that fail are written beside the tables.
     """
     lake.keep = lambda name, df: write_table(df, f"{folder}/{name}")
     written = {}
@@ -113,8 +113,12 @@ def build_all(spark: SparkSession, lake: Lake, folder: str) -> dict[str, DataFra
             if name not in SHARED:
                 df = lake.made[name] = write_table(df, f"{folder}/{name}")
             written[name] = df
-        for test in checks.tests_of(name):
-            failing = write_table(test.run(lake), f"{folder}/_failed/{test.name}")
-            if test.severity == "error" and not failing.isEmpty():
-                raise BuildStopped(f"{test.name} found rows; {name} and what depends on it stop here")
+        tests = {t.kind: t for t in checks.tests_of(name)}
+        if not tests:
+            continue
+        found = [tests[r.test] for r in checks.failing_counts(lake, [name]).where("n_failing > 0").collect()]  # as many rows as tests
+        for test in found:
+            write_table(test.run(lake), f"{folder}/_failed/{test.name}")
+        if stops := sorted(t.name for t in found if t.severity == "error"):
+            raise BuildStopped(f"{', '.join(stops)} found rows; {name} and what depends on it stop here")
     return written

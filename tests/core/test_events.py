@@ -81,12 +81,15 @@ ACTED = {
 }
 
 
+NOW = "2026-07-01 16:00:00"
+
+
 @pytest.fixture
 def lake(spark):
     closed = [("raw", "job.closed", CLOSED, "2026-07-01 13:00:00"), ("raw", "job.closed", CLOSED, "2026-07-01 14:00:00"), ("raw", "job.closed", {"job": {"id": "j2"}, "decisions": []}, "2026-07-01 13:00:00")]
     acted = [("seed", "job.actioned", ACTED, "2026-07-01 13:00:00"), ("seed", "job.actioned", {**ACTED, "action_made_by": {}, "timestamp": "2026-07-01T10:40:00+00:00"}, "2026-07-01 13:00:00")]
     areas = spark.createDataFrame([("area-1", "Area 1")], "policy_area_id string, policy_area_name string")
-    return Lake({"landed_job_closed": landed(spark, closed), "landed_job_actioned": landed(spark, acted), "policy_areas": areas})
+    return Lake({"landed_job_closed": landed(spark, closed), "landed_job_actioned": landed(spark, acted), "policy_areas": areas}, now=NOW)
 
 
 def test_staging_of_planted_cases(lake):
@@ -131,13 +134,13 @@ def test_facts_of_planted_cases(lake):
 
 def test_build_stops_below_a_failing_table(spark, lake, tmp_path):
     with pytest.raises(BuildStopped, match="stg_job_closures__not_null_closed_at"):
-        build_all(spark, Lake(lake.surfaces), f"file://{tmp_path}/c")
+        build_all(spark, Lake(lake.surfaces, now=NOW), f"file://{tmp_path}/c")
     sound = {**CLOSED, "decisions": [{**d, "source": {**d["source"], "type": d["source"].get("type", "api")}} for d in CLOSED["decisions"]]}
-    lake = Lake({**lake.surfaces, "landed_job_closed": landed(spark, [("raw", "job.closed", sound, "2026-07-01 13:00:00")])})
-    built = build_all(spark, Lake(lake.surfaces), f"file://{tmp_path}/a")
+    lake = Lake({**lake.surfaces, "landed_job_closed": landed(spark, [("raw", "job.closed", sound, "2026-07-01 13:00:00")])}, now=NOW)
+    built = build_all(spark, Lake(lake.surfaces, now=NOW), f"file://{tmp_path}/a")
     assert set(built) == {n for n in built if n.startswith(("dim_", "fct_"))} and len(built) == 10
     assert spark.read.parquet(f"file://{tmp_path}/a/_failed/stg_job_actions__accepted_action").count() == 2
-    bad = Lake(lake.surfaces)
+    bad = Lake(lake.surfaces, now=NOW)
     dims = lake["dim_queue"]
     bad.made["dim_queue"] = dims.union(dims)
     with pytest.raises(BuildStopped, match="unique_queue_key"):
@@ -145,6 +148,34 @@ def test_build_stops_below_a_failing_table(spark, lake, tmp_path):
     assert not (tmp_path / "b" / "fct_jobs").exists()
 
 
+@pytest.mark.parametrize("case", ["fresh", "stale", "old", "future", "empty"])
+def test_build_stops_at_times_that_cannot_be(spark, lake, tmp_path, case):
+    day = {"old": "2019-12-31", "future": "2026-07-03"}.get(case, "2026-07-01")
+    decision = {**CLOSED["decisions"][0], "timestamp": f"{day}T11:00:00Z"}
+    closed = landed(spark, [("raw", "job.closed", {**CLOSED, "decisions": [decision]}, "2026-07-01 13:00:00")])
+    surfaces = {**lake.surfaces, "landed_job_closed": closed.limit(0) if case == "empty" else closed}
+    at = Lake(surfaces, now={"stale": "2026-07-02 14:00:00"}.get(case, "2026-07-01 20:00:00"))
+    if case == "fresh":
+        build_all(spark, at, f"file://{tmp_path}/t")
+        assert spark.read.parquet(f"file://{tmp_path}/t/_failed/landed_job_closed__freshness_warn").count() == 1  # seven hours are worth a warning
+        return
+    with pytest.raises(BuildStopped, match={"stale": "freshness_error", "empty": "freshness_error", "old": "implausibly_old", "future": "in_the_future"}[case]):
+        build_all(spark, at, f"file://{tmp_path}/t")
+    assert not (tmp_path / "t" / "dim_queue").exists()
+
+
+def test_counts_of_tests_take_one_shuffle_of_keys(spark, lake):
+    from modlake.operators import checks
+
+    keyed = [t for name in checks.COLUMNS for t in checks.tests_of(name) if t.key]
+    by_rows = {(t.table, t.kind): t.run(lake).count() for t in keyed}
+    counts = {(r.table_name, r.test): r.n_failing for r in checks.failing_counts(lake).collect()}
+    assert {k: counts[k] for k in by_rows} == by_rows and len(keyed) > 30
+    df = spark.createDataFrame([("1:a", None), ("1", "a"), (None, "a"), (None, "a"), ("x", "a")], "a string, b string")
+    one = checks.Test("t", "u", "error", key=("a", "b"))
+    assert df.select(checks._key_text(one.key).alias("k")).distinct().count() == 4
+
+
 def test_surfaces_by_mode(spark, tmp_path):
     (tmp_path / "s.csv").write_text('"event","payload","import_ts"\n"job.closed","{""a"": ""x, \\"" y""}","2026-01-01 00:00:00"\n"job.closed","broken {","2026-01-01 00:00:01"\n"other","{}","2026-01-01 00:00:01"\n')
     raw = landed(spark, [("raw", "job.closed", {"a": 1}, "2026-01-01 00:00:00")]).drop("record_source")
