@@ -153,6 +153,18 @@ def withheld_payloads(spark, sf_dir):
     return shown.select("event_id", F.try_variant_get("payload", "$._redacted", "string").alias("note"), F.try_variant_get("payload", "$.k", "string").alias("k"))
 
 
+def masked_by_lineage(spark, sf_dir):
+    """Copies of personal columns under other names, joined and built on, as the unprivileged see them; nothing lists these columns."""
+    lake = bridged(spark, sf_dir)
+    queues = lake["dim_queue"].select(F.col("queue_slug").alias("slug"), F.col("queue_name").alias("team"))
+    d = lake["stg_decisions"].select(
+        F.col("job_id").alias("case"), "decision_ordinal", F.col("reviewer_email").alias("contact"), F.upper("reviewer_name").alias("loud"), F.col("entity_id").alias("about"),
+        F.struct("reviewer_email").alias("inner"), "handle_time_seconds", F.col("queue_slug").alias("q"),
+    )
+    out = privacy.readable(d.join(queues, F.col("q") == F.col("slug")).withColumnRenamed("contact", "person"))
+    return out.select("case", "decision_ordinal", "person", "loud", "about", F.col("inner").isNull().alias("inner_withheld"), "handle_time_seconds", "team")
+
+
 def touched_dates(spark, sf_dir):
     """The dates that an upsert of the incremental slice reads and writes again; None for rows without a time."""
     piece = incremental.incremental_slice(*_split(spark, sf_dir))
@@ -364,9 +376,10 @@ def broken_column_tests(spark, sf_dir):
 
 
 def tag_audit(spark, sf_dir):
-    """Mapped columns without their category, of two dimensions of which one is tagged."""
+    """Mapped columns without their category, of two dimensions of which one has lost its marks."""
     lake = bridged(spark, sf_dir)
-    tables = {"dim_reviewer": privacy.tag(lake["dim_reviewer"], "dim_reviewer"), "dim_entity": lake["dim_entity"]}
+    bare = lake["dim_entity"]
+    tables = {"dim_reviewer": lake["dim_reviewer"], "dim_entity": bare.select(*[F.col(c).alias(c, metadata={}) for c in bare.columns])}
     return spark.createDataFrame(privacy.audit_tags(tables), "table_name string, column_name string, wanted string, found string")
 
 
@@ -471,7 +484,7 @@ QUERIES = {
     for f in (
         a01_unique, a02_unique_combination, a03_not_null, a04_accepted_values, a05_relationships, a06_accepted_range, a07_closures_without_decisions, a08_allocation_agrees,
         a09_decisions_before_creation, a10_plausible_times, a11_no_future_times, a12_actions_reconcile, a13_no_orphan_decisions, a14_freshness, a15_continuous_metrics, a16_stalled,
-        a17_score_gate, mask_text, mask_bag, masked_reviewers, withheld_payloads, touched_dates, layout_pruning, layout_profile, merge_probe, incremental_slice, late_rows, incremental_upsert, query_cost_rollup, narrowed_percentiles, pruned_weeks, stream_dedup,
+        a17_score_gate, mask_text, mask_bag, masked_reviewers, masked_by_lineage, withheld_payloads, touched_dates, layout_pruning, layout_profile, merge_probe, incremental_slice, late_rows, incremental_upsert, query_cost_rollup, narrowed_percentiles, pruned_weeks, stream_dedup,
         upsert_write, moved_keys, source_modes, seed_and_raw_rows, policy_area_file, volume_stream, projected_events, eval_questions, lazy_view, full_refresh, stored_failures, column_tests, broken_column_tests, tag_audit,
         layout_of_files, pruning_of_files, probe_of_files, row_groups_of_files, summaries_of_files, footer_slice, stream_lateness, stream_counts,
     )
@@ -543,6 +556,8 @@ ORACLES = {
         '*** ' || length(m) || ' CHARS REDACTED ***' AS free_text, CASE WHEN m IS NOT NULL THEN '*** REDACTED ***' END AS something_else FROM s""",
     "mask_bag": "SELECT event_id, sha256('e' || event_id) AS id, NULL::VARCHAR AS secret, (user_id % 9)::BIGINT AS media_count, 'attributes withheld' AS note FROM events",
     "masked_reviewers": FLAT + "SELECT reviewer_key, '***@' || split_part(mail, '@', -1) AS reviewer_email, '*** REDACTED ***' AS reviewer_name, staffing AS staffing_model FROM dr",
+    "masked_by_lineage": FLAT + """SELECT job_id AS "case", ord::BIGINT AS decision_ordinal, CASE WHEN mail IS NOT NULL THEN '***@' || split_part(mail, '@', -1) END AS person,
+        CASE WHEN who IS NOT NULL THEN '*** REDACTED ***' END AS loud, sha256(eid) AS about, true AS inner_withheld, handle::BIGINT AS handle_time_seconds, queue_name AS team FROM d JOIN dq USING (queue_slug)""",
     "withheld_payloads": "SELECT event_id, 'payload withheld' AS note, NULL::VARCHAR AS k FROM events WHERE props IS NOT NULL",
     "touched_dates": _TARGET + " SELECT DISTINCT event_ts::DATE AS event_date FROM e, w WHERE event_ts >= since UNION ALL SELECT NULL",
     "layout_pruning": "SELECT CASE WHEN max(o_orderdate) >= TIMESTAMP '1997-01-01' THEN 1 ELSE 0 END::BIGINT AS files_kept, 1::BIGINT AS files, CASE WHEN max(o_orderdate) >= TIMESTAMP '1997-01-01' THEN count(*) ELSE 0 END::BIGINT AS rows_kept FROM orders",

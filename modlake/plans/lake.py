@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from modlake.operators import checks, dims, facts, staging
 from modlake.operators.dedup import dedup_deliveries
+from modlake.operators.privacy import tag
 from modlake.sources import bridge
 from modlake.sources.events import SourceConfig, read_policy_areas, resolve_events, write_table
 
@@ -40,7 +41,10 @@ SHARED = {"stg_job_actions", "stg_job_closures", "stg_decisions", "stg_decision_
 
 @dataclass
 class Lake:
-    """Relations by name, made when first asked for. keep() is applied to those that several others read."""
+    """Relations by name, made when first asked for. keep() is applied to those that several others read.
+
+    Columns carry their category of personal data, and so does what derives from them; readable() masks by that.
+    """
 
     surfaces: dict[str, DataFrame]
     keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df
@@ -49,12 +53,12 @@ class Lake:
     now: str = field(default_factory=lambda: datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S"))
 
     def __post_init__(self) -> None:
-        self.made: dict[str, DataFrame] = dict(self.surfaces)
+        self.made: dict[str, DataFrame] = {name: tag(df, name) for name, df in self.surfaces.items()}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.made:
             build, needs = RELATIONS[name]
-            df = build(*[self[n] for n in needs])
+            df = tag(build(*[self[n] for n in needs]), name)
             self.made[name] = self.keep(name, df) if name in SHARED else df
         return self.made[name]
 

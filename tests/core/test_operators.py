@@ -190,3 +190,20 @@ def test_documents_pass_the_merge(spark):
     df = spark.createDataFrame([(1, "a", '{"x": 1}'), (1, "b", '{"x": 2}'), (2, "a", None)], "event_id long, import_ts string, doc string").withColumn("doc", F.try_parse_json("doc"))
     got = {r.event_id: r.d for r in incremental.merged(None, df).select("event_id", F.to_json("doc").alias("d")).collect()}
     assert got == {1: '{"x":2}', 2: None}
+
+
+def test_categories_follow_columns(spark, tmp_path):
+    df = privacy.tag(spark.createDataFrame([("k", "a@b.test", "Ann", "x", 3)], "reviewer_key string, reviewer_email string, reviewer_name string, phone string, n int"), "dim_reviewer")
+    df.write.parquet(f"{tmp_path}/t")
+    back = spark.read.parquet(f"{tmp_path}/t")
+    assert privacy.audit_tags({"dim_reviewer": back}) == []
+    row = privacy.apply_masking(back, "dim_reviewer").first()
+    assert tuple(row) == ("k", "***@b.test", privacy.REDACTED, privacy.REDACTED, 3)  # a column that nobody has declared is withheld
+    other = spark.createDataFrame([("k", True)], "id string, flag boolean")
+    copy = back.select(F.col("reviewer_key").alias("id"), F.col("reviewer_email").alias("job_id"), F.col("n").alias("m")).join(other, "id").groupBy("job_id", "flag").agg(F.max("m").alias("m"), F.max("job_id").alias("top"))
+    assert tuple(privacy.readable(copy).first()) == ("***@b.test", True, 3, privacy.REDACTED)
+    assert tuple(privacy.readable(copy, privileged=True).first()) == ("a@b.test", True, 3, "a@b.test")
+    built = back.select(F.lower("reviewer_name").alias("a"), F.array("reviewer_email").alias("b"), F.length("reviewer_name").alias("c"), F.struct("reviewer_name").alias("d"))
+    assert tuple(privacy.readable(built).first()) == (privacy.REDACTED, None, 3, None)
+    renamed = privacy.tag(copy, "fct_jobs")  # the name of a readable column does not undo the category it brings
+    assert privacy.readable(renamed).first().job_id == "***@b.test"
