@@ -21,21 +21,22 @@ import pyarrow.compute as pc
 REMEMBERED = 800_000
 #: Marks that are cut off the end of a word, so that a word is encoded once whatever follows it.
 MARKS = ".,!?;:*$%&#|"
-#: Stands for a line feed between segments; texts that hold it themselves are encoded whole.
+#: Stands for a line feed between segments, or apart from them between two; what holds it itself is encoded by itself.
 LINE_MARK = "\ue000"
 
-_encoders: dict[str, "SegmentEncoder"] = {}
+_encoders: dict[tuple[str, int], "SegmentEncoder"] = {}
 
 
-def encoder(path: str) -> "SegmentEncoder":
-    """The encoder of this worker process for a tokenizers file."""
-    if path not in _encoders:
-        _encoders[path] = SegmentEncoder(path)
-    return _encoders[path]
+def encoder(path: str, times: int = 1) -> "SegmentEncoder":
+    """The encoder of this worker process for a tokenizers file; it remembers `times` the usual number of segments."""
+    if (path, times) not in _encoders:
+        _encoders[path, times] = SegmentEncoder(path, times)
+    return _encoders[path, times]
 
 
 class SegmentEncoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, times: int = 1):
+        self.times = times
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -46,6 +47,7 @@ class SegmentEncoder:
         self.drops_space = r"\s+" in json.dumps(config["normalizer"], ensure_ascii=False).replace("\\\\", "\\")
         self.lowers = "Lowercase" in json.dumps(config["normalizer"])
         self.open_ends = self._open_ends()
+        self.mark_ids = self.tok.encode(LINE_MARK, add_special_tokens=False).ids
         self._forget()
 
     def _open_ends(self) -> str:
@@ -63,16 +65,14 @@ class SegmentEncoder:
 
     def _segment_numbers(self, segments: list[str]) -> np.ndarray:
         """Places of segments in the table of known ones; new ones are encoded."""
-        if len(self.known) + len(segments) > REMEMBERED:
+        if len(self.known) + len(segments) > REMEMBERED * self.times:
             self._forget()
         known = self.known
         places = [*map(known.get, segments)]
         new = list(dict.fromkeys(s for s, place in zip(segments, places) if place is None))
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
-            ids = [e.ids for e in self.tok.encode_batch_fast(part, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((x for y in ids for x in y), np.uint32, int(lengths.sum()))
+            flat, lengths = self._joined(part) or self._one_by_one(part)
             n = len(known)
             self.starts, self.lengths = _grown(self.starts, n + len(part)), _grown(self.lengths, n + len(part))
             self.flat = _grown(self.flat, self.used + len(flat))
@@ -83,6 +83,30 @@ class SegmentEncoder:
             known.update(zip(part, range(n, n + len(part))))
         return np.array([known[s] if place is None else place for s, place in zip(segments, places)] if new else places, np.int64)
 
+    def _one_by_one(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids in a row, number of ids of each) of segments."""
+        ids = [e.ids for e in self.tok.encode_batch_fast(segments, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter((x for y in ids for x in y), np.uint32, int(lengths.sum())), lengths
+
+    def _joined(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The same by one call, for tokenizers that drop white space: segments apart by a mark between spaces, whose ids tell where each ends.
+
+        None where that cannot be told, as a segment holds the mark itself.
+        """
+        if not self.drops_space:
+            return None
+        ids = np.array(self.tok.encode_batch_fast([f" {LINE_MARK} ".join(segments)], add_special_tokens=False)[0].ids, np.uint32)
+        mark = self.mark_ids
+        at = np.flatnonzero(np.all([ids[k : len(ids) - len(mark) + 1 + k] == m for k, m in enumerate(mark)], axis=0)) if len(ids) >= len(mark) else np.zeros(0, np.int64)
+        if len(at) != len(segments) - 1:
+            return None
+        lengths = np.diff(np.concatenate([[0], at + len(mark), [len(ids)]]))
+        lengths[:-1] -= len(mark)
+        kept = np.ones(len(ids), bool)
+        kept[(at[:, None] + np.arange(len(mark))).ravel()] = False
+        return ids[kept], lengths
+
     def _pieces(self, segments: pa.Array) -> np.ndarray:
         """For each segment the numbers of its stem and of the marks after it, either of which may be empty."""
         stems = pc.utf8_rtrim(segments, MARKS)

@@ -98,7 +98,7 @@ def pack(
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, times=2)  # as much as a task can hold beside its ids; most of the time goes into words that are new
         vocabulary = enc.tok.get_vocab(with_added_tokens=False)
         stops = np.zeros(max(enc.size, end_id + 1), bool)
         stops[[i for s, i in vocabulary.items() if s.removesuffix("</w>")[-1:] in (".", "!", "?")]] = True

@@ -15,8 +15,8 @@ only the footer, one table and the blocks that hold the ids asked for. A block i
 at once.
 
 Scale: one range shuffle of the texts by doc_id; each task then writes its stretch in files of about
-`file_ids` ids, under names that a retried task writes again with the same content, via a temporary
-name. One row a file goes to the manifest, which gives each file's first id.
+`file_ids` ids, under names of the attempt's own, via a temporary name. One row a file goes to the manifest, which
+names the files that count, gives each file's first id, and leaves out what a lost attempt has written.
 
 Edge cases: a null or empty text is its end id alone; null doc_ids come first and read back as null; doc_ids
 have to be whole numbers, others are refused; repeated rows follow each other, in order of their text; an empty
@@ -130,11 +130,12 @@ def write_tokens(
         def flush() -> pa.RecordBatch:
             nonlocal held, no, size
             doc_ids, nulls, lengths, ids = (np.concatenate(x) for x in zip(*held))
-            name = f"part-{part:07d}-{no:05d}.ids"
+            # a name of this attempt's own: no store has to replace what a lost attempt has left, and the manifest names the one that counts
+            name = f"part-{part:07d}-{no:05d}-{attempt}.ids"
             system.create_dir(base, recursive=True)
-            with system.open_output_stream(f"{base}/_{name}.{attempt}") as f:
+            with system.open_output_stream(f"{base}/_{name}") as f:
                 f.write(file_bytes(doc_ids, nulls, np.concatenate([[0], np.cumsum(lengths)]), ids, bits, block))
-            system.move(f"{base}/_{name}.{attempt}", f"{base}/{name}")
+            system.move(f"{base}/_{name}", f"{base}/{name}")
             row = pa.record_batch([[name], [part], [no], [len(doc_ids)], [len(ids)]], names=[x.split()[0] for x in MANIFEST.split(", ")])
             held, no, size = [], no + 1, 0
             return row

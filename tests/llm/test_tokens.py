@@ -137,6 +137,16 @@ def test_token_store_round_trip(spark):
     assert read_tokens(spark, write_tokens(df.limit(0), BYTE)).count() == 0
 
 
+def test_files_of_lost_attempts_do_not_count(spark):
+    df = spark.createDataFrame([(k, f"text number {k}") for k in range(50)], "doc_id long, text string")
+    manifest = write_tokens(df, BYTE, file_ids=100, part_bytes=300)
+    want = sorted(map(tuple, read_tokens(spark, manifest).collect()))
+    file = manifest.first()["file"].removeprefix("file:")
+    with open(file, "rb") as f, open(file.replace(".ids", "9.ids"), "wb") as lost:
+        lost.write(f.read())
+    assert sorted(map(tuple, read_tokens(spark, manifest).collect())) == want and len(want) == 50
+
+
 def test_token_store_refuses_ids_that_are_no_whole_numbers(spark):
     with pytest.raises(TypeError):
         write_tokens(spark.createDataFrame([("a", "text")], "doc_id string, text string"), BYTE)
