@@ -22,12 +22,8 @@ def reviewer_key(mail: str) -> Column:
     return F.when(has_text(mail), surrogate_key(email_key(mail)))
 
 
-def fct_decisions(decided: DataFrame, reviewers: DataFrame, policies: DataFrame, ladder: list[tuple[str, int, str]] = LADDER) -> DataFrame:
-    """One row for each decision on a closed job.
-
-    Policies and enforcement actions are counted in the arrays of the row; only the staffing of the
-    reviewer and the group of the first policy come from dimensions, which are small.
-    """
+def decision_measures(decided: DataFrame, ladder: list[tuple[str, int, str]] = LADDER) -> DataFrame:
+    """Decisions with what their own arrays tell: counts of policies and enforcement actions, and the first policy."""
     ranks = F.create_map(*[F.lit(x) for slug, rank, _ in ladder for x in (slug, rank)])
     slugs = F.transform(elements(F.col("enforcement_actions")), lambda a: F.try_variant_get(a, "$", "string"))
     applied = F.transform(
@@ -37,33 +33,45 @@ def fct_decisions(decided: DataFrame, reviewers: DataFrame, policies: DataFrame,
             at(p, "is_illegal", "boolean").alias("illegal"), at(p, "is_non_violating", "boolean").alias("harmless")),
     )
     rows = decided.withColumns({"es": slugs, "ps": applied, "first_id": F.get(applied, F.lit(0))["id"]})
-    r = reviewers.select(F.col("reviewer_email").alias("r_mail"), F.col("staffing_model").alias("r_staffing"))
-    g = policies.select(F.col("policy_id").alias("g_id"), F.col("policy_group_name").alias("primary_policy_group_name"))
-    rows = rows.join(r, email_key("reviewer_email") == F.col("r_mail"), "left").join(g, F.col("first_id") == F.col("g_id"), "left")
     rows = rows.withColumns(
         {
-            "queue_key": key_of("queue_slug"), "reviewer_key": reviewer_key("reviewer_email"), "entity_key": key_of("entity_schema", "entity_id"), "staffing_model": F.col("r_staffing"),
             "acted": F.size(F.filter("es", lambda s: s != "no_action")), "no_action_count": F.size(F.filter("es", lambda s: s == "no_action")),
             "max_enforcement_severity_rank": F.array_max(F.transform("es", lambda s: F.when(s.isNotNull(), F.coalesce(ranks[s], F.lit(0))))).cast("long"),
             "n_policies": F.size("ps"), "illegal": F.size(F.filter("ps", lambda p: p["illegal"])), "harmless": F.size(F.filter("ps", lambda p: p["harmless"])),
             "groups": F.size(F.array_distinct(F.filter(F.transform("ps", lambda p: p["grp"]), lambda x: x.isNotNull()))), "primary_policy_name": F.get(F.col("ps"), F.lit(0))["name"],
         }
-    ).withColumn("ban", F.col("max_enforcement_severity_rank") == 5)
+    )
     count = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    made = {
+        "policy_count": count("n_policies"), "illegal_policy_count": count("illegal"), "non_violating_policy_count": count("harmless"), "distinct_policy_group_count": count("groups"),
+        "enforcement_action_count": count("acted"), "no_action_count": count("no_action_count"), "is_cleared_outcome": (count("n_policies") > 0) & (count("harmless") == count("n_policies")),
+    }
+    kept = [c for c in decided.columns if c not in made and c not in ("policies", "enforcement_actions", "entity_attributes", "reviewer_groups", "notes")]
+    return rows.select(*kept, "first_id", "primary_policy_name", "max_enforcement_severity_rank", *[c.alias(n) for n, c in made.items()])
+
+
+def fct_decisions(measured: DataFrame, reviewers: DataFrame, policies: DataFrame) -> DataFrame:
+    """One row for each decision on a closed job. measured: rows of decision_measures.
+
+    Only the staffing of the reviewer and the group of the first policy come from dimensions, which are small.
+    """
+    r = reviewers.select(F.col("reviewer_email").alias("r_mail"), F.col("staffing_model").alias("r_staffing"))
+    g = policies.select(F.col("policy_id").alias("g_id"), F.col("policy_group_name").alias("primary_policy_group_name"))
+    rows = measured.join(r, email_key("reviewer_email") == F.col("r_mail"), "left").join(g, F.col("first_id") == F.col("g_id"), "left")
+    rows = rows.withColumns({"queue_key": key_of("queue_slug"), "reviewer_key": reviewer_key("reviewer_email"), "entity_key": key_of("entity_schema", "entity_id")})
     made = {
         **calendar("decided_local", "decided", ("date", "week", "month", "day_of_week", "hour_of_day")),
-        "staffing_model": F.coalesce("staffing_model", F.lit("Automated")), "decision_count": F.lit(1).cast("long"),
+        "staffing_model": F.coalesce("r_staffing", F.lit("Automated")), "decision_count": F.lit(1).cast("long"),
         "handle_time_minutes": F.col("handle_time_seconds").cast("double") / 60.0, "handle_time_hours": hours("handle_time_seconds"),
-        "policy_count": count("n_policies"), "illegal_policy_count": count("illegal"), "non_violating_policy_count": count("harmless"), "distinct_policy_group_count": count("groups"),
-        "enforcement_action_count": count("acted"), "no_action_count": count("no_action_count"), "included_account_ban": F.coalesce("ban", F.lit(False)),
-        "is_cleared_outcome": (count("n_policies") > 0) & (count("harmless") == count("n_policies")),
+        "included_account_ban": F.coalesce(F.col("max_enforcement_severity_rank") == 5, F.lit(False)),
         "is_multi_review_decision": F.col("queue_is_multi_review") & (F.col("decisions_on_job") > 1),
     }
     plain = [
         "decision_sk", "job_closure_event_sk", "queue_key", "reviewer_key", "entity_key", "decided_at", "decided_local", "decided_utc_offset_seconds", "job_id", "job_created_at", "closed_at", "job_category", "queue_slug",
         "queue_is_multi_review", "decision_source_type", "entity_schema", "entity_id", "reviewer_email", "decision_ordinal", "primary_policy_name", "primary_policy_group_name",
         "handle_time_seconds", "max_enforcement_severity_rank", "decisions_on_job", "is_human_decision", "is_automated", "is_violating_outcome", "is_illegal_outcome",
-        "is_final_decision", "has_notes", "first_seen_at", "delivery_count", "was_redelivered", "record_source",
+        "is_final_decision", "has_notes", "first_seen_at", "delivery_count", "was_redelivered", "record_source", "policy_count", "illegal_policy_count", "non_violating_policy_count",
+        "distinct_policy_group_count", "enforcement_action_count", "no_action_count", "is_cleared_outcome",
     ]
     return rows.select(*plain, *[c.alias(n) for n, c in made.items()])
 
@@ -121,8 +129,21 @@ def _earliest(at: str, local: str) -> Column:
     return F.min(F.when(F.col(at).isNotNull(), F.struct(F.col(at).alias("at"), F.col(local).alias("local"))))
 
 
-def fct_jobs(acted: DataFrame, closed: DataFrame, decided: DataFrame) -> DataFrame:
-    """One row for each job of either event: its lifecycle so far. decided: rows of fct_decisions.
+def fct_jobs(acted: DataFrame, closed: DataFrame, measured: DataFrame, policies: DataFrame) -> DataFrame:
+    """One row for each job of either event: its lifecycle so far. measured: rows of decision_measures."""
+    return with_policy_groups(job_rows(acted, closed, measured), policies)
+
+
+def with_policy_groups(jobs: DataFrame, policies: DataFrame) -> DataFrame:
+    """Jobs with the group of the policy that their final decision names first; of several final decisions, the last group by name."""
+    g = policies.select(F.col("policy_id").alias("g_id"), F.col("policy_group_name").alias("group_name"))
+    named = jobs.select(F.col("job_id").alias("of_job"), F.explode("final_policy_ids").alias("id")).join(g, F.col("id") == F.col("g_id"))
+    groups = named.groupBy("of_job").agg(F.max("group_name").alias("final_policy_group_name"))
+    return jobs.join(groups, F.col("job_id") == F.col("of_job"), "left").drop("of_job", "final_policy_ids")
+
+
+def job_rows(acted: DataFrame, closed: DataFrame, decided: DataFrame) -> DataFrame:
+    """Rows of fct_jobs with the ids of the final decisions' first policies, whose groups depend on other jobs too.
 
     Actions, closures and decisions are each aggregated by job. The action summary and the latest
     action come from one aggregation; all joins are on job_id, which the aggregates are dealt by already.
@@ -146,7 +167,7 @@ def fct_jobs(acted: DataFrame, closed: DataFrame, decided: DataFrame) -> DataFra
         F.count_if("is_illegal_outcome").alias("illegal_decision_count"), F.count_if("is_cleared_outcome").alias("cleared_decision_count"),
         F.min("decided_at").alias("first_decided_at"), F.max("decided_at").alias("last_decided_at"), F.max("handle_time_seconds").alias("handle_time_seconds"),
         final("reviewer_email").alias("final_reviewer_email"), final("decision_source_type").alias("final_decision_source_type"),
-        final("primary_policy_group_name").alias("final_policy_group_name"), F.max(F.col("is_final_decision") & F.col("is_automated")).alias("by_automation"),
+        F.collect_set(F.when(F.col("is_final_decision"), F.col("first_id"))).alias("final_policy_ids"), F.max(F.col("is_final_decision") & F.col("is_automated")).alias("by_automation"),
     )
     jobs = a.join(c, "job_id", "full_outer").join(d, "job_id", "left")
     no = lambda x: F.coalesce(F.col(x), F.lit(False))
@@ -176,7 +197,7 @@ def fct_jobs(acted: DataFrame, closed: DataFrame, decided: DataFrame) -> DataFra
     plain = [
         "job_id", "job_closure_event_sk", "entity_key", "job_created_at", "first_actioned_at", "first_decided_at", "last_decided_at", "last_actioned_at", "closed_at", "handle_time_seconds",
         "job_category", "final_queue_slug", "current_queue_slug", "queue_is_multi_review", "entity_schema", "entity_id", "latest_action", "final_reviewer_email",
-        "final_decision_source_type", "final_policy_group_name", "job_status", *SNAPSHOT_COUNTS, "distinct_actor_count", "distinct_queue_count", "max_reports_on_job", "max_priority",
+        "final_decision_source_type", "final_policy_ids", "job_status", *SNAPSHOT_COUNTS, "distinct_actor_count", "distinct_queue_count", "max_reports_on_job", "max_priority",
         "distinct_reviewer_count", "max_enforcement_severity_rank", "is_closed", "closed_by_automated_decision", "has_action_history",
     ]
     return jobs.select(*plain, *[c.alias(n) for n, c in made.items()])

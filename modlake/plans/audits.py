@@ -14,6 +14,7 @@ from modlake.operators import checks, incremental, layout, privacy
 from modlake.operators.percentiles import exact_percentiles
 from modlake.plans.lake import RELATIONS, bridged
 from modlake.plans.oracle import FLAT
+from modlake.plans.oracle import ORACLES as RELATIONS_SQL
 from modlake.sources import bridge
 from modlake.sources import events as sources
 from modlake.sources.workspace import workspace
@@ -479,6 +480,34 @@ def stream_counts(spark, sf_dir):
     return found.select(F.get_json_object("payload", "$.event_id").cast("long").alias("event_id"), "event", "first_seen_at", "last_seen_at", "delivery_count", "was_redelivered")
 
 
+def refreshed_jobs(spark, sf_dir):
+    """The job snapshot after three slices of deliveries by day of import, the last one with redeliveries, without building it as a whole."""
+    from modlake.plans.refresh import Refreshed
+
+    base = bridged(spark, sf_dir)
+    out = Refreshed(spark, workspace(spark, "refresh"), buckets=8)
+    landed = {e: base[f"landed_{e.replace('.', '_')}"] for e in ("job.actioned", "job.closed")}
+    part = F.pmod(F.crc32(F.to_json("payload").cast("binary")), F.lit(3))
+    for n in range(3):
+        out.apply({e: df.where(part == n if n < 2 else part != 0) for e, df in landed.items()})
+    jobs = out.jobs(base["policy_areas"])
+    columns = ["job_key", "final_queue_key", "entity_key", "job_status", "action_count", "decision_count", "distinct_actor_count", "final_reviewer_email", "final_policy_group_name"]
+    return jobs.select(*columns, without_zone(F.col("closed_at")).alias("closed_at"))
+
+
+def refreshed_queues(spark, sf_dir):
+    """A dimension after two slices, from states that merge."""
+    from modlake.plans.refresh import Refreshed
+
+    base = bridged(spark, sf_dir)
+    out = Refreshed(spark, workspace(spark, "refresh"), buckets=8)
+    part = F.pmod(F.crc32(F.to_json("payload").cast("binary")), F.lit(2))
+    for n in range(2):
+        out.apply({e: base[f"landed_{e.replace('.', '_')}"].where(part == n) for e in ("job.actioned", "job.closed")})
+    queues = out.dimension("dim_queue")
+    return queues.select("queue_key", "queue_slug", "queue_is_multi_review", "queue_name", *[without_zone(F.col(c)).alias(c) for c in ("first_seen_at", "last_seen_at")], "observation_count", "observed_event_type_count")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -486,7 +515,7 @@ QUERIES = {
         a09_decisions_before_creation, a10_plausible_times, a11_no_future_times, a12_actions_reconcile, a13_no_orphan_decisions, a14_freshness, a15_continuous_metrics, a16_stalled,
         a17_score_gate, mask_text, mask_bag, masked_reviewers, masked_by_lineage, withheld_payloads, touched_dates, layout_pruning, layout_profile, merge_probe, incremental_slice, late_rows, incremental_upsert, query_cost_rollup, narrowed_percentiles, pruned_weeks, stream_dedup,
         upsert_write, moved_keys, source_modes, seed_and_raw_rows, policy_area_file, volume_stream, projected_events, eval_questions, lazy_view, full_refresh, stored_failures, column_tests, broken_column_tests, tag_audit,
-        layout_of_files, pruning_of_files, probe_of_files, row_groups_of_files, summaries_of_files, footer_slice, stream_lateness, stream_counts,
+        layout_of_files, pruning_of_files, probe_of_files, row_groups_of_files, summaries_of_files, footer_slice, stream_lateness, stream_counts, refreshed_jobs, refreshed_queues,
     )
 }
 
@@ -606,5 +635,7 @@ ORACLES = {
     "footer_slice": _TARGET + " SELECT event_id, event_ts FROM e, w WHERE event_ts >= since",
     "stream_counts": """SELECT event_id, event_type AS event, ts AS first_seen_at, ts + to_hours(n) AS last_seen_at, (n + 1)::BIGINT AS delivery_count, n > 0 AS was_redelivered
         FROM (SELECT *, CASE WHEN event_id % 10 = 1 THEN 2 WHEN event_id % 5 = 1 THEN 1 ELSE 0 END AS n FROM events)""",
+    "refreshed_jobs": f"SELECT job_key, final_queue_key, entity_key, job_status, action_count, decision_count, distinct_actor_count, final_reviewer_email, final_policy_group_name, closed_at FROM ({RELATIONS_SQL['fct_jobs']})",
+    "refreshed_queues": RELATIONS_SQL["dim_queue"],
     "stream_lateness": """SELECT event_id, event_type AS event, ts AS import_ts FROM events WHERE event_id % 10 <> 3 OR ts > (SELECT max(ts) FROM events WHERE event_id % 10 <> 3) - INTERVAL 72 HOUR""",
 }

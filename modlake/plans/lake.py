@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from modlake.operators import checks, dims, facts, staging
 from modlake.operators.dedup import dedup_deliveries
+from modlake.operators.incremental import Files
 from modlake.operators.privacy import tag
 from modlake.sources import bridge
 from modlake.sources.events import SourceConfig, read_policy_areas, resolve_events, write_table
+from modlake.sources.workspace import workspace
 
 RELATIONS = {
     "base_job_actioned": (lambda landed: dedup_deliveries(landed), ["landed_job_actioned"]),
@@ -27,16 +29,14 @@ RELATIONS = {
     "dim_entity": (dims.dim_entity, ["stg_decisions", "stg_job_actions", "stg_job_closures"]),
     "dim_workflow": (dims.dim_workflow, ["stg_job_actions"]),
     "dim_enforcement_action": (dims.dim_enforcement_action, ["stg_decision_enforcement_actions"]),
-    "fct_decisions": (
-        facts.fct_decisions,
-        ["stg_decisions", "dim_reviewer", "dim_policy"],
-    ),
+    "decision_measures": (facts.decision_measures, ["stg_decisions"]),
+    "fct_decisions": (facts.fct_decisions, ["decision_measures", "dim_reviewer", "dim_policy"]),
     "fct_decision_policies": (facts.fct_decision_policies, ["stg_decision_policies", "dim_policy"]),
     "fct_job_actions": (facts.fct_job_actions, ["stg_job_actions"]),
-    "fct_jobs": (facts.fct_jobs, ["stg_job_actions", "stg_job_closures", "fct_decisions"]),
+    "fct_jobs": (facts.fct_jobs, ["stg_job_actions", "stg_job_closures", "decision_measures", "dim_policy"]),
 }
 #: Relations that several others read; a lake keeps these.
-SHARED = {"stg_job_actions", "stg_job_closures", "stg_decisions", "stg_decision_policies", "dim_queue", "dim_policy", "dim_reviewer", "dim_entity", "fct_decisions", "fct_job_actions", "fct_jobs"}
+SHARED = {"stg_job_actions", "stg_job_closures", "stg_decisions", "stg_decision_policies", "dim_queue", "dim_policy", "dim_reviewer", "dim_entity", "decision_measures", "fct_decisions", "fct_job_actions", "fct_jobs"}
 
 
 @dataclass
@@ -63,37 +63,59 @@ class Lake:
         return self.made[name]
 
 
-def persisted(name: str, df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+def is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
+
+
+#: Tables that kept() has written, by the folder's application; release() deletes them.
+_written: dict[str, list[str]] = {}
+
+
+def kept(name: str, df: DataFrame) -> DataFrame:
+    """A relation that several others read: held in the one process there is, or on a cluster written to the shared folder, where a lost executor takes none of it."""
+    if is_local(df.sparkSession):
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = workspace(df.sparkSession, name)
+    _written.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
+    return write_table(df, path)
 
 
 _bridged: dict[tuple[str, str], Lake] = {}
 
 
+_landed: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def land(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The deliveries made of the driver tables, written once for each session and folder, as a landing zone has them."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _landed:
+        t = bridge.Tables(spark, sf_dir)
+        made = {"job_actioned": bridge.deliveries(bridge.action_payloads(t), "job.actioned"), "job_closed": bridge.deliveries(bridge.closure_payloads(t), "job.closed")}
+        _landed[key] = {f"landed_{e}": write_table(df, workspace(spark, f"landed_{e}")) for e, df in made.items()}
+    return _landed[key]
+
+
 def bridged(spark: SparkSession, sf_dir: str) -> Lake:
     """The lake over the driver tables, one for each session and folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _bridged:
-        t = bridge.Tables(spark, sf_dir)
-        _bridged[key] = Lake(
-            {
-                "landed_job_actioned": bridge.deliveries(bridge.action_payloads(t), "job.actioned"),
-                "landed_job_closed": bridge.deliveries(bridge.closure_payloads(t), "job.closed"),
-                "policy_areas": bridge.policy_areas(spark),
-            },
-            keep=persisted,
-        )
+        _bridged[key] = Lake({**land(spark, sf_dir), "policy_areas": bridge.policy_areas(spark)}, keep=kept)
     return _bridged[key]
 
 
 def release(spark: SparkSession) -> None:
-    """Forget the lakes over the driver tables and what they hold in memory."""
-    for key in [k for k in _bridged if k[0] == spark.sparkContext.applicationId]:
+    """Forget the lakes over the driver tables and what they, or lakes of a configuration, keep; what has landed stays."""
+    app = spark.sparkContext.applicationId
+    for key in [k for k in _bridged if k[0] == app]:
         for df in _bridged.pop(key).made.values():
             df.unpersist()
+    for path in _written.pop(app, []):
+        Files(spark, path).delete(path)
 
 
-def from_config(spark: SparkSession, config: SourceConfig, areas_path: str, keep: Callable[[str, DataFrame], DataFrame] = persisted) -> Lake:
+def from_config(spark: SparkSession, config: SourceConfig, areas_path: str, keep: Callable[[str, DataFrame], DataFrame] = kept) -> Lake:
     """The lake over configured seed and raw surfaces."""
     landed = {f"landed_{e.replace('.', '_')}": resolve_events(spark, e, config) for e in ("job.actioned", "job.closed")}
     return Lake({**landed, "policy_areas": read_policy_areas(spark, areas_path)}, keep, config)

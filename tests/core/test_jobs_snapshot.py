@@ -8,7 +8,7 @@ from modlake.operators.facts import fct_jobs
 
 ACTIONS = "job_id string, action string, action_source string, actor_type string, actioned_at timestamp, queue_slug string, job_status_after string, job_category string, job_created_at timestamp, job_num_reports long, job_priority long, entity_schema string, entity_id string, actor_user_email string"
 CLOSURES = "job_closure_event_sk string, job_id string, closed_at timestamp, job_created_at timestamp, job_category string, queue_slug string, queue_is_multi_review boolean, entity_schema string, entity_id string"
-DECISIONS = "job_id string, decided_at timestamp, handle_time_seconds long, is_automated boolean, is_human_decision boolean, is_final_decision boolean, reviewer_email string, decision_source_type string, primary_policy_group_name string, enforcement_action_count long, max_enforcement_severity_rank long, is_violating_outcome boolean, is_illegal_outcome boolean, is_cleared_outcome boolean"
+DECISIONS = "job_id string, decided_at timestamp, handle_time_seconds long, is_automated boolean, is_human_decision boolean, is_final_decision boolean, reviewer_email string, decision_source_type string, first_id string, enforcement_action_count long, max_enforcement_severity_rank long, is_violating_outcome boolean, is_illegal_outcome boolean, is_cleared_outcome boolean"
 
 
 def frame(spark, rows, schema):
@@ -21,7 +21,8 @@ def frame(spark, rows, schema):
 def snapshot(spark, actions, closures, decisions):
     local = lambda df, *names: df.withColumns({f"{n}_local": F.col(f"{n}_at").cast("timestamp_ntz") for n in names})
     acted, closed = local(frame(spark, actions, ACTIONS), "job_created"), local(frame(spark, closures, CLOSURES), "closed", "job_created")
-    out = fct_jobs(acted, closed, frame(spark, decisions, DECISIONS))
+    policies = spark.createDataFrame([("pol-1", "Platform Integrity"), ("pol-2", "Another")], "policy_id string, policy_group_name string")
+    out = fct_jobs(acted, closed, frame(spark, decisions, DECISIONS), policies)
     return [r.asDict() for r in out.collect()]
 
 
@@ -53,7 +54,7 @@ def test_durations_of_a_closed_job(spark):
         spark,
         [("job-closed", "created", "manual", "user", t.format("09"), "user-reports", "open", "appeal", t.format("08"), 3, 1, "user", "ent-closed", "b@example.com")],
         [("c-closed", "job-closed", t.format("14"), t.format("08"), "appeal", "user-reports", False, "user", "ent-closed")],
-        [("job-closed", t.format("13"), 18000, True, False, True, None, "automated", "Platform Integrity", 1, 4, True, False, False)],
+        [("job-closed", t.format("13"), 18000, True, False, True, None, "automated", "pol-1", 1, 4, True, False, False)],
     )
     expect(row, is_closed=True, is_open=False, job_status="closed", time_to_close_seconds=21600, time_to_first_action_seconds=3600, handle_time_seconds=18000, decision_to_close_seconds=3600)
     expect(row, open_age_at_last_action_secs=None, decision_count=1, automated_decision_count=1, human_decision_count=0, closed_by_automated_decision=True, had_violating_outcome=True)
