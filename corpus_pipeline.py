@@ -75,7 +75,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     from modlake.llm.packing import pack
 
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    # executors hold what the stages before have left in their heaps, so a worker remembers a quarter of what packing by itself does
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), times=0.5, slice_bytes=1 << 20)
 
 
 STAGES = [

@@ -24,10 +24,10 @@ MARKS = ".,!?;:*$%&#|"
 #: Stands for a line feed between segments, or apart from them between two; what holds it itself is encoded by itself.
 LINE_MARK = "\ue000"
 
-_encoders: dict[tuple[str, int], "SegmentEncoder"] = {}
+_encoders: dict[tuple[str, float], "SegmentEncoder"] = {}
 
 
-def encoder(path: str, times: int = 1) -> "SegmentEncoder":
+def encoder(path: str, times: float = 1) -> "SegmentEncoder":
     """The encoder of this worker process for a tokenizers file; it remembers `times` the usual number of segments."""
     if (path, times) not in _encoders:
         _encoders[path, times] = SegmentEncoder(path, times)
@@ -35,7 +35,7 @@ def encoder(path: str, times: int = 1) -> "SegmentEncoder":
 
 
 class SegmentEncoder:
-    def __init__(self, path: str, times: int = 1):
+    def __init__(self, path: str, times: float = 1):
         self.times = times
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer

@@ -86,11 +86,13 @@ def powers_of_two(start: int, n: int) -> list[int]:
 
 def pack(
     docs: DataFrame, tokenizer: str, length: int = 4096, end_id: int = 2, sentence_cost: int = 16, inner_cost: int = 256,
-    segment: int = 1 << 19, text: str = "text", doc_id: str = "doc_id",
+    segment: int = 1 << 19, text: str = "text", doc_id: str = "doc_id", times: float = 2, slice_bytes: int = 4 << 20,
 ) -> DataFrame:
     """One row for each piece of a document: doc_id and PIECES; ids are little-endian 32-bit.
 
-    start counts the ids of the document before the piece, offset those of the sequence.
+    start counts the ids of the document before the piece, offset those of the sequence. The memory of a task follows
+    the words that it remembers (times the usual number) and the bytes of text that it encodes at once; ids are the same
+    whatever these are, and cuts can move only with the bytes, as a plan is made whenever `segment` ids wait.
     """
     if length & (length - 1):
         raise ValueError("length has to be a power of two")
@@ -98,7 +100,7 @@ def pack(
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, times=2)  # as much as a task can hold beside its ids; most of the time goes into words that are new
+        enc = encoder(tokenizer, times)  # most of the time goes into words that are new
         vocabulary = enc.tok.get_vocab(with_added_tokens=False)
         stops = np.zeros(max(enc.size, end_id + 1), bool)
         stops[[i for s, i in vocabulary.items() if s.removesuffix("</w>")[-1:] in (".", "!", "?")]] = True
@@ -142,7 +144,7 @@ def pack(
         type_of: list[pa.DataType] = []
         for batch in batches:
             type_of[:] = [batch.column("doc_id").type]
-            for part in text_slices(batch):
+            for part in text_slices(batch, size=slice_bytes):
                 ids, offsets = with_end(*enc.encode(part.column("text")), end_id)
                 at = np.concatenate([at, offsets[:-1] + len(wait)])
                 before = np.concatenate([before, np.zeros(len(offsets) - 1, np.int64)])

@@ -199,3 +199,9 @@ def test_packing_of_tiny_partitions(spark, parts):
     rows = [(k, None if k % 5 == 0 else "word " * (k % 17)) for k in range(60)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
     whole(df, pack(df, WORD, length=64).collect(), 64)
+
+
+def test_packing_with_little_memory_keeps_ids_and_cuts(spark):
+    df = spark.createDataFrame([(i, " ".join(f"w{i * 7 + j}" for j in range(20)) + ".") for i in range(60)], "doc_id long, text string").coalesce(1)
+    ample = pack(df, WORD, length=64).collect()
+    assert pack(df, WORD, length=64, times=5 / 800_000, slice_bytes=200).collect() == ample
