@@ -176,6 +176,16 @@ def test_counts_of_tests_take_one_shuffle_of_keys(spark, lake):
     assert df.select(checks._key_text(one.key).alias("k")).distinct().count() == 4
 
 
+def test_a_key_is_given_once_whatever_tests_look_at_it(spark):
+    from modlake.operators import checks
+
+    tests = [t for name in checks.COLUMNS for t in checks.tests_of(name)]
+    places, given = checks._marks(tests)
+    # its key, which two other tables refer to, and its reference to closures
+    assert len(given["stg_decisions"]) == 2 and len(given["stg_job_closures"]) == 2
+    assert len(set(places)) == len(tests)
+
+
 def test_surfaces_by_mode(spark, tmp_path):
     (tmp_path / "s.csv").write_text('"event","payload","import_ts"\n"job.closed","{""a"": ""x, \\"" y""}","2026-01-01 00:00:00"\n"job.closed","broken {","2026-01-01 00:00:01"\n"other","{}","2026-01-01 00:00:01"\n')
     raw = landed(spark, [("raw", "job.closed", {"a": 1}, "2026-01-01 00:00:00")]).drop("record_source")
