@@ -48,6 +48,7 @@ class SegmentEncoder:
         self.lowers = "Lowercase" in json.dumps(config["normalizer"])
         self.open_ends = self._open_ends()
         self.mark_ids = self.tok.encode(LINE_MARK, add_special_tokens=False).ids
+        self.id_bytes = None if self.drops_space else self._id_bytes()
         self._forget()
 
     def _open_ends(self) -> str:
@@ -58,6 +59,13 @@ class SegmentEncoder:
         solid = (c for c in map(chr, range(0x80, 0x110000)) if kind(c)[0] in "LN")
         return "".join(c for c in solid if kind((normal(c) or " ")[-1])[0] not in "LN")
 
+    def _id_bytes(self) -> np.ndarray:
+        """How many bytes of a text each id stands for, in a byte-level vocabulary, whose tokens have one character a byte."""
+        sizes = np.zeros(self.size, np.int64)
+        for token, at in self.tok.get_vocab(with_added_tokens=True).items():
+            sizes[at] = len(token.encode()) if token in self.special else len(token)
+        return sizes
+
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
@@ -72,7 +80,7 @@ class SegmentEncoder:
         new = list(dict.fromkeys(s for s, place in zip(segments, places) if place is None))
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
-            flat, lengths = self._joined(part) or self._one_by_one(part)
+            flat, lengths = (self._joined(part) if self.drops_space else self._run(part)) or self._one_by_one(part)
             n = len(known)
             self.starts, self.lengths = _grown(self.starts, n + len(part)), _grown(self.lengths, n + len(part))
             self.flat = _grown(self.flat, self.used + len(flat))
@@ -94,8 +102,6 @@ class SegmentEncoder:
 
         None where that cannot be told, as a segment holds the mark itself.
         """
-        if not self.drops_space:
-            return None
         ids = np.array(self.tok.encode_batch_fast([f" {LINE_MARK} ".join(segments)], add_special_tokens=False)[0].ids, np.uint32)
         mark = self.mark_ids
         at = np.flatnonzero(np.all([ids[k : len(ids) - len(mark) + 1 + k] == m for k, m in enumerate(mark)], axis=0)) if len(ids) >= len(mark) else np.zeros(0, np.int64)
@@ -107,6 +113,44 @@ class SegmentEncoder:
         kept[(at[:, None] + np.arange(len(mark))).ravel()] = False
         return ids[kept], lengths
 
+    def _run(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The same by one call, for byte-level tokenizers: each segment after a line feed, whose ids' bytes tell where each ends.
+
+        None where white space at the ends of a segment would join the line feed, or ids end elsewhere than segments.
+        """
+        if any(not s or s.removeprefix(" ") != s.strip() for s in segments):
+            plain = [bool(s) and s.removeprefix(" ") == s.strip() for s in segments]
+            return self._apart(segments, plain) if any(plain) else None
+        text = "\n" + "\n".join(segments)
+        ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        sizes = np.fromiter((len(s.encode()) for s in segments), np.int64, len(segments))
+        ends, wanted = np.cumsum(self.id_bytes[ids]), np.cumsum(sizes + 1)
+        last = np.searchsorted(ends, wanted)  # of each segment
+        feeds = np.searchsorted(ends, wanted - sizes)
+        if not len(ids) or ends[-1] != wanted[-1] or (ends[last] != wanted).any() or (ends[feeds] != wanted - sizes).any():
+            return None
+        kept = np.ones(len(ids), bool)
+        kept[feeds] = False
+        return ids[kept], last - feeds
+
+    def _apart(self, segments: list[str], plain: list[bool]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of segments of which only the plain ones can stand in one text."""
+        of = [np.flatnonzero(plain), np.flatnonzero(~np.array(plain))]
+        parts = [[segments[k] for k in at] for at in of]
+        run = self._run(parts[0])
+        if run is None:
+            return None
+        found = [run, self._one_by_one(parts[1])]
+        lengths = np.zeros(len(segments), np.int64)
+        starts = np.zeros(len(segments), np.int64)
+        base = 0
+        for at, (flat, n) in zip(of, found):
+            lengths[at], starts[at] = n, base + np.cumsum(n) - n
+            base += len(flat)
+        flat = np.concatenate([f for f, _ in found])
+        ends = np.cumsum(lengths)
+        return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(lengths.sum())], lengths
+
     def _pieces(self, segments: pa.Array) -> np.ndarray:
         """For each segment the numbers of its stem and of the marks after it, either of which may be empty."""
         stems = pc.utf8_rtrim(segments, MARKS)
@@ -115,7 +159,7 @@ class SegmentEncoder:
             cut = pc.and_not(cut, pc.match_substring_regex(stems, f"[{self.open_ends}]$"))
         tails = pc.extract_regex(segments, f"(?P<t>[{MARKS}]+)$").field(0)
         tails = pc.fill_null(pc.if_else(cut, tails, pa.scalar(None, tails.type)), "").dictionary_encode()
-        stems = pc.if_else(cut, stems, segments).to_pylist()
+        stems = pc.if_else(cut, stems, segments).to_numpy(zero_copy_only=False).tolist()
         numbers = self._segment_numbers(stems + tails.dictionary.to_pylist())
         return np.stack([numbers[: len(stems)], numbers[len(stems) :][tails.indices.to_numpy()] if len(stems) else numbers], axis=1)
 

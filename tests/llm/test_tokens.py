@@ -39,6 +39,30 @@ def test_segments_give_the_ids_of_whole_texts(path, monkeypatch):
     assert ids[offsets[1] :].tolist() == tok.encode("p q", add_special_tokens=False).ids
 
 
+def test_byte_level_segments_are_encoded_in_few_calls():
+    tok = Tokenizer.from_file(BYTE)
+    enc = SegmentEncoder(BYTE)
+
+    class Counting:
+        texts = 0
+
+        def encode_batch_fast(self, texts, **how):
+            Counting.texts += len(texts)
+            return tok.encode_batch_fast(texts, **how)
+
+    enc.tok = Counting()
+    words = [f"{a}{k}{b}" for k in range(3000) for a, b in (("x", ""), ("é'", "'s"), ("(", "-!"))]
+    text = " ".join(words[:6000]) + "\n" + "\n".join(words[6000:])
+    ids, _ = enc.encode(pa.array([text]))
+    assert ids.tolist() == tok.encode(text, add_special_tokens=False).ids
+    assert Counting.texts < 20
+    enc.tok = tok
+    segments = ["a", "", " b", " ", "\n", "c ", "  d", "\x1ce", "ß", " \u3000", "f\tg"]
+    lengths = [len(tok.encode(s, add_special_tokens=False).ids) for s in segments]
+    flat, found = enc._run(segments)
+    assert found.tolist() == lengths and flat.tolist() == [x for s in segments for x in tok.encode(s, add_special_tokens=False).ids]
+
+
 def test_with_end_and_slices():
     ids, offsets = with_end(np.array([5, 6, 7], np.uint32), np.array([0, 2, 2, 3]), 2)
     assert ids.tolist() == [5, 6, 2, 2, 7, 2] and offsets.tolist() == [0, 3, 4, 6]
