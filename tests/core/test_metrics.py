@@ -62,3 +62,31 @@ def test_grains_are_kept(spark):
     top = metrics_query(lake, ("moderator_email",), ("total_job_actions",), order_by=("-total_job_actions", "moderator_email"), limit=3).collect()
     assert len(top) == 3 and top[0].total_job_actions >= top[-1].total_job_actions
     assert metrics_query(lake, ("job_status",), ("total_jobs",), where="job_status = 'nowhere'").count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the driver tables")
+def test_facts_are_made_of_what_a_query_reads(spark):
+    from modlake.plans.lake import Lake, bridged, landed
+
+    whole = bridged(spark, DATA)
+    for name in ("fct_jobs", "fct_decisions", "fct_decision_policies", "fct_job_actions"):
+        whole[name]
+    surfaces = {**whole.surfaces, "landed_job_actioned": lambda: landed(spark, DATA, "job.actioned"), "landed_job_closed": lambda: landed(spark, DATA, "job.closed")}
+
+    def narrow(dimensions, names, unmade, **surface):
+        lake = Lake({**surfaces, **surface})
+        assert sorted(metrics_query(lake, dimensions, names).collect(), key=str) == sorted(metrics_query(whole, dimensions, names).collect(), key=str)
+        assert not set(unmade) & set(lake.made)
+
+    def unread():
+        raise AssertionError("closures are not needed")
+
+    narrow(("moderator_email",), ("total_job_actions",), ("stg_decisions", "dim_reviewer"), landed_job_closed=unread)
+    narrow(("queue_name",), ("total_job_actions", "median_job_age_at_action_hours"), ("dim_queue",), landed_job_closed=unread)
+    narrow((), ("jobs_cancelled_by_workflow",), ("stg_decisions", "dim_policy"))
+    narrow(("queue_name",), ("median_handle_time_hours", "total_decisions"), ("stg_job_actions", "dim_reviewer", "dim_queue", "dim_policy"))
+    narrow(("entity_type",), ("median_handle_time_hours",), ("dim_entity", "dim_policy"))
+    narrow(("queue_name", "decision_staffing_model"), ("policy_applications",), ("dim_queue", "dim_policy"))
+    lake = Lake(surfaces)
+    lake.of("fct_jobs", {"job_id", "action_count"}), lake.of("fct_jobs", {"job_id", "is_closed"})
+    assert "fct_jobs" in lake.made  # two queries share it
