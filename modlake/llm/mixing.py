@@ -41,7 +41,9 @@ log = logging.getLogger(__name__)
 
 
 def token_count(text: Column) -> Column:
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit("[^ \\t-\\r]+")).cast("long")
+    # each word becomes one mark: counting matches would make an array of all words of a text
+    marks = F.regexp_replace(F.coalesce(text, F.lit("")), "[ \\t-\\r]*+[^ \\t-\\r]++", "x")
+    return F.length(F.rtrim(marks, F.lit(" \t\n\x0b\x0c\r"))).cast("long")
 
 
 def form_of(text: Column, tokens: Column) -> Column:

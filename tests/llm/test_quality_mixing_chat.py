@@ -263,3 +263,12 @@ def test_op5_sql_pairs_across_gaps_of_ids(spark):
     got = queries.op5_preference_format(spark, folder)
     assert sorted(map(tuple, got.collect())) == sorted(tuple(r[place[c]] for c in got.columns) for r in want.fetchall())
     assert got.count() == 4
+
+
+def test_token_count_makes_no_array_of_words(spark):
+    from modlake.llm.mixing import token_count
+
+    texts = [None, "", " ", "\n\t ", "a", " a", "a ", "a b\x0bc\x0cd\re", "\x0b", "x x  ", "日本 語\u3000 z", " \x85 a\x1cb", "word " * 9000]
+    counted = spark.createDataFrame([(t,) for t in texts], "text string").select("text", token_count(F.col("text")).alias("n"))
+    assert [r.n for r in counted.collect()] == [len(regex.findall(r"[^ \t-\r]+", r.text or "")) for r in counted.collect()]
+    assert "regexp_count" not in str(token_count(F.col("text")))
